@@ -1,0 +1,23 @@
+"""Table schemas."""
+
+from __future__ import annotations
+
+from signpost import values as V
+
+FETCHES = """
+    domain STRING, attempt INT, probe_key STRING, control_group STRING, requested_url STRING,
+    request_method STRING, final_url STRING, http_status INT, content_type STRING, body BINARY,
+    truncated BOOLEAN, error STRING, headers MAP<STRING, STRING>, fetched_at TIMESTAMP
+"""
+OUTCOME = """
+    path STRING, status STRING, http_status INT, content_type STRING, final_url STRING,
+    byte_count BIGINT, body_sha256 STRING, detail STRING, facts VARIANT
+"""
+# one line of the receipt log; members whose type varies stay variants
+PROBES = ", ".join(f"{key}: STRUCT<{OUTCOME}>" for key in V.PROBE_ORDER)
+RECEIPT_LINE = f"""
+    domain STRING, rank VARIANT, row_index BIGINT, crawled_at VARIANT, label STRING, tags VARIANT,
+    title VARIANT, aggregates VARIANT, probes STRUCT<{PROBES}>
+"""
+EVIDENCE = "domain STRING, artifact STRING, body BINARY"
+DOMAINS = "row_index BIGINT, rank INT, domain STRING"
