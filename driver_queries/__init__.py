@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["receipts"]
+MODULES = ["receipts", "facts"]
 
 
 def load():

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from signpost import values as V
-from signpost.functions.lists import or_empty
+from signpost.functions.lists import let, or_empty
 from signpost.functions.text import strip
 from signpost.functions.urls import host, is_url_like
 
@@ -35,6 +35,19 @@ def get(v: Column, *path: str) -> Column:
     return F.try_variant_get(v, "$" + "".join(f"['{p}']" for p in path), "variant")
 
 
+def members(v: Column, names: list[str]) -> Column:
+    """The named members of an object value as a struct of variants; null for any other value.
+
+    One look at the object instead of one per member, and no type description of the whole value.
+    """
+    return F.try_variant_get(v, "$", "struct<" + ",".join(f"`{n}`:variant" for n in names) + ">")
+
+
+def objects(items: Column, names: list[str]) -> Column:
+    """The named members of every object of a list; other items drop out."""
+    return F.filter(F.transform(items, lambda v: members(v, names)), lambda m: m.isNotNull())
+
+
 def kind(v: Column) -> Column:
     return F.schema_of_variant(v)
 
@@ -50,8 +63,7 @@ def text_at(v: Column, *path: str) -> Column:
 
 def filled(v: Column, *path: str) -> Column:
     """Stripped string, null when blank or not a string."""
-    s = strip(text_at(v, *path))
-    return F.when(s != "", s)
+    return filled_text(text_at(v, *path))
 
 
 def as_list(v: Column) -> Column:
@@ -129,16 +141,34 @@ def currency_scale(currency: Column) -> Column:
     )
 
 
+def money(v: Column) -> Column:
+    """(amount, currency) of a price value.
+
+    A numeric `amount` of an object is in minor units; texts and plain numbers are in major units.
+    """
+    amount_type = "struct<amount:double,currency:string>"
+
+    def in_object(m: Column) -> Column:
+        currency = F.when(filled_text(as_string(m["currency"])).isNotNull(), as_string(m["currency"]))
+        scale = F.coalesce(currency_scale(currency), F.lit(100.0))
+        amount = F.when(is_number(m["amount"]), as_double(m["amount"]) / scale).otherwise(parse_number(as_string(m["amount"])))
+        return F.struct(amount.alias("amount"), currency.alias("currency")).cast(amount_type)
+
+    plain = F.struct(as_price(v).alias("amount"), F.lit(None).cast("string").alias("currency")).cast(amount_type)
+    return let(members(v, ["amount", "currency"]), lambda m: F.when(m.isNotNull(), in_object(m)).when(v.isNotNull(), plain))
+
+
+def filled_text(text: Column) -> Column:
+    s = strip(text)
+    return F.when(s != "", s)
+
+
 def amount_of(v: Column) -> Column:
-    """Price of a value: numeric `amount` of an object is in minor units, all else in major units."""
-    amount, currency = get(v, "amount"), filled(v, "currency")
-    minor = as_double(amount) / F.coalesce(currency_scale(currency), F.lit(100.0))
-    in_object = F.when(is_number(amount), minor).otherwise(parse_number(as_string(amount)))
-    return F.when(kind(v).startswith("OBJECT"), in_object).otherwise(as_price(v))
+    return money(v)["amount"]
 
 
 def currency_of(v: Column) -> Column:
-    return F.when(kind(v).startswith("OBJECT") & filled(v, "currency").isNotNull(), text_at(v, "currency"))
+    return money(v)["currency"]
 
 
 def strings_of(text: Column) -> Column:

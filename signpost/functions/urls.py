@@ -12,6 +12,7 @@ from signpost.functions.text import blank_to_null, contains_any, strip
 # the component split of RFC 3986, appendix B
 URL = r"(?s)^(?:([a-zA-Z][a-zA-Z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 ABSOLUTE = r"^https?://"
+ROOTED = r"^/(?:[^/?#][^?#]*)?(?:[?#].*[^?#])?$"
 URL_IN_TEXT = r"https?://[^\s<>()\"']+"
 URL_TAIL = r"[),.;:!?\]}>\"']+\z"
 
@@ -31,10 +32,7 @@ def host(url: Column) -> Column:
 
 def origin(url: Column) -> Column:
     """`scheme://authority`, null unless both are there."""
-    return F.when(
-        (part(url, 1) != "") & (part(url, 2) != ""),
-        F.concat(F.lower(part(url, 1)), F.lit("://"), part(url, 2)),
-    )
+    return blank_to_null(F.regexp_extract(url, r"^([a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]+)", 1))
 
 
 def _tail(query: Column, fragment: Column) -> Column:
@@ -82,6 +80,7 @@ def resolve(base: Column, candidate: Column) -> Column:
             F.when(c == "", None)
             .when(c.rlike(ABSOLUTE), c)
             .when(base.isNull() | (base == ""), None)
+            .when(c.rlike(ROOTED) & ~c.contains("/.") & base.rlike(ABSOLUTE), F.concat(origin(base), c))
             .when((scheme != "") & (scheme != base_scheme), c)
             .when(c.startswith("//"), F.concat(base_scheme, F.lit(":"), c))
             .when(
@@ -95,7 +94,7 @@ def resolve(base: Column, candidate: Column) -> Column:
 
 
 def only_http(url: Column) -> Column:
-    return F.when(F.lower(part(url, 1)).isin("http", "https") & (part(url, 2) != ""), url)
+    return F.when(url.rlike(r"(?i)^https?://[^/?#]"), url)
 
 
 def resolve_http(base: Column, candidate: Column) -> Column:
