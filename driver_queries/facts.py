@@ -288,3 +288,223 @@ def ucp_products(spark, sf):
         "doc_id", F.col("facts.product_count").cast("bigint").alias("product_count"), F.col("facts.variant_count").cast("bigint").alias("variant_count"),
         "facts.max_price", F.get("facts.sample_checkout_urls", F.lit(0)).alias("first_checkout"), F.get("facts.payment_probe_candidates", F.lit(0))["source"].alias("source"),
     )
+
+
+# ---------------------------------------------------------------- contracts built from orders and line items
+
+from signpost.operators.facts import commerce, contracts, observed  # noqa: E402
+
+ORDER_DOCS = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, CAST(round(o_totalprice) AS BIGINT) AS price FROM orders
+"""
+
+
+def json_fetches(spark, sf, sql, probe_key, path, headers=None, status=200):
+    """(id columns, json) rows as captured JSON responses of https://h<o_custkey>.example."""
+    rows = run_sql(spark, sf, sql)
+    url = F.concat(F.lit("https://h"), F.col("o_custkey").cast("string"), F.lit(f".example{path}"))
+    fetched = as_fetches(rows, F.col("json"), probe_key, url, F.lit("application/json"), status)
+    none = F.create_map().cast("map<string,string>")
+    return fetched.drop("json").withColumn("headers", none if headers is None else headers).withColumn("error", F.lit(None).cast("string"))
+
+
+COMMERCE_JSON = """
+SELECT o_orderkey, o_custkey, concat('{"status":"', CASE WHEN o_orderkey % 11 = 0 THEN 'Coming_Soon' ELSE 'live' END, '","',
+  CASE WHEN o_orderkey % 2 = 0 THEN 'offers' ELSE 'offerings' END, '":[',
+  '{"id":"a","title":"Plan ', CAST(o_orderkey % 5 AS STRING), '","price":{"amount":', CAST(CAST(round(o_totalprice) AS BIGINT) AS STRING), ',"currency":"usd"},"api":{"purchase_intent":"https://pay', CAST(o_custkey AS STRING), '.example/i"}},',
+  '{"id":"a","title":"Plan ', CAST(o_orderkey % 5 AS STRING), '","status":"planned","price":"9"},', '"skip",',
+  '{"offer":"b","name":"Extra","status":" Enabled","price":"5","priceCurrency":"eur","api":{"purchase_intent":" https://pay', CAST(o_custkey AS STRING), '.example/i "}}],',
+  '"checkout_url":"https://shop', CAST(o_custkey AS STRING), '.example/checkout","auth":{"purchase_intent":" Bearer "},',
+  '"paymentHandlers":["card","',  CASE WHEN o_orderkey % 3 = 0 THEN 'crypto' ELSE 'card' END, '"],',
+  '"machine_payment_paths":[{"id":"p1","kind":"x","status":"', CASE WHEN o_orderkey % 4 = 0 THEN 'active' ELSE 'off' END, '","note":"pay with USDC or Stripe"},{"id":"p2","kind":"human_browser_checkout","status":"live","note":"visa"}]}') AS json
+FROM orders
+"""
+
+
+@query(
+    "commerce_facts",
+    """SELECT o_orderkey, true AS is_valid, 3 AS offer_count, CASE WHEN o_orderkey % 11 = 0 THEN 1 ELSE 2 END AS active_offer_count, 2 AS priced_offer_count,
+        concat('Plan ', o_orderkey % 5, ',Extra') AS sample_titles, concat('https://pay', o_custkey, '.example/i') AS intents, 'bearer' AS auth,
+        CASE WHEN o_orderkey % 4 = 0 THEN 1 ELSE 0 END AS live_paths, CASE WHEN o_orderkey % 4 = 0 THEN 'stripe' ELSE '' END AS providers,
+        CASE WHEN o_orderkey % 4 = 0 THEN 'crypto' WHEN o_orderkey % 3 = 0 THEN 'card,crypto' ELSE 'card' END AS rails,
+        CASE WHEN o_orderkey % 4 = 0 THEN 'crypto' ELSE 'standard_checkout' END AS surface, o_orderkey % 4 = 0 AS crypto_only, o_orderkey % 11 = 0 AS prelaunch FROM orders""",
+)
+def commerce_facts(spark, sf):
+    facts = commerce.commerce_facts(json_fetches(spark, sf, COMMERCE_JSON, "well_known_commerce", "/.well-known/commerce"))
+    big = lambda n, a=None: F.col(f"facts.{n}").cast("bigint").alias(a or n)
+    join = lambda n, a: F.array_join(f"facts.{n}", ",").alias(a)
+    return facts.select(
+        "o_orderkey", "is_valid", big("offer_count"), big("active_offer_count"), big("priced_offer_count"), F.array_join("facts.sample_offers.title", ",").alias("sample_titles"),
+        join("purchase_intent_urls", "intents"), F.col("facts.purchase_intent_auth").alias("auth"), big("live_machine_payment_path_count", "live_paths"),
+        join("payment_provider_hints", "providers"), join("payment_rail_hints", "rails"), F.col("facts.payment_surface").alias("surface"), "facts.crypto_only", "facts.prelaunch",
+    )
+
+
+UCP_JSON = """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 7 = 0 THEN '{"ucp":{}}' WHEN o_orderkey % 7 = 1 THEN '{"ucp":{"version":"1","x":"https://merchant.com/a"}}' ELSE
+  concat('{"ucp":{"version":"v', CAST(o_orderkey % 3 AS STRING), '","supported_versions":{"v1":"https://ucp.example/', CAST(o_orderkey AS STRING), '"},"capabilities":',
+  CASE WHEN o_orderkey % 2 = 0 THEN '{"b.cap":{},"a.cap":[]}' ELSE '[{"name":"z.cap"},{"id":1},{"name":"y.cap"}]' END,
+  ',"services":{"dev.ucp.shopping":[{"transport":"mcp","endpoint":"https://mcp', CAST(o_custkey AS STRING), '.example/rpc"},{"transport":"rest","endpoint":"/r"}],"other":{}},',
+  '"payment_handlers":{"gpay":[{"id":"g1","url":"https://pay.google.com/x"}],"card":{"id":"c1"}}},"payment":{"handlers":[{"id":"h1","name":"Wallet","doc":"https://h.example/doc"}]}}') END AS json
+FROM orders
+"""
+
+
+@query(
+    "ucp_facts",
+    """SELECT o_orderkey, o_orderkey % 7 > 1 AS is_valid, CASE WHEN ok THEN concat('v', o_orderkey % 3) END AS version, CASE WHEN ok THEN 2 END AS capability_count,
+        CASE WHEN NOT ok THEN NULL WHEN o_orderkey % 2 = 0 THEN 'a.cap,b.cap' ELSE 'z.cap,y.cap' END AS capability_names, CASE WHEN ok THEN 2 END AS service_count,
+        CASE WHEN ok THEN 'Wallet,card,gpay' END AS handler_names, CASE WHEN ok THEN 'c1,g1,h1' END AS handler_ids, CASE WHEN ok THEN 'https://h.example/doc,https://pay.google.com/x' END AS endpoints,
+        CASE WHEN ok THEN concat('https://mcp', o_custkey, '.example/rpc') END AS mcp, CASE WHEN ok AND o_orderkey % 3 = 1 THEN concat('https://ucp.example/', o_orderkey) END AS current_version_url,
+        CASE WHEN ok THEN 'google_pay' END AS providers
+        FROM (SELECT *, o_orderkey % 7 > 1 AS ok FROM orders) o""",
+)
+def ucp_facts(spark, sf):
+    facts = commerce.ucp_facts(json_fetches(spark, sf, UCP_JSON, "well_known_ucp", "/.well-known/ucp"))
+    join = lambda n, a: F.array_join(f"facts.{n}", ",").alias(a)
+    return facts.select(
+        "o_orderkey", "is_valid", F.col("facts.ucp_version").alias("version"), F.col("facts.capability_count").cast("bigint").alias("capability_count"), join("capability_names", "capability_names"),
+        F.col("facts.service_count").cast("bigint").alias("service_count"), join("payment_handler_names", "handler_names"), join("payment_handler_ids", "handler_ids"),
+        join("payment_endpoint_samples", "endpoints"), join("shopping_mcp_endpoints", "mcp"), "facts.current_version_url", join("payment_provider_hints", "providers"),
+    )
+
+
+AGENT_JSON = """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 9 = 0 THEN '{"x":1}' ELSE concat('{"name":"n","url":"/svc","api":{"base_url":"/api/v1","docs":"docs.html"},"discovery":{"openapi":"../spec.json"},',
+  '"endpoints":{"shop":{"products":{"path":"/items"},"orders":"/orders"},"register":{"url":"https://x.example/r","auth":true}},',
+  '"payment":{"protocol":"X402","networks":[{"name":" base ","chain_id":"8453","currency":"usdc","asset":"0x1"}]},',
+  '"x402":{"network":"solana","asset":"usdt","endpoints":{"POST /buy":{"price":"', CAST(o_custkey AS STRING), '","currency":"usd","description":"d"},"/free":{}}},',
+  '"capabilities":{"extensions":[{"params":{"currency":"eur","pricing":{"endpoints":{"/batch/{id}":5,"/one":{"price":"2","description":"One"}}}}}]},',
+  '"skills":[{"name":"s1","pricing":{"amount":1,"currency":"gbp"}},{"id":"s2"}]}') END AS json FROM orders
+"""
+
+
+@query(
+    "agent_facts",
+    """SELECT o_orderkey, ok AS is_valid, CASE WHEN ok THEN concat(h, '/svc') END AS service_url, CASE WHEN ok THEN concat(h, '/.well-known/docs.html') END AS docs_url,
+        CASE WHEN ok THEN concat(h, '/spec.json') END AS openapi_url, CASE WHEN ok THEN concat(h, '/.well-known/x402.json') END AS x402_url,
+        CASE WHEN ok THEN concat(h, '/api/v1/orders,', h, '/api/v1/items,', h, '/buy,', h, '/free') END AS public_urls,
+        CASE WHEN ok THEN concat(h, '/api/v1/items') END AS products, CASE WHEN ok THEN 'https://x.example/r' END AS registers,
+        CASE WHEN ok THEN 'base,solana' END AS networks, CASE WHEN ok THEN 'USDC,USDT,USD,EUR,GBP' END AS currencies, CASE WHEN ok THEN 4 END AS priced,
+        CASE WHEN ok THEN 'POST /buy,/free,{id},one,s1,s2' END AS action_titles, CASE WHEN ok THEN 4 END AS candidates, CASE WHEN ok THEN 'id' END AS templates
+        FROM (SELECT o_orderkey, o_orderkey % 9 <> 0 AS ok, concat('https://h', o_custkey, '.example') AS h FROM orders) o""",
+)
+def agent_facts(spark, sf):
+    facts = contracts.agent_facts(json_fetches(spark, sf, AGENT_JSON, "well_known_agent_json", "/.well-known/agent.json"))
+    join = lambda n, a: F.array_join(f"facts.{n}", ",").alias(a)
+    cands = F.col("facts.payment_probe_candidates")
+    return facts.select(
+        "o_orderkey", "is_valid", "facts.service_url", "facts.docs_url", "facts.openapi_url", "facts.x402_url", join("public_endpoint_urls", "public_urls"), join("product_urls", "products"),
+        join("register_urls", "registers"), join("payment_network_names", "networks"), join("payment_currency_codes", "currencies"), F.col("facts.priced_action_count").cast("bigint").alias("priced"),
+        F.array_join("facts.sample_actions.title", ",").alias("action_titles"), F.size(cands).cast("bigint").alias("candidates"),
+        F.array_join(F.flatten(F.filter(cands["template_parameters"], lambda t: t.isNotNull())), ",").alias("templates"),
+    )
+
+
+@query(
+    "agents_facts",
+    "SELECT o_orderkey, o_orderkey % 5 <> 0 AS is_valid, CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 2 = 0 THEN o_custkey % 4 ELSE 3 END AS entry_count FROM orders",
+)
+def agents_facts(spark, sf):
+    sql = """SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 5 = 0 THEN '{"other":[]}' WHEN o_orderkey % 2 = 0 THEN concat('[', CASE o_custkey % 4 WHEN 0 THEN '' WHEN 1 THEN '1' WHEN 2 THEN '1,2' ELSE '{},[],3' END, ']')
+             ELSE '{"agents":[1,2],"items":"no","results":[{}]}' END AS json FROM orders"""
+    facts = contracts.agents_facts(json_fetches(spark, sf, sql, "well_known_agents_json", "/.well-known/agents.json"))
+    return facts.select("o_orderkey", "is_valid", F.col("facts.entry_count").cast("bigint").alias("entry_count"))
+
+
+OPENAPI_JSON = """
+SELECT o_orderkey, o_custkey, concat('{"openapi":"3.1","servers":[{"url":"https://api', CAST(o_custkey AS STRING), '.example/v1"}],"components":{"securitySchemes":{"oauth":{},"key":{}}},"paths":{',
+  '"/checkout/{id}":{"parameters":[{"name":"Payment-Signature","in":"Header"}],"post":{"summary":"Buy","responses":{"402":{}}},"get":{"responses":{"200":{}}}},',
+  '"/checkout/quote":{"get":{}},', '"/api/products":{"get":{"summary":"List all"}},', '"/billing":{"put":{"operationId":"bill","responses":{"402":{}}}},"/n":5',
+  CASE WHEN o_orderkey % 3 = 0 THEN ',"/checkout":{"get":{"summary":"all"}}' ELSE '' END, '}}') AS json FROM orders
+"""
+
+
+@query(
+    "openapi_facts",
+    """SELECT o_orderkey, true AS is_valid, CASE WHEN o_orderkey % 3 = 0 THEN 6 ELSE 5 END AS path_count, 'key,oauth' AS auth_schemes, CASE WHEN o_orderkey % 3 = 0 THEN 4 ELSE 3 END AS commerce_path_count,
+        2 AS paid_count, 'POST /checkout/{id},PUT /billing' AS paid_paths, 2 AS signed_count, 'Buy,bill' AS action_titles,
+        concat('https://api', o_custkey, '.example/v1/', CASE WHEN o_orderkey % 3 = 0 THEN 'checkout' ELSE 'api/products' END) AS discovery, concat('https://api', o_custkey, '.example/v1/checkout/quote') AS price_url FROM orders""",
+)
+def openapi_facts(spark, sf):
+    facts = contracts.openapi_facts(json_fetches(spark, sf, OPENAPI_JSON, "openapi_json", "/openapi.json"))
+    big = lambda n, a: F.col(f"facts.{n}").cast("bigint").alias(a)
+    first = F.get("facts.payment_probe_candidates", F.lit(0))
+    return facts.select(
+        "o_orderkey", "is_valid", big("path_count", "path_count"), F.array_join("facts.auth_schemes", ",").alias("auth_schemes"), big("commerce_path_count", "commerce_path_count"),
+        big("payment_required_operation_count", "paid_count"), F.array_join("facts.payment_required_paths", ",").alias("paid_paths"), big("payment_signature_header_count", "signed_count"),
+        F.array_join("facts.sample_actions.title", ",").alias("action_titles"), F.array_join(first["discovery_urls"], ",").alias("discovery"), first["price_lookup_url"].alias("price_url"),
+    )
+
+
+X402_JSON = """
+SELECT o_orderkey, o_custkey, CASE o_orderkey % 6 WHEN 0 THEN '{"error":"x","message":"Not Found"}' WHEN 1 THEN '{"foo":1}' WHEN 2 THEN '{"resources":[],"note":"Example only"}'
+  ELSE concat('{"x402Version":1,"accepts":[{"network":" base ","asset":"0xA","extra":{"name":"usdc"}},7],"services":[{"url":"GET /s/', CAST(o_custkey AS STRING), '","pricing":{"amount":2,"asset":"usdc"},"name":"Svc"}],',
+  '"endpoints":{"/search":{"price":0,"amount":"3","currency":"eur"}},"resource":{"url":"https://r.example/x","description":"First thing. Second."},"resources":["POST /send"],',
+  '"extensions":{"bazaar":{"info":{"input":{"method":"put","body":{"a":1},"path":"/crawl"}}}}}') END AS json FROM orders
+"""
+
+
+@query(
+    "x402_facts",
+    """SELECT o_orderkey, ok AS is_valid, CASE WHEN ok THEN concat(h, '/s/', o_custkey, ',', h, '/search,https://r.example/x,', h, '/send,', h, '/crawl') END AS urls, CASE WHEN ok THEN 2 END AS accept_count,
+        CASE WHEN ok THEN 'base' END AS networks, CASE WHEN ok THEN 'USDC' END AS currencies, CASE WHEN ok THEN 2 END AS priced, CASE WHEN ok THEN 'Svc,/search,First thing,send,First thing' END AS titles,
+        CASE WHEN ok THEN 'GET,POST,POST,PUT' END AS candidate_methods, CASE WHEN ok THEN 'crypto' END AS surface,
+        CASE o_orderkey % 6 WHEN 0 THEN 'x402 JSON looked like a generic error response' WHEN 1 THEN 'x402 JSON lacked structured payment evidence'
+             WHEN 2 THEN 'x402 document looked like a probe/example, not a live payment surface' ELSE 'x402-like JSON detected' END AS detail
+        FROM (SELECT o_orderkey, o_custkey, o_orderkey % 6 > 2 AS ok, concat('https://h', o_custkey, '.example') AS h FROM orders) o""",
+)
+def x402_facts(spark, sf):
+    facts = contracts.x402_facts(json_fetches(spark, sf, X402_JSON, "x402_json", "/.well-known/x402.json"))
+    join = lambda n, a: F.array_join(f"facts.{n}", ",").alias(a)
+    big = lambda n, a: F.col(f"facts.{n}").cast("bigint").alias(a)
+    return facts.select(
+        "o_orderkey", "is_valid", join("resource_urls", "urls"), big("accept_count", "accept_count"), join("accept_networks", "networks"), join("accept_currencies", "currencies"),
+        big("priced_action_count", "priced"), F.array_join("facts.sample_actions.title", ",").alias("titles"), F.array_join("facts.payment_probe_candidates.method", ",").alias("candidate_methods"),
+        F.col("facts.payment_surface").alias("surface"), "detail",
+    )
+
+
+PROBE_CODES = [200, 402, 302, 401, 422, 503, 307, 500, 200]
+
+
+@query(
+    "payment_probe_result",
+    """SELECT o_orderkey, o_orderkey % 9 NOT IN (2, 7) AND NOT (o_orderkey % 9 = 8 AND o_orderkey % 2 = 0) AS is_valid,
+        CASE o_orderkey % 9 WHEN 0 THEN 'success_without_payment' WHEN 1 THEN 'payment_challenge' WHEN 2 THEN 'redirect_boundary' WHEN 3 THEN 'auth_or_method_boundary' WHEN 4 THEN 'input_validation'
+          WHEN 5 THEN 'temporary_failure' WHEN 6 THEN 'browser_checkout_redirect' WHEN 8 THEN CASE WHEN o_orderkey % 2 = 0 THEN 'html_landing_page' ELSE 'browser_checkout_handoff' END END AS probe_result,
+        CASE WHEN o_orderkey % 9 = 1 THEN CASE WHEN o_orderkey % 2 = 0 THEN 'accepts,x402Version' ELSE 'a' END END AS response_keys,
+        CASE WHEN o_orderkey % 9 = 1 AND o_orderkey % 2 = 0 THEN 1 END AS accept_count, CASE WHEN o_orderkey % 5 = 0 THEN 'accepts,scheme' END AS header_keys,
+        CASE WHEN o_orderkey % 5 = 0 THEN 'circle' ELSE '' END AS providers FROM orders""",
+)
+def payment_probe_result(spark, sf):
+    codes = " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(PROBE_CODES))
+    sql = f"""SELECT o_orderkey, o_custkey, CASE o_orderkey % 9 {codes} END AS code, CASE WHEN o_orderkey % 9 = 8 THEN '<html><body>x</body></html>'
+              WHEN o_orderkey % 9 = 1 AND o_orderkey % 2 = 0 THEN '{{"x402Version":1,"accepts":[{{}}]}}' WHEN o_orderkey % 9 = 1 THEN '{{"a":1}}' ELSE 'ok' END AS json FROM orders"""
+    encoded = F.base64(F.encode(F.lit('{"scheme":"Circle Gateway","accepts":[]}'), "UTF-8"))
+    headers = F.when(F.col("o_orderkey") % 5 == 0, F.create_map(F.lit("x-payment-required"), F.translate(F.rtrim(encoded, F.lit("=")), "+/", "-_")))
+    headers = headers.when(F.col("o_orderkey") % 9 == 6, F.create_map(F.lit("location"), F.lit("/checkouts/1"))).otherwise(F.create_map().cast("map<string,string>"))
+    rows = json_fetches(spark, sf, sql, "payment_probe", "/buy", headers)
+    checkout = F.when((F.col("o_orderkey") % 2 == 1) & (F.col("o_orderkey") % 9 == 8), F.lit("https://s.example/checkout")).when(
+        (F.col("o_orderkey") % 9 == 6), F.lit("https://s.example/cart/1")).otherwise(F.col("final_url"))
+    kind = F.when(F.substring(F.decode("body", "UTF-8"), 1, 1) == "{", "application/json").otherwise("text/plain")
+    fetched = rows.withColumns({"http_status": F.col("code"), "final_url": checkout, "content_type": kind}).drop("code")
+    facts = contracts.payment_probe_facts(fetched)
+    return facts.select(
+        "o_orderkey", "is_valid", "facts.probe_result", F.array_join("facts.response_keys", ",").alias("response_keys"), F.col("facts.accept_count").cast("bigint").alias("accept_count"),
+        F.array_join("facts.payment_required_header_keys", ",").alias("header_keys"), F.array_join("facts.payment_provider_hints", ",").alias("providers"),
+    )
+
+
+@query(
+    "observed_facts",
+    """SELECT o_orderkey, k AS fact_key, v AS value FROM (SELECT o_orderkey, unnest([('observed_capability_names', 'search'), ('observed_capability_names', concat('c', o_custkey)),
+        ('observed_payment_protocols', 'MPP'), ('observed_payment_methods', 'card'), ('observed_payment_methods', 'wallet'), ('observed_payment_assets', 'USDC'),
+        ('observed_payment_providers', 'acme'), ('observed_payment_providers', 'Pay Co'), ('observed_payment_requirement_keys', 'kyc'), ('observed_payment_flow_types', 'redirect'),
+        ('observed_checkout_endpoints', '/co'), ('observed_order_status_endpoints', '/os')]) AS p, p[1] AS k, p[2] AS v FROM orders)""",
+)
+def observed_facts(spark, sf):
+    sql = """SELECT o_orderkey, o_custkey, concat('{"capabilities":["search",{"name":"c', CAST(o_custkey AS STRING), '"},{"id":"search"}],"payment":{"protocol":"mpp","flow":{"type":" redirect "},"requirements":{"kyc":1},',
+             '"supported_methods":["card",{"name":"wallet"}],"deep":{"assets":"usdc"},"providers":{"acme":5,"x":{"name":"Pay Co"}}},"assets":["no"],"endpoints":{"Checkout":{"path":"/p","url":"/co"},"order status":"/os"}}') AS json FROM orders"""
+    rows = run_sql(spark, sf, sql).withColumnRenamed("json", "text")
+    return observed.observed_rows(rows, ["o_orderkey"]).select("o_orderkey", "fact_key", "value")

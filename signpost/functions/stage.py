@@ -10,13 +10,14 @@ def compute(df: DataFrame, keep: list[str] | None = None, **columns: Column) ->
     """Add columns that later steps may use freely.
 
     Neighbouring projections are merged by the optimiser, which repeats an expression at each use.
-    A one-row generator is not merged, so a parsed document or a resolved address is made once.
+    A one-row generator in between is not merged. The values themselves are built in an ordinary
+    (compiled) projection; the generator only unpacks them.
     """
-    one = F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
-    kept = df.columns if keep is None else keep
-    return df.select(*[k for k in kept if k not in columns], one)
+    kept = [k for k in (df.columns if keep is None else keep) if k not in columns]
+    return spread(df, kept, F.struct(*[c.alias(n) for n, c in columns.items()]))
 
 
 def spread(df: DataFrame, keep: list[str], value: Column) -> DataFrame:
     """Turn the members of a struct into columns, evaluating the struct once."""
-    return df.select(*keep, F.inline(F.array(value)))
+    packed = df.select(*keep, value.alias("_packed"))
+    return packed.select(*keep, F.inline(F.array("_packed")))

@@ -11,15 +11,19 @@ from signpost import values as V
 
 # every Unicode space plus the four ASCII separators
 SPACE = r"[\s\x1c-\x1f]"
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"(?U)^{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def strip_left(c: Column) -> Column:
-    return F.regexp_replace(c, rf"(?U)^{SPACE}+", "")
+    return F.ltrim(c, F.lit(SPACES))
 
 
 def collapse(c: Column) -> Column:
