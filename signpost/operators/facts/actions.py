@@ -16,58 +16,62 @@ CANDIDATE = (
     "struct<url:string,method:string,source:string,body:string,content_type:string,title:string,amount:string,currency:string,"
     "template_parameters:array<string>,discovery_urls:array<string>,price_lookup_url:string>"
 )
-ENTRY = f"struct<action:{ACTION},candidate:{CANDIDATE},priced:boolean,currency:string,url:string>"
-NO_ENTRIES = f"array<{ENTRY}>"
+# what a document says about one action, before cleaning
+BASICS = {
+    "method": "string", "url": "string", "path": "string", "title": "string", "description": "string", "amount": "string",
+    "currency": "string", "network": "string", "source": "string", "candidate": "boolean", "body": "string", "guess": "boolean",
+    "media": "string", "templates": "array<string>", "discovery": "array<string>", "price_url": "string",
+}
+BASIC = "struct<" + ",".join(f"{n}:{t}" for n, t in BASICS.items()) + ">"
 METHOD_PREFIX = r"^\s*([A-Z]+)\s+(/.*)$"
 
 
-def _text(c: Column | None, length: int | None = None) -> Column:
-    if c is None:
-        return F.lit(None).cast("string")
+def basics(**given) -> Column:
+    """One action as a document states it; what is not given is null."""
+    as_column = lambda v: v if isinstance(v, Column) else F.lit(v)
+    return F.struct(*[as_column(given.get(n)).cast(t).alias(n) for n, t in BASICS.items()])
+
+
+def none_yet() -> Column:
+    return F.array().cast(f"array<{BASIC}>")
+
+
+def _text(c: Column, length: int | None = None) -> Column:
     clean = blank_to_null(strip(c))
     return F.substring(clean, 1, length) if length else clean
 
 
-def action(*, method=None, url=None, path=None, title=None, description=None, amount=None, currency=None, network=None, source="") -> Column:
-    """One sample action: cleaned members, the path only when there is no address."""
-    address = _text(url)
-    return F.struct(
-        F.upper(_text(method)).alias("method"),
-        address.alias("url"),
-        F.when(address.isNull(), _text(path)).alias("path"),
-        _text(title, 120).alias("title"),
-        _text(description, 240).alias("description"),
-        _text(amount).alias("amount"),
-        F.upper(_text(currency, 16)).alias("currency"),
-        _text(network, 48).alias("network"),
-        F.lit(source).alias("source"),
-    ).cast(ACTION)
-
-
-def candidate(*, url, method, body=None, content_type=None, source="", title=None, amount=None, currency=None, templates=None, discovery=None, price=None) -> Column:
-    """One payment candidate; null without an address."""
-    none_list = F.lit(None).cast("array<string>")
-    made = F.struct(
-        _text(url).alias("url"),
-        F.upper(strip(F.coalesce(method, F.lit("GET")))).alias("method"),
-        F.lit(source).alias("source"),
-        (F.lit(None).cast("string") if body is None else body).alias("body"),
-        _text(content_type).alias("content_type"),
-        _text(title, 120).alias("title"),
-        _text(amount).alias("amount"),
-        F.upper(_text(currency, 16)).alias("currency"),
-        (none_list if templates is None else templates).alias("template_parameters"),
-        (none_list if discovery is None else discovery).alias("discovery_urls"),
-        _text(price).alias("price_lookup_url"),
-    ).cast(CANDIDATE)
-    return F.when(_text(url).isNotNull(), made)
-
-
-def entry(sample: Column, cand: Column, amount: Column, currency: Column, url: Column) -> Column:
-    priced = F.coalesce(strip(amount) != "", F.lit(False))
-    return F.struct(
-        sample.alias("action"), cand.alias("candidate"), priced.alias("priced"), F.upper(_text(currency, 16)).alias("currency"), url.alias("url")
-    ).cast(ENTRY)
+def entries_of(stated: Column) -> Column:
+    """Cleaned samples and payment candidates of stated actions.
+
+    (action, candidate, priced, currency, url) per action; `candidate` is null without an address.
+    """
+
+    def clean(b: Column) -> Column:
+        return F.struct(
+            F.upper(_text(b["method"])).alias("method"), _text(b["url"]).alias("url"), _text(b["path"]).alias("path"),
+            _text(b["title"], 120).alias("title"), _text(b["description"], 240).alias("description"), _text(b["amount"]).alias("amount"),
+            F.upper(_text(b["currency"], 16)).alias("currency"), _text(b["network"], 48).alias("network"), b["source"].alias("source"),
+            b["candidate"].alias("wanted"), b["guess"].alias("guess"), b["body"].alias("body"), b["media"].alias("media"),
+            b["templates"].alias("templates"), b["discovery"].alias("discovery"), b["price_url"].alias("price_url"),
+        )
+
+    def finish(c: Column) -> Column:
+        sample = [c[n].alias(n) for n in ("method", "url")]
+        sample.append(F.when(c["url"].isNull(), c["path"]).alias("path"))
+        sample += [c[n].alias(n) for n in ("title", "description", "amount", "currency", "network", "source")]
+        body = F.when(c["guess"], F.coalesce(c["body"], example_body(F.coalesce(c["url"], c["path"]), c["method"]))).otherwise(c["body"])
+        cand = F.struct(
+            c["url"].alias("url"), F.coalesce(c["method"], F.lit("GET")).alias("method"), c["source"].alias("source"), body.alias("body"),
+            c["media"].alias("content_type"), c["title"].alias("title"), c["amount"].alias("amount"), c["currency"].alias("currency"),
+            c["templates"].alias("template_parameters"), c["discovery"].alias("discovery_urls"), c["price_url"].alias("price_lookup_url"),
+        )
+        return F.struct(
+            F.struct(*sample).alias("action"), F.when(c["wanted"] & c["url"].isNotNull(), cand).alias("candidate"),
+            c["amount"].isNotNull().alias("priced"), c["currency"].alias("currency"), c["url"].alias("url"), c["network"].alias("network"),
+        )
+
+    return F.transform(F.transform(stated, clean), finish)
 
 
 def method_of(raw: Column) -> Column:
@@ -83,51 +87,56 @@ def path_of(raw: Column) -> Column:
 SERVICE = ["url", "resource", "endpoint", "path", "method", "pricing", "price", "amount", "currency", "network", "name", "description"]
 
 
-def service_entry(s: Column, base: Column, source: str) -> Column:
-    raw = D.as_string(D.first_truthy(s["url"], s["resource"], s["endpoint"], s["path"]))
-    verb = F.coalesce(D.as_string(s["method"]), method_of(raw), F.lit("POST"))
-    url = U.resolve(base, path_of(raw))
-    amount = D.as_text(F.coalesce(D.first_truthy(D.get(s["pricing"], "amount")), s["price"]))
-    currency = D.as_string(D.first_truthy(D.get(s["pricing"], "asset"), D.get(s["pricing"], "currency"), s["currency"]))
-    network = D.as_string(D.first_truthy(D.get(s["pricing"], "network"), s["network"]))
-    title = F.coalesce(D.as_string(s["name"]), raw)
-    sample = action(method=verb, url=url, path=path_of(raw), title=title, description=D.as_string(s["description"]), amount=amount, currency=currency, network=network, source=source)
-    cand = candidate(url=url, method=verb, body=example_body(url, verb), content_type=F.lit("application/json"), source=source, title=title, amount=amount, currency=currency)
-    return entry(sample, cand, amount, currency, url)
-
-
-def endpoint_entry(raw: Column, e: Column, base: Column, source: str) -> Column:
-    verb = F.coalesce(D.as_string(e["method"]), method_of(raw), F.lit("POST"))
-    url = U.resolve(base, path_of(raw))
-    amount = D.as_text(F.coalesce(D.first_truthy(e["price"]), e["amount"]))
-    currency = D.as_string(e["currency"])
-    title = F.coalesce(D.as_string(e["name"]), raw)
-    sample = action(method=verb, url=url, path=path_of(raw), title=title, description=D.as_string(e["description"]), amount=amount, currency=currency, source=source)
-    cand = candidate(url=url, method=verb, body=example_body(F.coalesce(url, path_of(raw)), verb), content_type=F.lit("application/json"), source=source, title=title, amount=amount, currency=currency)
-    return entry(sample, cand, amount, currency, url)
-
-
-def x402_entries(base: Column, services: Column, endpoints: Column, source: str) -> Column:
-    """Entries of a service list, then of an endpoint map or list."""
-    from_services = F.transform(D.objects(services, SERVICE), lambda s: service_entry(s, base, source))
-    by_path = F.filter(
-        F.transform(F.map_entries(D.as_object(endpoints)), lambda e: F.struct(e["key"].alias("raw"), D.members(e["value"], SERVICE).alias("m"))),
-        lambda e: e["m"].isNotNull(),
-    )
-    listed = F.filter(
-        F.transform(
-            D.objects(D.as_list(endpoints), SERVICE),
-            lambda m: F.struct(D.filled_text(D.as_string(D.first_truthy(m["path"], m["url"], m["resource"], m["endpoint"]))).alias("raw"), m.alias("m")),
+def _addressed(stated: Column, base: Column, source: str) -> Column:
+    """Raw statements (raw, verb, title, ...) with their address resolved, as basics."""
+    return F.transform(
+        stated,
+        lambda r: basics(
+            method=F.coalesce(r["verb"], method_of(strip(r["raw"])), F.lit("POST")), url=U.resolve(base, path_of(r["raw"])), path=path_of(r["raw"]),
+            title=r["title"], description=r["description"], amount=r["amount"], currency=r["currency"], network=r["network"], source=source,
+            candidate=True, guess=True, media="application/json",
         ),
-        lambda e: e["raw"].isNotNull(),
     )
-    read = lambda e: endpoint_entry(e["raw"], e["m"], base, source)
-    none = F.array().cast(NO_ENTRIES)
-    return F.concat(
-        F.coalesce(from_services, none), F.coalesce(F.transform(by_path, read), F.transform(listed, read), none)
+
+
+def _stated(raw: Column, s: Column, amount: Column, currency: Column, network: Column) -> Column:
+    return F.struct(
+        raw.alias("raw"), D.as_string(s["method"]).alias("verb"), F.coalesce(D.as_string(s["name"]), raw).alias("title"),
+        D.as_string(s["description"]).alias("description"), D.as_text(amount).alias("amount"), currency.alias("currency"), network.alias("network"),
     )
 
 
+def x402_basics(base: Column, services: Column | None, endpoint_map: Column, endpoint_list: Column | None, source: str) -> Column:
+    """Statements of a service list, then of an endpoint map or list."""
+    none = F.lit(None).cast("string")
+
+    def service(s: Column) -> Column:
+        raw = D.as_string(D.first_truthy(s["url"], s["resource"], s["endpoint"], s["path"]))
+        amount = F.coalesce(D.first_truthy(D.get(s["pricing"], "amount")), s["price"])
+        currency = D.as_string(D.first_truthy(D.get(s["pricing"], "asset"), D.get(s["pricing"], "currency"), s["currency"]))
+        return _stated(raw, s, amount, currency, D.as_string(D.first_truthy(D.get(s["pricing"], "network"), s["network"])))
+
+    def endpoint(e: Column) -> Column:
+        amount = F.coalesce(D.first_truthy(e["m"]["price"]), e["m"]["amount"])
+        return _stated(e["raw"], e["m"], amount, D.as_string(e["m"]["currency"]), none)
+
+    mapped = F.transform(F.map_entries(endpoint_map), lambda e: F.struct(e["key"].alias("raw"), D.members(e["value"], SERVICE).alias("m")))
+    found = F.filter(mapped, lambda e: e["m"].isNotNull())
+    if endpoint_list is not None:
+        listed = F.transform(
+            D.objects(endpoint_list, SERVICE),
+            lambda m: F.struct(D.filled_text(D.as_string(D.first_truthy(m["path"], m["url"], m["resource"], m["endpoint"]))).alias("raw"), m.alias("m")),
+        )
+        found = F.coalesce(found, F.filter(listed, lambda e: e["raw"].isNotNull()))
+    by_path = F.transform(found, endpoint)
+    if services is None:
+        stated = by_path
+    else:
+        of_services = F.transform(D.objects(services, SERVICE), service)
+        stated = F.coalesce(F.concat(of_services, by_path), of_services, by_path)
+    return F.coalesce(_addressed(stated, base, source), none_yet())
+
+
 def urls_of(entries: Column, limit: int = 12) -> Column:
     return merge_ordered(empty_strings(), F.transform(entries, lambda e: e["url"]), limit)
 

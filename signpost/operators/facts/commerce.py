@@ -13,7 +13,7 @@ from signpost.functions.lists import empty_strings, first_by_key, let, merge_all
 from signpost.functions.stage import compute
 from signpost.operators.facts.common import finished, judged, starts_json, truncated
 from signpost.operators.facts.contracts import doc_hints, has_key, m, parsed, top_keys
-from signpost.operators.facts.hints import NO_HINTS, hint_members, payment_hints, surface_of
+from signpost.operators.facts.hints import hint_members, payment_hints, surface_of
 from signpost.operators.facts.observed import observed_members, with_observed
 
 OFFER = [
@@ -59,15 +59,19 @@ def _live_hints() -> Column:
         D.as_list(m("machine_payment_paths")),
         lambda v: T.is_live(D.text_at(v, "status")) & ~T.is_human_checkout(D.text_at(v, "kind")),
     )
-    of_paths = F.transform(paths, lambda v: payment_hints(D.strings_in(v)))
+    none = F.lit(None).cast("string")
+    of_paths = F.transform(paths, lambda v: F.struct(none.alias("name"), v.alias("v")))
+    sections = F.filter(
+        F.array(*[F.struct(F.lit(n).alias("name"), m(n).alias("v")) for n in V.NAMED_PROVIDER_SECTIONS]),
+        lambda x: T.is_live(D.text_at(x["v"], "status")),
+    )
+    named = F.concat(F.coalesce(of_paths, F.array().cast("array<struct<name:string,v:variant>>")), sections)
 
-    def section(name: str) -> Column:
-        own = payment_hints(D.strings_in(m(name)))
-        named = let(own, lambda h: h.withField("payment_provider_hints", F.concat(F.array(F.lit(name)), h["payment_provider_hints"])))
-        return F.when(T.is_live(D.text_at(m(name), "status")), named)
+    def read(x: Column) -> Column:
+        own = F.filter(F.array(x["name"]), lambda n: n.isNotNull())
+        return let(payment_hints(D.strings_in(x["v"])), lambda h: h.withField("payment_provider_hints", F.concat(own, h["payment_provider_hints"])))
 
-    sections = F.array_compact(F.array(*[section(n) for n in V.NAMED_PROVIDER_SECTIONS]))
-    return F.concat(F.coalesce(of_paths, F.array().cast(f"array<{NO_HINTS}>")), sections)
+    return F.transform(named, read)
 
 
 def commerce_facts(fetches: DataFrame) -> DataFrame:

@@ -11,7 +11,6 @@ from signpost.functions import text as T
 from signpost.functions import urls as U
 from signpost.functions.lists import empty_strings, let, merge_all, merge_ordered, non_empty, sorted_distinct
 from signpost.functions.stage import compute
-from signpost.operators.candidates import example_body
 from signpost.operators.facts import actions as A
 from signpost.operators.facts.common import documents, finished, judged, starts_json, truncated
 from signpost.operators.facts.hints import HINT_NAMES, NO_HINTS, hint_members, payment_hints
@@ -47,29 +46,28 @@ ROLE_LEAVES = ["products", "docs", "orders", "register", "wallet_guides"]
 ENDPOINT = "array<struct<name:string,path:string,closed:boolean>>"
 
 
-def named_endpoints(v: Column, prefix: Column | None = None, depth: int = 4) -> Column:
+def named_endpoints(members: Column, prefix: Column | None = None, depth: int = 3) -> Column:
     """(dotted name, address, needs auth) of nested endpoint objects and address strings."""
     none = F.array().cast(ENDPOINT)
-    shape = lambda path, closed: F.array(
-        F.struct((F.lit("") if prefix is None else prefix).alias("name"), path.alias("path"), closed.alias("closed"))
-    ).cast(ENDPOINT)
-    own = D.filled_text(D.as_string(D.first_truthy(D.get(v, "path"), D.get(v, "url"), D.get(v, "endpoint"), D.get(v, "href"))))
-    direct = shape(own, D.as_text(D.get(v, "auth")) == "True")
-    text = F.lit(False) if prefix is None else (D.kind(v) == "STRING")
-    result = F.when(text, shape(D.as_string(v), F.lit(False))).when(own.isNotNull(), direct)
-    if depth == 0:
-        return result.otherwise(none)
-    name = lambda e: e["key"] if prefix is None else F.concat(prefix, F.lit("."), e["key"])
-    below = F.flatten(F.transform(F.map_entries(D.as_object(v)), lambda e: named_endpoints(e["value"], name(e), depth - 1)))
-    return result.otherwise(F.coalesce(below, none))
 
+    def one(e: Column) -> Column:
+        name = e["key"] if prefix is None else F.concat(prefix, F.lit("."), e["key"])
+        v = e["value"]
+        return let(F.struct(name.alias("name"), v.alias("v"), D.members(v, ["path", "url", "endpoint", "href", "auth"]).alias("o")), found)
 
-def _first_url(base: Column, *values: Column) -> Column:
-    return F.coalesce(*[U.resolve(base, D.as_string(v)) for v in values])
+    def found(x: Column) -> Column:
+        o = x["o"]
+        shape = lambda path, closed: F.array(F.struct(x["name"].alias("name"), path.alias("path"), closed.alias("closed"))).cast(ENDPOINT)
+        own = D.filled_text(D.as_string(D.first_truthy(o["path"], o["url"], o["endpoint"], o["href"])))
+        here = F.when(D.kind(x["v"]) == "STRING", shape(D.as_string(x["v"]), F.lit(False))).when(own.isNotNull(), shape(own, D.as_text(o["auth"]) == "True"))
+        below = named_endpoints(D.as_object(x["v"]), x["name"], depth - 1) if depth else none
+        return here.otherwise(F.coalesce(below, none))
+
+    return F.flatten(F.transform(F.map_entries(members), one))
 
 
 def agent_facts(fetches: DataFrame) -> DataFrame:
-    names = ["url", "api", "authentication", "auth", "capabilities", "discovery", "documentation", "endpoints", "links",
+    names = ["url", "api", "authentication", "auth", "capabilities", "discovery", "documentation", "links",
              "payment", "x402", "skills", "documentationUrl", "openApiUrl"]
     docs = parsed(fetches, names)
     verdict = judged(
@@ -84,22 +82,35 @@ def agent_facts(fetches: DataFrame) -> DataFrame:
     )
     seen = with_observed(verdict, "text", F.col("is_valid"))
     base = F.col("base")
-    link = lambda v: U.resolve(base, D.as_string(v))
-    urls = compute(
-        seen,
-        _service=link(m("url")),
-        _api=link(D.get(m("api"), "base_url")),
-        _docs=_first_url(
-            base, D.get(m("api"), "docs"), D.get(m("discovery"), "docs"), m("documentationUrl"), D.get(m("documentation"), "quickStart"),
+    # every address the document names, resolved in one go; groups are picked by their place
+    groups = {
+        "service": [m("url")],
+        "api": [D.get(m("api"), "base_url")],
+        "docs": [
+            D.get(m("api"), "docs"), D.get(m("discovery"), "docs"), m("documentationUrl"), D.get(m("documentation"), "quickStart"),
             D.get(m("documentation"), "fullReference"), D.get(m("links"), "documentation"),
-        ),
-        _openapi=_first_url(
-            base, D.get(m("discovery"), "openapi"), D.get(m("api"), "openapi"), m("openApiUrl"), D.fields(F.col("text"), ["openapiUrl"])["openapiUrl"],
+        ],
+        "openapi": [
+            D.get(m("discovery"), "openapi"), D.get(m("api"), "openapi"), m("openApiUrl"), D.fields(F.col("text"), ["openapiUrl"])["openapiUrl"],
             D.get(m("documentation"), "openApiSpec"), D.get(m("links"), "documentation"),
-        ),
-        _x402=_first_url(base, D.get(m("discovery"), "x402"), D.get(m("x402"), "url"), D.get(m("x402"), "discovery")),
-        _endpoints=F.when(D.as_object(m("endpoints")).isNotNull(), named_endpoints(m("endpoints"))),
+        ],
+        "x402": [D.get(m("discovery"), "x402"), D.get(m("x402"), "url"), D.get(m("x402"), "discovery")],
+        "brand": [D.get(m("discovery"), "brand_facts")],
+        "llms": [D.get(m("discovery"), "llms_txt")],
+    }
+    named = [v for vs in groups.values() for v in vs]
+    # maps keep the order of the document
+    ordered = F.from_json("text", "endpoints map<string,variant>, x402 struct<endpoints map<string,variant>>")
+    resolved = compute(
+        seen,
+        _named=F.transform(F.transform(F.array(*named), D.as_string), lambda v: U.resolve(base, v)),
+        _maps=F.when(F.col("is_valid"), ordered),
     )
+    place, picks = 0, {}
+    for group, values in groups.items():
+        picks[f"_{group}"] = F.coalesce(*[F.col("_named")[place + i] for i in range(len(values))])
+        place += len(values)
+    urls = compute(resolved, **picks, _endpoints=named_endpoints(F.col("_maps.endpoints")))
     schemes = F.concat(*[F.coalesce(F.transform(D.as_list(v), D.as_string), empty_strings()) for v in (D.get(m("authentication"), "schemes"), D.get(m("auth"), "schemes"))])
     signaled = (
         F.coalesce(F.lower(D.filled(m("payment"), "protocol")) == "x402", F.lit(False))
@@ -113,29 +124,31 @@ def agent_facts(fetches: DataFrame) -> DataFrame:
             "_endpoints",
             lambda e: F.struct(F.substring_index(e["name"], ".", -1).alias("leaf"), U.resolve_api_path(api_or_base, e["path"]).alias("url"), e["closed"].alias("closed")),
         ),
-        _entries=A.x402_entries(base, F.lit(None).cast("array<variant>"), D.object_at(m("x402"), "endpoints"), "agent_x402"),
-        _extension=_extension_entries(F.coalesce("_api", "_service", "base")),
-        _skills=F.transform(
+        _x402_basics=A.x402_basics(base, None, F.col("_maps.x402.endpoints"), None, "agent_x402"),
+        _extension_basics=_extension_basics(F.coalesce("_api", "_service", "base")),
+        _skill_basics=F.transform(
             D.objects(D.as_list(m("skills")), ["name", "id", "description", "pricing"]),
-            lambda s: F.struct(
-                F.coalesce(D.as_string(s["name"]), D.as_string(s["id"])).alias("title"), D.as_string(s["description"]).alias("description"),
-                D.as_text(D.get(s["pricing"], "amount")).alias("amount"), D.text_at(s["pricing"], "currency").alias("currency"),
+            lambda s: A.basics(
+                title=F.coalesce(D.as_string(s["name"]), D.as_string(s["id"])), description=D.as_string(s["description"]),
+                amount=D.as_text(D.get(s["pricing"], "amount")), currency=D.text_at(s["pricing"], "currency"), source="agent_skill", candidate=False,
             ),
         ),
         _networks=D.objects(D.list_at(m("payment"), "networks"), ["name", "chain_id", "currency", "asset"]),
         _x402_urls=merge_all([F.array("_x402"), F.when(signaled, F.array(U.well_known_x402(F.col("_service")), U.well_known_x402(F.col("_api"))))], 8),
         _hints=F.when(F.col("is_valid"), doc_hints()),
     )
+    joined = F.concat("_x402_basics", "_extension_basics", F.coalesce("_skill_basics", A.none_yet()))
+    every = compute(staged, _every=A.entries_of(joined))
+    by_source = lambda source: F.filter("_every", lambda e: e["action"]["source"] == source)
+    split = compute(every, _from_x402=by_source("agent_x402"), _from_extension=by_source("agent_extension"), _from_skill=by_source("agent_skill"))
     role = lambda leaf: merge_ordered(empty_strings(), F.transform(F.filter("_opened", lambda e: e["leaf"] == leaf), lambda e: e["url"]), 6)
     open_urls = F.transform(F.filter("_opened", lambda e: ~F.coalesce(e["closed"], F.lit(False))), lambda e: e["url"])
     net = lambda name: F.transform("_networks", lambda n: D.filled_text(D.as_string(n[name])))
     up = lambda xs, n: F.transform(xs, lambda x: F.substring(F.upper(x), 1, n))
+    codes = lambda c: F.transform(c, lambda e: F.substring(e["currency"], 1, 12))
     x402_asset = D.text_at(m("x402"), "asset")
-    every = F.concat("_entries", F.transform("_extension", lambda e: e["entry"]))
-    skill_actions = F.transform(
-        "_skills", lambda s: A.action(title=s["title"], description=s["description"], amount=s["amount"], currency=s["currency"], source="agent_skill")
-    )
-    priced = F.size(F.filter(every, lambda e: e["priced"])) + F.coalesce(F.size(F.filter("_skills", lambda s: T.strip(s["amount"]) != "")), F.lit(0))
+    public = merge_all([open_urls, A.urls_of(F.col("_from_x402"))], 12)
+    counted = compute(split, _public=public, _docs_role=role("docs"))
     facts = F.struct(
         top_keys().alias("top_level_keys"),
         F.col("_service").alias("service_url"),
@@ -144,59 +157,58 @@ def agent_facts(fetches: DataFrame) -> DataFrame:
         F.col("_openapi").alias("openapi_url"),
         F.coalesce("_x402", F.get("_x402_urls", F.lit(0))).alias("x402_url"),
         F.col("_x402_urls").alias("x402_urls"),
-        link(D.get(m("discovery"), "brand_facts")).alias("brand_facts_url"),
-        link(D.get(m("discovery"), "llms_txt")).alias("llms_url"),
-        merge_all([open_urls, A.urls_of(F.col("_entries"))], 12).alias("public_endpoint_urls"),
-        F.size(merge_all([open_urls, A.urls_of(F.col("_entries"))], 12)).alias("public_endpoint_count"),
+        F.col("_brand").alias("brand_facts_url"),
+        F.col("_llms").alias("llms_url"),
+        F.col("_public").alias("public_endpoint_urls"),
+        F.size("_public").alias("public_endpoint_count"),
         role("products").alias("product_urls"),
-        F.coalesce(non_empty(role("docs")), F.when(F.col("_docs").isNotNull(), F.array("_docs")), empty_strings()).alias("docs_urls"),
+        F.coalesce(non_empty(F.col("_docs_role")), F.when(F.col("_docs").isNotNull(), F.array("_docs")), empty_strings()).alias("docs_urls"),
         role("orders").alias("order_urls"),
         role("register").alias("register_urls"),
         role("wallet_guides").alias("wallet_guides_urls"),
         D.text_at(m("payment"), "protocol").alias("payment_protocol"),
-        merge_all([net("name"), F.array(D.text_at(m("x402"), "network")), F.transform("_extension", lambda e: e["network"])], 12).alias("payment_network_names"),
+        merge_all([net("name"), F.array(D.text_at(m("x402"), "network")), F.transform("_from_extension", lambda e: e["network"])], 12).alias("payment_network_names"),
         merge_all([net("chain_id")], 12).alias("payment_chain_ids"),
         merge_all(
-            [up(net("currency"), 12), F.array(F.substring(F.upper(x402_asset), 1, 12)), A.currencies_of(F.col("_entries")),
-             up(F.transform("_extension", lambda e: e["currency"]), 12), up(F.transform("_skills", lambda s: T.strip(s["currency"])), 12)], 12,
+            [up(net("currency"), 12), F.array(F.substring(F.upper(x402_asset), 1, 12)), A.currencies_of(F.col("_from_x402")),
+             codes(F.col("_from_extension")), codes(F.col("_from_skill"))], 12,
         ).alias("payment_currency_codes"),
         merge_all([net("asset"), F.array(x402_asset)], 12).alias("payment_assets"),
         D.text_at(m("payment"), "recommended_client").alias("recommended_client"),
-        A.samples_of(F.concat(F.transform(every, lambda e: e["action"]), F.coalesce(skill_actions, F.array().cast(f"array<{A.ACTION}>")))).alias("sample_actions"),
-        priced.alias("priced_action_count"),
-        A.candidates_of(F.transform(every, lambda e: e["candidate"])).alias("payment_probe_candidates"),
+        A.samples_of(F.transform("_every", lambda e: e["action"])).alias("sample_actions"),
+        F.size(F.filter("_every", lambda e: e["priced"])).alias("priced_action_count"),
+        A.candidates_of(F.transform("_every", lambda e: e["candidate"])).alias("payment_probe_candidates"),
         *observed_members(),
         *hint_members(F.col("_hints")),
     )
-    return finished(staged, facts)
+    return finished(counted, facts)
 
 
-def _extension_entries(base: Column) -> Column:
+def _extension_basics(base: Column) -> Column:
     """Priced paths of capability extensions; the ones below `/batch` are sent, the others read."""
 
     def of_extension(x: Column) -> Column:
         params = x["params"]
-        currency, network = D.text_at(params, "currency"), D.text_at(params, "network")
         prices = F.filter(F.map_entries(D.as_object(D.get(params, "pricing", "endpoints"))), lambda e: T.strip(e["key"]) != "")
+        return F.transform(
+            prices,
+            lambda e: F.struct(
+                e["key"].alias("raw"), F.when(F.lower(e["key"]).contains("/batch"), "POST").otherwise("GET").alias("verb"),
+                F.when(D.as_object(e["value"]).isNotNull(), D.as_text(D.get(e["value"], "price"))).otherwise(D.as_text(e["value"])).alias("amount"),
+                D.text_at(e["value"], "description").alias("about"), D.text_at(params, "currency").alias("currency"), D.text_at(params, "network").alias("network"),
+            ),
+        )
 
-        def priced(e: Column) -> Column:
-            raw, price = e["key"], e["value"]
-            url = U.resolve_api_path(base, raw)
-            amount = F.when(D.as_object(price).isNotNull(), D.as_text(D.get(price, "price"))).otherwise(D.as_text(price))
-            about = D.text_at(price, "description")
-            verb = F.when(F.lower(raw).contains("/batch"), "POST").otherwise("GET")
-            sample = A.action(method=verb, url=url, path=raw, title=U.last_segment(T.strip(raw)), description=about, amount=amount, currency=currency, network=network, source="agent_extension")
-            cand = A.candidate(
-                url=url, method=verb, content_type=F.lit("application/json"), source="agent_extension", title=F.coalesce(D.filled_text(about), raw),
-                amount=amount, currency=currency, templates=non_empty(U.template_parameters(raw)),
-            )
-            return F.struct(A.entry(sample, cand, amount, currency, url).alias("entry"), T.strip(currency).alias("currency"), T.strip(network).alias("network"))
-
-        return F.transform(prices, priced)
+    def priced(r: Column) -> Column:
+        return A.basics(
+            method=r["verb"], url=U.resolve_api_path(base, r["raw"]), path=r["raw"], title=U.last_segment(T.strip(r["raw"])), description=r["about"],
+            amount=r["amount"], currency=r["currency"], network=r["network"], source="agent_extension", candidate=True, guess=False,
+            media="application/json", templates=non_empty(U.template_parameters(r["raw"])),
+        )
 
     extensions = D.objects(D.list_at(m("capabilities"), "extensions"), ["params"])
-    none = F.array().cast(f"array<struct<entry:{A.ENTRY},currency:string,network:string>>")
-    return F.coalesce(F.flatten(F.transform(extensions, lambda x: F.coalesce(of_extension(x), none))), none)
+    stated = F.flatten(F.filter(F.transform(extensions, of_extension), lambda x: x.isNotNull()))
+    return F.coalesce(F.transform(stated, priced), A.none_yet())
 
 
 def agents_facts(fetches: DataFrame) -> DataFrame:
@@ -280,15 +292,15 @@ def _discovery_urls(path: Column, readable: Column, base: Column) -> Column:
         )
 
     likely = F.filter(readable, lambda r: (r["path"] != path) & (F.size(U.template_parameters(r["path"])) == 0) & (score(r) > 0))
-    found = F.transform(likely, lambda r: U.resolve_api_path(base, r["path"]))
-    return F.when(collection, F.array(U.resolve_api_path(base, stem))).otherwise(merge_ordered(empty_strings(), found, 6))
+    chosen = F.when(collection, F.array(stem)).otherwise(F.transform(likely, lambda r: r["path"]))
+    return merge_ordered(empty_strings(), F.transform(chosen, lambda p: U.resolve_api_path(base, p)), 6)
 
 
 def _price_url(path: Column, readable: Column, base: Column) -> Column:
     parent = F.regexp_replace(path, "/[^/]*$", "")
     paths = [F.concat(parent, F.lit(s)) for s in ("/price", "/pricing", "/quote")]
     known = F.transform(readable, lambda r: r["path"])
-    return F.coalesce(*[F.when(F.array_contains(known, p), U.resolve_api_path(base, p)) for p in paths])
+    return U.resolve_api_path(base, F.coalesce(*[F.when(F.array_contains(known, p), p) for p in paths]))
 
 
 def openapi_facts(fetches: DataFrame) -> DataFrame:
@@ -321,23 +333,18 @@ def openapi_facts(fetches: DataFrame) -> DataFrame:
     )
     paid = compute(opened, _paid=F.filter("_ops", lambda o: o["paid"]))
     base, readable = F.col("_server"), F.col("_readable")
-    url = lambda o: U.resolve_api_path(base, o["path"])
 
     def made(o: Column) -> Column:
-        def with_url(u: Column) -> Column:
-            sample = A.action(method=o["verb"], url=u, path=o["path"], title=o["title"], description=o["description"], source="openapi")
-            names = U.template_parameters(o["path"])
-            templated = F.size(names) > 0
-            cand = A.candidate(
-                url=u, method=o["verb"], body=example_body(F.coalesce(u, o["path"]), F.upper(o["verb"])), content_type=F.lit("application/json"),
-                source="openapi", title=o["title"], templates=non_empty(names),
-                discovery=F.when(templated, non_empty(_discovery_urls(o["path"], readable, base))), price=F.when(templated, _price_url(o["path"], readable, base)),
-            )
-            return F.struct(sample.alias("action"), cand.alias("candidate"))
-
-        return let(url(o), with_url)
-
-    built = compute(paid, _made=F.transform("_paid", made))
+        names = U.template_parameters(o["path"])
+        templated = F.size(names) > 0
+        return A.basics(
+            method=o["verb"], url=U.resolve_api_path(base, o["path"]), path=o["path"], title=o["title"], description=o["description"], source="openapi",
+            candidate=True, guess=True, media="application/json", templates=non_empty(names),
+            discovery=F.when(templated, non_empty(_discovery_urls(o["path"], readable, base))), price_url=F.when(templated, _price_url(o["path"], readable, base)),
+        )
+
+    stated = compute(paid, _stated=F.transform("_paid", made))
+    built = compute(stated, _made=A.entries_of(F.col("_stated")))
     schemes = F.concat(*[F.coalesce(F.map_keys(D.as_object(v)), empty_strings()) for v in (D.get(m("components"), "securitySchemes"), m("securityDefinitions"))])
     facts = F.struct(
         F.col("_version").alias("openapi_version"),
@@ -399,60 +406,55 @@ RESOURCE = ["url", "resource", "endpoint", "name", "description", "method"]
 def _resource_title(resource: Column, fallback: Column) -> Column:
     """Document name, else resource name, else first sentence of its description, else the address tail."""
     sentence = T.blank_to_null(T.strip(F.split_part(D.filled_text(D.as_string(resource["description"])), F.lit(". "), F.lit(1))))
-    tail = U.last_segment(T.strip(fallback))
-    return F.substring(F.coalesce(D.filled_text(D.as_string(m("name"))), D.filled_text(D.as_string(resource["name"])), sentence, tail), 1, 120)
-
-
-def _resource_entry(r: Column, base: Column) -> Column:
-    raw = D.as_string(r)
-    none_text = F.lit(None).cast("string")
-
-    def from_text(t: Column) -> Column:
-        verb = F.coalesce(method_prefix(t), F.lit("POST"))
-        url = U.resolve(base, A.path_of(t))
-        sample = A.action(method=verb, url=url, path=A.path_of(t), title=U.last_segment(A.path_of(t)), source="x402")
-        cand = A.candidate(url=url, method=verb, body=example_body(F.coalesce(url, A.path_of(t)), verb), content_type=F.lit("application/json"), source="x402")
-        return A.entry(sample, cand, none_text, none_text, url)
-
-    def from_object(o: Column) -> Column:
-        url = F.coalesce(*[D.filled_text(D.as_string(o[k])) for k in ("url", "resource", "endpoint")])
-        verb = F.coalesce(D.as_string(o["method"]), F.lit("POST"))
-        sample = A.action(method=verb, url=url, title=_resource_title(o, url), description=D.as_string(o["description"]), source="x402")
-        return F.when(url.isNotNull(), A.entry(sample, F.lit(None).cast(A.CANDIDATE), none_text, none_text, url))
-
-    as_object = let(D.members(r, RESOURCE), lambda o: F.when(o.isNotNull(), from_object(o)))
-    return F.when(T.strip(raw) != "", from_text(raw)).otherwise(as_object)
-
+    own = F.coalesce(F.col("_name"), D.filled_text(D.as_string(resource["name"])), sentence, U.last_segment(T.strip(fallback)))
+    return F.substring(own, 1, 120)
+
+
+def _resource_basics(base: Column) -> Column:
+    """Resources given as text (`POST /x`) or as objects; objects without an address drop out."""
+
+    def read(r: Column) -> Column:
+        o = D.members(r, RESOURCE)
+        return F.struct(D.filled_text(D.as_string(r)).alias("raw"), o.alias("o"))
+
+    def one(x: Column) -> Column:
+        o, raw = x["o"], x["raw"]
+        address = F.coalesce(*[D.filled_text(D.as_string(o[k])) for k in ("url", "resource", "endpoint")])
+        verb = F.coalesce(F.when(raw.isNotNull(), A.method_of(raw)).otherwise(D.as_string(o["method"])), F.lit("POST"))
+        return A.basics(
+            method=verb, url=F.when(raw.isNotNull(), U.resolve(base, A.path_of(raw))).otherwise(address), path=A.path_of(raw),
+            title=F.when(raw.isNotNull(), U.last_segment(A.path_of(raw))).otherwise(_resource_title(o, address)),
+            description=D.as_string(o["description"]), source="x402", candidate=raw.isNotNull(), guess=True,
+            media=F.when(raw.isNotNull(), "application/json"), templates=None,
+        )
 
-def method_prefix(t: Column) -> Column:
-    return A.method_of(T.strip(t))
+    found = F.transform(F.transform("_resources", read), one)
+    return F.filter(found, lambda b: b["candidate"] | b["url"].isNotNull())
 
 
-def _bazaar_entry(base: Column) -> Column:
+def _bazaar_basics(base: Column) -> Column:
+    """The request a bazaar extension describes; its address falls back to the first resource, then the document."""
     given = D.object_at(m("extensions"), "bazaar", "info", "input")
-    none_text = F.lit(None).cast("string")
 
     def read(pair: Column) -> Column:
         b, first = pair["b"], pair["first"]
-        own = F.coalesce(*[U.resolve(base, D.as_string(b[k])) for k in ("url", "resource", "endpoint", "path")])
-        primary = U.resolve(base, D.as_string(D.first_truthy(first["url"], first["resource"], first["endpoint"])))
-        return let(F.coalesce(own, primary, base), lambda url: built(b, first, url))
+        named = F.array(*[D.as_string(b[k]) for k in ("url", "resource", "endpoint", "path")], D.as_string(D.first_truthy(first["url"], first["resource"], first["endpoint"])))
+        known = F.filter(F.transform(named, lambda v: U.resolve(base, v)), lambda u: u.isNotNull())
+        return let(F.coalesce(F.get(known, F.lit(0)), base), lambda url: built(b, first, url))
 
     def built(b: Column, first: Column, url: Column) -> Column:
-        verb = F.coalesce(D.as_string(b["method"]), F.lit("GET"))
         body_type = D.as_string(b["bodyType"])
-        given_body = F.when(b["body"].isNotNull() & (D.kind(b["body"]) != "VOID"), F.to_json(b["body"]))
-        media = F.when(body_type.isNull() | (body_type == "json"), "application/json").when(body_type == "text", "text/plain")
-        title = _resource_title(first, url)
-        sample = A.action(method=verb, url=url, title=title, description=D.as_string(first["description"]), source="x402")
-        cand = A.candidate(url=url, method=verb, body=F.coalesce(given_body, example_body(url, verb)), content_type=media, source="x402", title=title)
-        return A.entry(sample, cand, none_text, none_text, url)
+        return A.basics(
+            method=F.coalesce(D.as_string(b["method"]), F.lit("GET")), url=url, title=_resource_title(first, url), description=D.as_string(first["description"]),
+            source="x402", candidate=True, guess=True, body=F.when(b["body"].isNotNull() & (D.kind(b["body"]) != "VOID"), F.to_json(b["body"])),
+            media=F.when(body_type.isNull() | (body_type == "json"), "application/json").when(body_type == "text", "text/plain"),
+        )
 
     pair = F.struct(
         D.members(given, ["url", "resource", "endpoint", "path", "method", "body", "bodyType"]).alias("b"),
         D.members(F.get("_resources", F.lit(0)), RESOURCE).alias("first"),
     )
-    return F.when(D.truthy(given), let(pair, read))
+    return F.when(D.truthy(given), F.array(let(pair, read))).otherwise(A.none_yet())
 
 
 def x402_facts(fetches: DataFrame) -> DataFrame:
@@ -469,7 +471,10 @@ def _x402_stage(fetches: DataFrame) -> tuple[DataFrame, Column]:
     staged = compute(docs, _low=low_keys, _items=items, _challenge=F.coalesce(challenge, F.lit(False)), _json=T.is_json_type(F.col("content_type")) | starts_json())
     own = D.as_list(m("resources"))
     resources = F.when(D.as_object(m("resource")).isNotNull(), F.concat(F.array(m("resource")), F.coalesce(own, F.array().cast("array<variant>")))).otherwise(own)
-    read = compute(staged, _accepts=D.as_list(m("accepts")), _resources=F.coalesce(resources, F.array().cast("array<variant>")))
+    read = compute(
+        staged, _accepts=D.as_list(m("accepts")), _resources=F.coalesce(resources, F.array().cast("array<variant>")),
+        _map=F.from_json("text", "endpoints map<string,variant>")["endpoints"], _name=D.filled_text(D.as_string(m("name"))),
+    )
 
     def overlap(names: list[str]) -> Column:
         return F.coalesce(F.arrays_overlap("_low", F.array(*[F.lit(n) for n in names])), F.lit(False))
@@ -493,19 +498,16 @@ def _x402_stage(fetches: DataFrame) -> tuple[DataFrame, Column]:
     note = F.lower(F.coalesce(D.as_string(m("note")), F.lit("")))
     probe_only = (F.coalesce(F.size("_accepts"), F.lit(0)) == 0) & (F.size("_resources") == 0) & T.contains_any(note, V.X402_PROBE_NOTES)
 
-    entries = F.array_compact(
-        F.concat(
-            A.x402_entries(base, D.as_list(m("services")), m("endpoints"), "x402"),
-            F.transform("_resources", lambda r: _resource_entry(r, base)),
-            F.array(_bazaar_entry(base)),
-        )
+    stated = F.concat(
+        A.x402_basics(base, D.as_list(m("services")), F.col("_map"), D.as_list(m("endpoints")), "x402"), _resource_basics(base), _bazaar_basics(base)
     )
     tested = compute(
         read, _structured=structured, _error=generic_error, _probe=probe_only,
-        _entries=F.when(F.col("_keys").isNotNull() & structured, entries),
+        _stated=F.when(F.col("_keys").isNotNull() & structured, stated),
         _matching=F.size(F.filter(F.slice("_items", 1, 20), lambda v: F.coalesce(F.arrays_overlap(
             F.transform(F.map_keys(D.as_object(v)), lambda k: F.lower(T.strip(k))), F.array(*[F.lit(k) for k in V.X402_KEYS + V.X402_LIST_KEYS])), F.lit(False)))),
     )
+    tested = compute(tested, _entries=A.entries_of(F.col("_stated")))
     headers_present = F.col("_required").isNotNull() | F.col("_auth").isNotNull()
     actionable = (
         (F.size("_accepts") > 0) | (F.size("_resources") > 0) | (F.size("_entries") > 0) | headers_present

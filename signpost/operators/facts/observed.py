@@ -16,7 +16,6 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from signpost import values as V
 from signpost.functions.stage import compute
-from signpost.functions.text import strip
 
 STEP = "\x1f"
 # fixed values: walk limits
@@ -26,17 +25,27 @@ NODE = ArrayType(StructType([StructField(n, StringType()) for n in ("path", "nam
 FIRST_KEYS = ("capabilities", "payment", "endpoints")
 
 
+# fixed values: members the rules look at; a node matters when one of them is near its end
+RELEVANT = {
+    "capabilities", "protocol", "payment_methods", "supported_methods", "supported_assets", "assets", "currencies", "networks",
+    "supported_networks", "requirements", "flow", "payment_providers", "providers", "payment_handlers", "handlers", "endpoints",
+}
+
+
 def _walk(value, path, name, depth, out):
     """Strings as (path, raw member name, text); member names as (path of the object + `{}`, '', name)."""
+    near = not RELEVANT.isdisjoint(path.rsplit(STEP, 3)[1:])
     if isinstance(value, str):
-        out.append((path, name, value))
+        if near:
+            out.append((path, name, value.strip()))
     elif depth > MAX_DEPTH:
         return
     elif isinstance(value, dict):
         members = list(value.items())[:MAX_CHILDREN]
         for key, child in members:
             named = "{named}" if isinstance(child, dict) and "name" in child else "{}"
-            out.append((path + STEP + named, "", key))
+            if near:
+                out.append((path + STEP + named, "", key.strip()))
         members.sort(key=lambda m: FIRST_KEYS.index(m[0].strip().lower()) if m[0].strip().lower() in FIRST_KEYS else 9)
         for key, child in members:
             _walk(child, path + STEP + key.strip().lower(), key, depth + 1, out)
@@ -53,7 +62,7 @@ def json_nodes(texts: pd.Series) -> pd.Series:
             _walk(json.loads(text), "", "", 0, out)
         except (ValueError, TypeError, RecursionError):
             return []
-        return [{"path": p, "name": n, "value": v} for p, n, v in out]
+        return [{"path": p, "name": n, "value": v} for p, n, v in out if v]
 
     return texts.map(nodes)
 
@@ -100,20 +109,20 @@ def _best_named(nodes: Column, names: list[str]) -> Column:
 
 def observed_values(nodes: Column) -> Column:
     """(fact_key, values) per fact, in document order, not yet merged."""
-    filled = F.filter(nodes, lambda n: strip(n["value"]) != "")
+    filled = nodes
 
     def by_rule(fact: str, pattern: str, upper: bool) -> Column:
         hits = F.filter(filled, lambda n: n["path"].rlike(pattern))
         if fact == "observed_capability_names":
             hits = _best_named(hits, ["name", "id"])
-        found = F.transform(hits, lambda n: F.upper(strip(n["value"])) if upper else strip(n["value"]))
+        found = F.transform(hits, lambda n: F.upper(n["value"]) if upper else n["value"])
         return F.struct(F.lit(fact).alias("fact_key"), found.alias("values"))
 
     def by_role(fact: str, roles: list[str]) -> Column:
         role = "|".join(roles)
         pattern = rf"{ANYWHERE}endpoints{STEP}(?:{role})(?:{STEP}(?:{'|'.join(ADDRESS_NAMES)}))?$"
         hits = _best_named(F.filter(filled, lambda n: n["path"].rlike(pattern)), ADDRESS_NAMES)
-        return F.struct(F.lit(fact).alias("fact_key"), F.transform(hits, lambda n: strip(n["value"])).alias("values"))
+        return F.struct(F.lit(fact).alias("fact_key"), F.transform(hits, lambda n: n["value"]).alias("values"))
 
     return F.array(*[by_rule(*r) for r in RULES], *[by_role(f, r) for f, r in ROLES.items()])
 

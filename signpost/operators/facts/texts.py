@@ -22,6 +22,7 @@ IMAGE_META = [
     ("property", "og:image:secure_url"), ("property", "og:image"),
     ("name", "twitter:image"), ("name", "twitter:image:src"), ("itemprop", "image"),
 ]
+NAMES = [name for _, name in IMAGE_META]
 # the entities that occur in attribute values and addresses
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&#x27;", "'"),
             ("&#47;", "/"), ("&#x2F;", "/"), ("&nbsp;", " "), ("&#38;", "&"), ("&#x26;", "&"), ("&amp;", "&")]
@@ -52,10 +53,6 @@ def attribute(parsed: Column, name: str) -> Column:
     return F.coalesce(unescape(T.strip(F.try_element_at(parsed["values"], F.when(at > 0, at).cast("int")))), F.lit(""))
 
 
-def _first(values: Column) -> Column:
-    return F.get(F.filter(values, lambda v: v.isNotNull()), F.lit(0))
-
-
 def homepage_facts(fetches: DataFrame) -> DataFrame:
     docs = documents(fetches)
     tags = compute(
@@ -83,36 +80,42 @@ def homepage_facts(fetches: DataFrame) -> DataFrame:
         ),
         lambda x: x["content"] != "",
     )
-    read = compute(tags, _links=links, _metas=metas)
     base = F.col("base")
+    wanted = ["service-desc", "service-meta", "api-catalog", *{t for ts in ICON_RELATIONS for t in ts}]
+    known = compute(
+        tags,
+        _links=F.filter(links, lambda x: F.arrays_overlap(x["rel"], F.array(*[F.lit(w) for w in wanted]))),
+        _metas=F.filter(metas, lambda x: x["property"].isin(*NAMES) | x["name"].isin(*NAMES) | x["itemprop"].isin(*NAMES)),
+    )
+    opened = compute(
+        known,
+        _links=F.filter(F.transform("_links", lambda x: x.withField("url", U.resolve_http(base, x["href"]))), lambda x: x["url"].isNotNull()),
+        _metas=F.filter(F.transform("_metas", lambda x: x.withField("url", U.resolve_http(base, unescape(x["content"])))), lambda x: x["url"].isNotNull()),
+    )
 
     def by_relation(name: str) -> Column:
         hits = F.filter("_links", lambda x: F.array_contains(x["rel"], name))
-        found = F.transform(hits, lambda x: U.resolve_http(base, x["href"]))
-        return non_empty(F.array_distinct(F.filter(found, lambda u: u.isNotNull())))
+        return non_empty(F.array_distinct(F.transform(hits, lambda x: x["url"])))
 
     def icon(tokens: list[str]) -> Column:
         needed = F.array(*[F.lit(t) for t in tokens])
-        hits = F.filter("_links", lambda x: F.size(F.array_except(needed, x["rel"])) == 0)
-        return _first(F.transform(hits, lambda x: U.resolve_http(base, x["href"])))
+        return F.get(F.filter("_links", lambda x: F.size(F.array_except(needed, x["rel"])) == 0), F.lit(0))["url"]
 
     def image(kind: str, name: str) -> Column:
-        hits = F.filter("_metas", lambda x: x[kind] == name)
-        return _first(F.transform(hits, lambda x: U.resolve_http(base, unescape(x["content"]))))
+        return F.get(F.filter("_metas", lambda x: x[kind] == name), F.lit(0))["url"]
 
-    has_links, has_metas = F.size("_links") > 0, F.size("_metas") > 0
     facts = F.struct(
         F.col("_title").alias("title"),
         F.col("_low").contains("shopify").alias("shopify_hint"),
-        F.when(has_links, by_relation("service-desc")).alias("service_desc_urls"),
-        F.when(has_links, by_relation("service-meta")).alias("service_meta_urls"),
-        F.when(has_links, by_relation("api-catalog")).alias("api_catalog_urls"),
-        F.when(has_links, F.coalesce(*[icon(t) for t in ICON_RELATIONS])).alias("favicon_url"),
-        F.when(has_metas, F.coalesce(*[image(k, n) for k, n in IMAGE_META])).alias("og_image_url"),
+        by_relation("service-desc").alias("service_desc_urls"),
+        by_relation("service-meta").alias("service_meta_urls"),
+        by_relation("api-catalog").alias("api_catalog_urls"),
+        F.coalesce(*[icon(t) for t in ICON_RELATIONS]).alias("favicon_url"),
+        F.coalesce(*[image(k, n) for k, n in IMAGE_META]).alias("og_image_url"),
     )
     html = T.is_html_type(F.col("content_type")) | F.col("_low").contains("<html") | F.col("_title").isNotNull()
     verdict = judged(
-        read,
+        opened,
         [(F.col("text") == "", "Empty homepage response body"), (~html & ~T.is_text_type(F.col("content_type")), "Homepage did not look like HTML or text")],
         F.when(html, "Fetched homepage HTML").otherwise("Fetched non-HTML homepage text"),
     )
