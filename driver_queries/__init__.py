@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["receipts", "facts"]
+MODULES = ["receipts", "facts", "outcomes", "streams"]
 
 
 def load():

@@ -70,7 +70,7 @@ def retry_after(header: Column, fetched_at: Column) -> Column:
     )
     micros = F.unix_micros(moment) - F.unix_micros(fetched_at)
     wait = F.greatest(F.floor(micros / F.lit(1e6)).cast("bigint"), F.lit(0).cast("bigint"))
-    return F.when(value.rlike(r"^[0-9]+$"), value.try_cast("bigint")).otherwise(wait)
+    return F.when(value.rlike(r"^[0-9]+$"), value.try_cast("bigint")).when(moment.isNotNull(), wait)
 
 
 def status_allowed() -> Column:
@@ -113,34 +113,52 @@ def early_status(df: DataFrame) -> DataFrame:
     return staged.withColumns({"status": F.col("_verdict.status"), "detail": F.col("_verdict.detail")}).drop("_verdict")
 
 
-def prepared(fetches: DataFrame) -> DataFrame:
+def prepared(fetches: DataFrame, controls: DataFrame) -> DataFrame:
     """Probe responses with control match, Retry-After and the early status. Controls drop out."""
     probes = fetches.where(~is_control()).withColumn(
         "control_group", F.coalesce(F.col("control_group"), lookup(V.CONTROL_GROUP_OF, F.col("probe_key")))
     )
-    matched = mark_soft404(probes, control_signatures(fetches))
+    matched = mark_soft404(probes, controls)
     limited = F.when(F.col("http_status") == 429, retry_after(F.col("headers")["retry-after"], F.col("fetched_at")))
     return early_status(with_validator(matched).withColumn("retry_after_seconds", limited))
 
 
-def skip_reason(outcomes: DataFrame, keys: list[str]) -> DataFrame:
-    """Why a probe of a receipt was not fetched, from the receipt's own outcomes.
+# fixed values: reasons of unfetched probes
+SKIPPED_EARLY = "Skipped after repeated HTTP 429 responses during early discovery probes"
+SKIPPED_DISCOVERY = "Skipped after repeated HTTP 429 responses during discovery probes"
+SKIPPED_NO_SURFACE = "Skipped after repeated HTTP 429 responses without any valid machine-readable surface"
+SKIPPED_NO_HINT = "Skipped because homepage/UCP did not suggest a product catalog"
+SKIPPED_NO_CATALOG = "Skipped because no valid public catalog was detected"
+SKIPPED_NO_CANDIDATE = "Skipped because no payment probe candidate was discovered"
+SKIPPED_TIME = "Skipped after per-domain wall-clock limit was reached before discovery probe fetches completed"
 
-    Adds `skip_limited` and `skip_catalog`: repeated 429 without a valid surface (3 on the first pass,
-    5 on later ones), and no valid product catalogue.
+
+def skip_facts(outcomes: DataFrame, keys: list[str]) -> DataFrame:
+    """What decides why a probe of a receipt was not fetched, with the probes it does have.
+
+    `stop` is the point where repeated 429 answers without a valid surface ended the receipt (3 on the
+    first pass, 5 on later ones): `early` in the cheap probes, `home` with the homepage before any
+    discovery probe, `discovery` after that; null when it was not ended that way.
     """
-    valid = F.col("status") == "valid"
+    valid, limited = F.col("status") == "valid", F.col("status") == "rate_limited"
+    in_group = lambda names: F.col("probe_key").isin(*names)
     sums = outcomes.groupBy(*keys).agg(
-        F.count_if(F.col("status") == "rate_limited").alias("limited"),
-        F.count_if(valid & ~F.col("probe_key").isin(*V.NON_SURFACE_PROBES)).alias("surfaces"),
-        F.coalesce(F.bool_or(valid & F.col("probe_key").isin("products_json", "api_products")), F.lit(False)).alias("has_catalog"),
+        F.collect_set("probe_key").alias("have"),
+        F.count_if(limited & in_group(V.LIGHT_PROBES)).alias("light"),
+        F.count_if(limited).alias("all"),
+        F.count_if(limited & in_group(["homepage"])).alias("home"),
+        F.count_if(in_group(V.DISCOVERY_PROBES)).alias("discovered"),
+        F.count_if(valid & ~in_group(V.NON_SURFACE_PROBES)).alias("surfaces"),
+        F.count_if(valid & in_group(["products_json", "api_products"])).alias("catalogs"),
     )
     threshold = F.when(F.col("attempt") <= 1, V.RATE_LIMIT_SKIP).otherwise(V.RATE_LIMIT_SKIP_RETRY)
-    return sums.select(
-        *keys,
-        ((F.col("limited") >= threshold) & (F.col("surfaces") == 0)).alias("skip_limited"),
-        (~F.col("has_catalog")).alias("skip_catalog"),
+    stop = F.when(
+        F.col("surfaces") == 0,
+        F.when(F.col("light") >= threshold, "early")
+        .when((F.col("discovered") == 0) & ((F.col("home") > 0) | (F.col("all") >= threshold)), "home")
+        .when(F.col("all") >= threshold, "discovery"),
     )
+    return sums.select(*keys, "have", "catalogs", stop.alias("stop"))
 
 
 def complete_outcomes(outcomes: DataFrame) -> DataFrame:
@@ -151,16 +169,16 @@ def complete_outcomes(outcomes: DataFrame) -> DataFrame:
     """
     keys = ["domain", "attempt"]
     expected = F.array(*[F.lit(k) for k in V.EXPECTED_PROBES])
-    have = outcomes.groupBy(*keys).agg(F.collect_set("probe_key").alias("have")).join(skip_reason(outcomes, keys), keys)
-    missing = have.select(*keys, "skip_limited", "skip_catalog", F.explode(F.array_except(expected, "have")).alias("probe_key"))
+    missing = skip_facts(outcomes, keys).select(*keys, "stop", "catalogs", F.explode(F.array_except(expected, "have")).alias("probe_key"))
+    follow_up = F.col("probe_key").isin(*V.FOLLOWUP_PROBES)
     detail = (
-        F.when(F.col("skip_limited") & F.col("probe_key").isin(*V.DISCOVERY_PROBES, *V.LIGHT_PROBES),
-               "Skipped after repeated HTTP 429 responses during discovery probes")
-        .when(F.col("skip_limited"), "Skipped after repeated HTTP 429 responses without any valid machine-readable surface")
-        .when(F.col("probe_key") == "products_json", "Skipped because homepage/UCP did not suggest a product catalog")
-        .when((F.col("probe_key") == "cart_json") & F.col("skip_catalog"), "Skipped because no valid public catalog was detected")
-        .when(F.col("probe_key") == "payment_probe", "Skipped because no payment probe candidate was discovered")
-        .otherwise("Skipped after per-domain wall-clock limit was reached before discovery probe fetches completed")
+        F.when((F.col("stop") == "early") & ~follow_up, SKIPPED_EARLY)
+        .when(F.col("stop") == "home", SKIPPED_NO_SURFACE)
+        .when(F.col("stop") == "discovery", SKIPPED_DISCOVERY)
+        .when(F.col("probe_key") == "products_json", SKIPPED_NO_HINT)
+        .when((F.col("probe_key") == "cart_json") & (F.col("catalogs") == 0), SKIPPED_NO_CATALOG)
+        .when(F.col("probe_key") == "payment_probe", SKIPPED_NO_CANDIDATE)
+        .otherwise(SKIPPED_TIME)
     )
     skipped = missing.select(*keys, "probe_key", F.lit("skipped").alias("status"), detail.alias("detail"))
     return outcomes.unionByName(skipped, allowMissingColumns=True)
