@@ -17,7 +17,11 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, oracle: str | None = None):
     def register(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf)
+
+        QUERIES[name] = run
         if oracle:
             ORACLES[name] = oracle
         return fn
@@ -37,6 +41,15 @@ def run_sql(spark: SparkSession, sf: str, sql: str) -> DataFrame:
     return spark.sql(sql)
 
 
+def spread_out(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the table comes in fewer splits than that (one small file, CPU-heavy work).
+
+    A table of many splits stays as it is: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # One receipt per event, in append order.
 RECEIPT_LOG = """
 SELECT event_id AS pos,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driver_queries.base import VARIANT_LOG, query, run_sql, table
+from driver_queries.base import VARIANT_LOG, query, run_sql, spread_out, table
 from signpost.functions import documents as D
 from signpost.functions import text as T
 from signpost.functions import urls as U
@@ -48,7 +48,7 @@ PARENT_SQL = f"regexp_replace({DIR_SQL}, '^(https?://[^/]+/)(.*/)?[^/]+/$', '\\1
         FROM pages""",
 )
 def homepage_facts(spark, sf):
-    pages = run_sql(spark, sf, PAGE_HTML)
+    pages = spread_out(run_sql(spark, sf, PAGE_HTML))
     facts = texts.homepage_facts(as_fetches(pages, F.col("html"), "homepage", F.col("url"), F.lit("text/html")).drop("html"))
     return facts.select(
         "page_id", "is_valid", "facts.title", "facts.shopify_hint", "facts.favicon_url", "facts.og_image_url",
@@ -112,7 +112,7 @@ ERROR_PAGE = f"(regexp_matches(lower({{0}}), 'web firewall security policies|sec
               FROM (SELECT doc_id, {TRIMMED.format(LLMS_TEXT)} AS t FROM documents) x) d""",
 )
 def llms_facts(spark, sf):
-    docs = run_sql(spark, sf, f"SELECT doc_id, {LLMS_TEXT} AS t FROM documents")
+    docs = spread_out(run_sql(spark, sf, f"SELECT doc_id, {LLMS_TEXT} AS t FROM documents"))
     facts = texts.llms_facts(as_fetches(docs, F.col("t"), "llms_txt", F.lit("https://a.example/llms.txt"), F.lit("text/plain")).drop("t"))
     return facts.select("doc_id", "is_valid", F.col("facts.char_count").cast("bigint").alias("char_count"), F.array_join("facts.x402_urls", ",").alias("x402_urls"))
 
@@ -170,7 +170,7 @@ def _word(marker, text="low"):
               FROM (SELECT doc_id, lower(list_aggregate(list_filter(list_transform(string_split(text, chr(10)), lambda s: {TRIMMED.format('s')}), lambda s: NOT starts_with(s, 'http://') AND NOT starts_with(s, 'https://') AND s <> ''), 'string_agg', chr(10))) AS low FROM documents) l) m""",
 )
 def payment_hints(spark, sf):
-    found = hints.text_hints(table(spark, sf, "documents").select("doc_id", "text"), "text", **VOCABULARY)
+    found = hints.text_hints(spread_out(table(spark, sf, "documents").select("doc_id", "text")), "text", **VOCABULARY)
     return found.select(
         "doc_id", F.array_join("hints.payment_provider_hints", ",").alias("providers"), F.array_join("hints.payment_rail_hints", ",").alias("rails"),
         "hints.payment_surface", "hints.crypto_only",
@@ -251,7 +251,7 @@ FROM lineitem
        FROM (SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS BIGINT) AS b FROM lineitem) l""",
 )
 def price_normalize(spark, sf):
-    rows = run_sql(spark, sf, PRICE_JSON.replace("CAST(CAST(l_extendedprice AS BIGINT) AS STRING)", "CAST(CAST(rint(l_extendedprice) AS BIGINT) AS STRING)"))
+    rows = spread_out(run_sql(spark, sf, PRICE_JSON.replace("CAST(CAST(l_extendedprice AS BIGINT) AS STRING)", "CAST(CAST(rint(l_extendedprice) AS BIGINT) AS STRING)")))
     v = F.from_json(F.concat(F.lit('{"p":'), "price", F.lit("}")), "p variant")["p"]
     return rows.select("l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), D.amount_of(v).alias("price"), D.currency_of(v).alias("currency"))
 
@@ -301,7 +301,7 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, CAST(round(o_total
 
 def json_fetches(spark, sf, sql, probe_key, path, headers=None, status=200):
     """(id columns, json) rows as captured JSON responses of https://h<o_custkey>.example."""
-    rows = run_sql(spark, sf, sql)
+    rows = spread_out(run_sql(spark, sf, sql))
     url = F.concat(F.lit("https://h"), F.col("o_custkey").cast("string"), F.lit(f".example{path}"))
     fetched = as_fetches(rows, F.col("json"), probe_key, url, F.lit("application/json"), status)
     none = F.create_map().cast("map<string,string>")

@@ -265,12 +265,17 @@ def _sample_products() -> Column:
 
 
 def observed_merged() -> list[Column]:
-    """Observed facts of all valid outcomes, in probe order, at most 12 each."""
-    outcomes = [F.when(outcome(k)["status"] == "valid", outcome(k)) for k in V.PROBE_ORDER]
-    return [non_empty(merge_all([fact_strings(o, name) for o in outcomes], 12)).alias(name) for name in V.OBSERVED_KEYS]
+    """Observed facts of all valid outcomes, in probe order, at most 12 each. Reads `_valid_facts`."""
+    empty = F.array().cast("array<string>")
 
+    def of(name: str) -> Column:
+        lists = F.transform("_valid_facts", lambda f: F.coalesce(F.try_variant_get(f, f"$.{name}", "array<string>"), empty))
+        return non_empty(merge_all([F.flatten(lists)], 12)).alias(name)
 
-def aggregates(observed: bool = True) -> Column:
+    return [of(name) for name in V.OBSERVED_KEYS]
+
+
+def aggregates() -> Column:
     """The aggregates document: copied facts under their prefix, merged payment facts, boundaries."""
     home = outcome("homepage")
     agent = F.col("_agent")
@@ -301,7 +306,7 @@ def aggregates(observed: bool = True) -> Column:
         *[fact(F.col("_ucp"), n).alias(n if n == "ucp_version" else f"ucp_{n}") for n in V.UCP_AGGREGATES],
         *_copied(F.col("_x402"), V.X402_AGGREGATES, "x402_"),
         *_copied(F.col("_probe"), V.PAYMENT_PROBE_AGGREGATES, "payment_probe_"),
-        *(observed_merged() if observed else []),
+        *observed_merged(),
         non_empty(F.col("sample_actions")).alias("sample_actions"),
         F.when(F.col("priced_action_count") > 0, F.col("priced_action_count")).alias("priced_action_count"),
         *[non_empty(F.col(n)).alias(n) for n in HINT_LISTS],
@@ -336,6 +341,8 @@ def classified(receipts: DataFrame) -> DataFrame:
 def receipts_of(classified_rows: DataFrame, keep: list[str]) -> DataFrame:
     """Receipt columns of classified rows: (keep..., label, tags, title, aggregates, probes) and the counts W1 compares."""
     probes = [outcome(k)["status"] for k in V.PROBE_ORDER]
+    found = F.array(*[F.when(outcome(k)["status"] == "valid", outcome(k)["facts"]) for k in V.PROBE_ORDER])
+    classified_rows = compute(classified_rows, _valid_facts=F.filter(found, lambda f: f.isNotNull()))
     count = lambda s: reduce(lambda a, b: a + b, [F.coalesce((p == s).cast("int"), F.lit(0)) for p in probes])
     return classified_rows.select(
         *keep, "label", "tags", "title", F.to_variant_object(aggregates()).alias("aggregates"), "probes", "verified_payment_surface",
