@@ -57,6 +57,6 @@ def first_by_key(items: Column, key: Callable[[Column], Column], limit: int) ->
     return let(
         F.transform(items, key),
         lambda keys: F.slice(
-            F.filter(items, lambda x, i: F.array_position(keys, keys.getItem(i)) == i + 1), 1, limit
+            F.filter(items, lambda x, i: F.array_position(keys, F.get(keys, i)) == i + 1), 1, limit
         ),
     )

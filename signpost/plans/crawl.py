@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from signpost import values as V
 from signpost.operators import classify, outcomes, select
 from signpost.operators.facts.registry import FACT_JOBS, FactJob
+from signpost.session import cut
 
 OUTCOME_COLUMNS = [
     "domain", "attempt", "probe_key", "path", "status", "http_status", "content_type", "final_url", "byte_count", "body_sha256",
@@ -54,7 +55,11 @@ def receipts_from_outcomes(all_outcomes: DataFrame, order: str = "fetched_at") -
     return select.best_attempt(classify.receipts_of(rows, keys))
 
 
-def receipts_from_fetches(fetches: DataFrame, domains: DataFrame | None = None) -> DataFrame:
-    """The whole crawl side; with the domain list the receipts also carry rank and row index."""
-    receipts = receipts_from_outcomes(outcomes_from_fetches(fetches))
+def receipts_from_fetches(fetches: DataFrame, domains: DataFrame | None = None, jobs: dict[str, FactJob] | None = None) -> DataFrame:
+    """The whole crawl side; with the domain list the receipts also carry rank and row index.
+
+    The outcomes are written to the shared folder once: bodies are parsed a single time although the
+    completion and the receipts both read them, and a lost executor repeats no parsing.
+    """
+    receipts = receipts_from_outcomes(cut(outcomes_from_fetches(fetches, jobs)))
     return receipts if domains is None else receipts.join(domains, "domain", "left")

@@ -18,6 +18,15 @@ def _offsets(counts: DataFrame, order: list[str]) -> DataFrame:
     return counts.withColumn("rows_before", F.coalesce(F.sum("split_rows").over(before), F.lit(0)))
 
 
+# one offset row per split: 200,000 of them are some 30 MB
+BROADCAST_SPLITS = 200_000
+
+
+def _small(offsets: DataFrame, splits: int) -> DataFrame:
+    """Send the offsets to every task when their number is known to be small; else leave it to Spark."""
+    return F.broadcast(offsets) if splits <= BROADCAST_SPLITS else offsets
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text lines (blank ones kept) with the split they came from: (line, file, block, seq).
 
@@ -46,7 +55,9 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     splits = rows.groupBy("file", "block").agg(
         F.count(F.lit(1)).alias("split_rows"), F.min("seq").alias("first_seq")
     )
-    numbered = rows.join(_offsets(splits, ["file", "block"]), ["file", "block"])
+    # full blocks are no more than partitions, partial ones no more than files
+    bound = rows.rdd.getNumPartitions() + len(rows.inputFiles())
+    numbered = rows.join(_small(_offsets(splits, ["file", "block"]), bound), ["file", "block"])
     return numbered.select((F.col("rows_before") + F.col("seq") - F.col("first_seq")).alias("row_index"), "line")
 
 
@@ -61,6 +72,6 @@ def number_sorted(df: DataFrame, order: list[Column], name: str, partitions: int
     fixed = cut(ranged.sortWithinPartitions(*order))
     tagged = fixed.withColumn("_part", F.spark_partition_id()).withColumn("_seq", F.monotonically_increasing_id())
     parts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("split_rows"), F.min("_seq").alias("_first"))
-    joined = tagged.join(_offsets(parts, ["_part"]), "_part")
+    joined = tagged.join(_small(_offsets(parts, ["_part"]), fixed.rdd.getNumPartitions()), "_part")
     position = F.col("rows_before") + F.col("_seq") - F.col("_first") + 1
     return joined.withColumn(name, position).drop("_part", "_seq", "_first", "rows_before", "split_rows")

@@ -43,49 +43,34 @@ def unseen_stream(domains: DataFrame, seen_log: DataFrame, event_time: str, hori
     return fresh.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(["domain"])
 
 
-def _version(path: str, batch: int) -> str:
-    return f"{path}/batch={batch}"
-
-
-def _latest(spark: SparkSession, path: str, before: int | None = None) -> int | None:
-    """Newest finished batch folder below `path`."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return None
-    names = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("batch=")]
-    done = [int(p.getName().split("=")[1]) for p in names if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-    usable = [b for b in done if before is None or b < before]
-    return max(usable) if usable else None
-
-
-def read_states(spark: SparkSession, path: str) -> DataFrame:
-    """The last receipt per domain written by `keep_positives`."""
-    return spark.read.parquet(_version(path, _latest(spark, path)))
+def last_states(receipts: DataFrame) -> DataFrame:
+    """The last receipt per domain by position."""
+    kept = [c for c in receipts.columns if c != "domain"]
+    return receipts.groupBy("domain").agg(F.max_by(F.struct(*kept), "pos").alias("last")).select("domain", "last.*")
 
 
 def keep_positives(receipts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep the last receipt of every domain up to date, batch by batch.
+    """Record the last receipt of every domain, batch by batch.
 
-    Each batch reduces to its own last receipts, merges with the previous state by position (an older
-    receipt never replaces a newer one) and writes a folder named after the batch, so a repeated
-    batch writes the same folder again. `read_positives` drops domains that lost their signal.
+    A batch reduces to its own last receipts and writes only those, to a folder named after the batch:
+    a repeated batch writes the same folder again, and the cost of a batch does not grow with the
+    state. Readers take the latest position over all batches, so late batches change nothing newer.
     """
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        kept = [c for c in batch.columns if c != "domain"]
-        before = _latest(spark, path, batch_id)
-        rows = batch if before is None else batch.unionByName(spark.read.parquet(_version(path, before)))
-        last = rows.groupBy("domain").agg(F.max_by(F.struct(*kept), "pos").alias("last")).select("domain", "last.*")
-        last.write.mode("overwrite").parquet(_version(path, batch_id))
+    def write(batch: DataFrame, batch_id: int) -> None:
+        last_states(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    return receipts.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return receipts.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def read_positives(spark: SparkSession, path: str) -> DataFrame:
-    return positives(read_states(spark, path))
+    """Domains whose last recorded receipt has a signal; those that lost it are gone."""
+    return positives(spark.read.parquet(path).drop("batch"))
+
+
+def compact_positives(spark: SparkSession, path: str, target: str) -> None:
+    """One batch folder in place of many, for long-running streams."""
+    last_states(spark.read.parquet(path).drop("batch")).write.mode("overwrite").parquet(f"{target}/batch=0")
 
 
 def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:

@@ -17,6 +17,26 @@ def run(spark, job, **row):
     return got["is_valid"], got["detail"], got["facts"]
 
 
+def run_all(spark, job, *rows):
+    """One plan for many documents: (is_valid, detail, facts) in order."""
+    shaped = [{**r, "body": json.dumps(r["body"]) if isinstance(r.get("body"), (dict, list)) else r.get("body", ""), "attempt": i} for i, r in enumerate(rows)]
+    got = sorted(job(fetches(spark, shaped)).collect(), key=lambda r: r["attempt"])
+    assert len(got) == len(rows)
+    return [(r["is_valid"], r["detail"], r["facts"].asDict(recursive=True) if r["facts"] is not None else None) for r in got]
+
+
+_RESOLVED = {}
+
+
+def resolved(spark, how):
+    """All cases of a resolver in one plan."""
+    if how not in _RESOLVED:
+        cases = [m for t in (test_resolve, test_resolve_api_path) for mark in t.pytestmark for m in mark.args[1]]
+        df = spark.createDataFrame([(b, c) for b, c, _ in cases], "b string, c string")
+        _RESOLVED[how] = {(r.b, r.c): r.u for r in df.select("b", "c", how(F.col("b"), F.col("c")).alias("u")).collect()}
+    return _RESOLVED[how]
+
+
 @pytest.mark.parametrize("base,candidate,expected", [
     ("https://a.b/c/d?x=1", "e", "https://a.b/c/e"), ("https://a.b/c/d", "../e", "https://a.b/e"), ("https://a.b", "e/./f", "https://a.b/e/f"),
     ("https://a.b/c", "//h/i", "https://h/i"), ("https://a.b/c/d", "?q=2", "https://a.b/c/d?q=2"), ("https://a.b/c?z#y", "#f", "https://a.b/c?z#f"),
@@ -24,8 +44,7 @@ def run(spark, job, **row):
     (None, "/r", None), ("https://a.b", "  ", None), (None, "http://q", "http://q"), ("https://a.b/c/", "g//h", "https://a.b/c/g/h"),
 ])
 def test_resolve(spark, base, candidate, expected):
-    df = spark.createDataFrame([(base, candidate)], "b string, c string")
-    assert df.select(U.resolve(F.col("b"), F.col("c")).alias("u")).first().u == expected
+    assert resolved(spark, U.resolve)[(base, candidate)] == expected
 
 
 @pytest.mark.parametrize("base,candidate,expected", [
@@ -33,8 +52,7 @@ def test_resolve(spark, base, candidate, expected):
     ("https://a.b", "/x", "https://a.b/x"), ("https://a.b/api", "x", "https://a.b/x"),
 ])
 def test_resolve_api_path(spark, base, candidate, expected):
-    df = spark.createDataFrame([(base, candidate)], "b string, c string")
-    assert df.select(U.resolve_api_path(F.col("b"), F.col("c")).alias("u")).first().u == expected
+    assert resolved(spark, U.resolve_api_path)[(base, candidate)] == expected
 
 
 @pytest.mark.parametrize("price,amount,currency", [
@@ -73,8 +91,9 @@ def test_text_documents(spark):
     text = "x402\nGateway https://g.example/v1, https://g.example/v2.\nhttps://p.example/.well-known/x402"
     ok, _, facts = run(spark, texts.llms_facts, probe_key="llms_txt", content_type="text/plain", body=text)
     assert ok and facts["x402_urls"] == ["https://p.example/.well-known/x402", "https://g.example/.well-known/x402.json"]
-    assert "login" in run(spark, texts.llms_facts, probe_key="llms_txt", content_type="text/plain", body="signin login")[1]
-    assert "markup" in run(spark, texts.llms_facts, probe_key="llms_txt", content_type="text/plain", body="<foo/>")[1]
+    key = {"probe_key": "llms_txt", "content_type": "text/plain"}
+    login, markup = run_all(spark, texts.llms_facts, {**key, "body": "signin login"}, {**key, "body": "<foo/>"})
+    assert "login" in login[1] and "markup" in markup[1]
 
 
 def hint(spark, *strings):
@@ -94,11 +113,12 @@ def test_payment_hints(spark):
 
 
 def test_cart_and_agents(spark):
-    assert run(spark, catalog.cart_facts, probe_key="cart_json", body={"currency": "EUR", "token": "t"})[2]["has_token"] is True
-    assert run(spark, catalog.cart_facts, probe_key="cart_json", body={"currency": 5})[1] == "cart payload missing currency"
-    assert run(spark, catalog.cart_facts, probe_key="cart_json", body=b"{" + b" " * 20_000)[1].startswith("cart response truncated")
-    assert run(spark, contracts.agents_facts, probe_key="well_known_agents_json", body=[1, 2])[2]["entry_count"] == 2
-    assert run(spark, contracts.agents_facts, probe_key="well_known_agents_json", body={"x": []})[0] is False
+    key = {"probe_key": "cart_json"}
+    good, typed, cut = run_all(spark, catalog.cart_facts, {**key, "body": {"currency": "EUR", "token": "t"}}, {**key, "body": {"currency": 5}}, {**key, "body": b"{" + b" " * 20_000})
+    assert good[2]["has_token"] is True and typed[1] == "cart payload missing currency" and cut[1].startswith("cart response truncated")
+    key = {"probe_key": "well_known_agents_json"}
+    listed, other, agents, broken = run_all(spark, contracts.agents_facts, {**key, "body": [1, 2]}, {**key, "body": {"x": []}}, {**key, "body": {"agents": [1], "items": [2, 3]}}, {**key, "body": "{"})
+    assert listed[2]["entry_count"] == 2 and other[0] is False and agents[2]["entry_count"] == 3 and broken[0] is False
 
 
 def test_products_forms(spark):
@@ -108,51 +128,54 @@ def test_products_forms(spark):
         {"name": "B", "variations": [{"price": None, "checkout_url": "/c?x", "available": False}, {"price": "3", "checkout_url": "/cart/2", "title": "Default Title"}]},
         {"title": "C", "price_range": {"min": {"amount": 500, "currency": "JPY"}}, "variants": []},
     ]
-    ok, _, f = run(spark, catalog.product_facts, probe_key="products_json", requested_url="https://s.example/products.json", body={"data": {"products": products}})
+    key = {"probe_key": "products_json", "requested_url": "https://s.example/products.json"}
+    (ok, _, f), empty, bare = run_all(spark, catalog.product_facts, {**key, "body": {"data": {"products": products}}}, {**key, "body": []}, {**key, "body": ["x"]})
     assert ok and (f["product_count"], f["variant_count"], f["priced_variant_count"]) == (3, 2, 3)
     assert (f["min_price"], f["max_price"], f["currency_codes"]) == (3.0, 500.0, ["JPY", "USD"])
     assert f["sample_titles"] == ["A", "B", "C"] and f["preorder_product_count"] == 1 and f["stock_statuses"] == ["PreOrder"]
     assert f["checkout_url_count"] == 2 and f["sample_checkout_urls"] == ["https://s.example/c?x", "https://s.example/cart/2"]
     assert [c["url"] for c in f["payment_probe_candidates"]] == ["https://s.example/cart/2"] and f["payment_probe_candidates"][0]["amount"] == "3"
-    assert run(spark, catalog.product_facts, probe_key="products_json", body=[])[1] == "products list was empty"
-    assert run(spark, catalog.product_facts, probe_key="products_json", body=["x"])[1] == "products list did not contain product objects"
+    assert empty[1] == "products list was empty" and bare[1] == "products list did not contain product objects"
 
 
 def test_commerce_forms(spark):
-    assert run(spark, commerce.commerce_facts, probe_key="well_known_commerce", body=[1, {"price": 2}])[2]["matching_item_count"] == 1
-    assert run(spark, commerce.commerce_facts, probe_key="well_known_commerce", body={"x": 1})[1] == "commerce JSON lacked price or purchase-like keys"
-    assert run(spark, commerce.commerce_facts, probe_key="well_known_commerce", content_type="text/plain", body="Our Price list")[2]["char_count"] == 14
+    key = {"probe_key": "well_known_commerce"}
     doc = {"payment": {}, "status": "pre_order", "checkout_url": "https://c.example/x", "skyfire": {"status": "live", "about": "bitcoin"}, "billing_provider": {"name": "Acme"}}
-    f = run(spark, commerce.commerce_facts, probe_key="well_known_commerce", body=doc)[2]
+    listed, other, text, full = run_all(
+        spark, commerce.commerce_facts, {**key, "body": [1, {"price": 2}]}, {**key, "body": {"x": 1}},
+        {**key, "content_type": "text/plain", "body": "Our Price list"}, {**key, "body": doc})
+    assert listed[2]["matching_item_count"] == 1 and other[1] == "commerce JSON lacked price or purchase-like keys" and text[2]["char_count"] == 14
+    f = full[2]
     assert f["prelaunch"] and f["payment_provider_hints"] == ["skyfire"] and f["payment_rail_hints"] == ["crypto"] and f["crypto_only"]
     assert f["payment_endpoint_hosts"] == ["c.example"] and f["payment_surface"] == "crypto"
 
 
 def test_ucp_placeholder(spark):
-    good = {"ucp": {"version": 2, "supported_versions": {"2": "https://u.example/2"}}}
-    ok, _, f = run(spark, commerce.ucp_facts, probe_key="well_known_ucp", body=good)
-    assert ok and f["ucp_version"] == "2"
-    assert run(spark, commerce.ucp_facts, probe_key="well_known_ucp", body={"ucp": {"version": "1"}, "n": "your_shop"})[0] is False
-    assert run(spark, commerce.ucp_facts, probe_key="well_known_ucp", body={"ucp": 5})[1] == "UCP payload missing top-level ucp object"
+    key = {"probe_key": "well_known_ucp"}
+    good, template, odd = run_all(
+        spark, commerce.ucp_facts, {**key, "body": {"ucp": {"version": 2, "supported_versions": {"2": "https://u.example/2"}}}},
+        {**key, "body": {"ucp": {"version": "1"}, "n": "your_shop"}}, {**key, "body": {"ucp": 5}})
+    assert good[0] and good[2]["ucp_version"] == "2" and template[0] is False and odd[1] == "UCP payload missing top-level ucp object"
 
 
 def test_x402_headers_and_text(spark):
     packed = base64.urlsafe_b64encode(json.dumps({"scheme": "x402", "asset": "USDC"}).encode()).decode().rstrip("=")
-    ok, detail, f = run(spark, contracts.x402_facts, probe_key="x402_json", body="", http_status=402, headers={"Payment-Required": packed})
-    assert ok and detail == "x402 payment challenge detected from headers"
+    key = {"probe_key": "x402_json"}
+    header, empty, priced, plain, error, listed, text = run_all(
+        spark, contracts.x402_facts, {**key, "body": "", "http_status": 402, "headers": {"Payment-Required": packed}}, {**key, "body": ""},
+        {**key, "body": {"price": 1}, "http_status": 402}, {**key, "body": {"price": 1}}, {**key, "body": {"statusCode": 404, "details": ""}},
+        {**key, "body": [{"accepts": []}, 3]}, {**key, "content_type": "text/plain", "body": "hello"})
+    f = header[2]
+    assert header[0] and header[1] == "x402 payment challenge detected from headers"
     assert f["payment_required_header_keys"] == ["asset", "scheme"] and f["payment_surface"] == "x402" and f["crypto_only"]
-    assert run(spark, contracts.x402_facts, probe_key="x402_json", body="")[1] == "x402 document was empty"
-    assert run(spark, contracts.x402_facts, probe_key="x402_json", body={"price": 1}, http_status=402)[0] is True
-    assert run(spark, contracts.x402_facts, probe_key="x402_json", body={"price": 1})[0] is False
-    assert run(spark, contracts.x402_facts, probe_key="x402_json", body={"statusCode": 404, "details": ""})[1] == "x402 JSON looked like a generic error response"
-    assert run(spark, contracts.x402_facts, probe_key="x402_json", body=[{"accepts": []}, 3])[2]["matching_item_count"] == 1
-    assert run(spark, contracts.x402_facts, probe_key="x402_json", content_type="text/plain", body="hello")[0] is False
+    assert empty[1] == "x402 document was empty" and priced[0] is True and plain[0] is False and text[0] is False
+    assert error[1] == "x402 JSON looked like a generic error response" and listed[2]["matching_item_count"] == 1
 
 
 def test_openapi_invalid(spark):
-    assert run(spark, contracts.openapi_facts, probe_key="openapi_json", body={"paths": {}})[0] is False
-    ok, _, f = run(spark, contracts.openapi_facts, probe_key="openapi_json", body={"swagger": "2.0", "paths": {}, "securityDefinitions": {"b": {}, "a": {}}})
-    assert ok and f["path_count"] == 0 and f["auth_schemes"] == ["a", "b"]
+    key = {"probe_key": "openapi_json"}
+    bad, good = run_all(spark, contracts.openapi_facts, {**key, "body": {"paths": {}}}, {**key, "body": {"swagger": "2.0", "paths": {}, "securityDefinitions": {"b": {}, "a": {}}}})
+    assert bad[0] is False and good[0] and good[2]["path_count"] == 0 and good[2]["auth_schemes"] == ["a", "b"]
 
 
 def test_observed_walk(spark):

@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from signpost.operators import outcomes as O
-from signpost.plans.crawl import outcomes_from_fetches, receipts_from_fetches
+from signpost.operators.facts.registry import FACT_JOBS, register_fact_job
+from signpost.plans.crawl import outcomes_from_fetches, receipts_from_outcomes
+from signpost.session import cut
 from tests.helpers import fetches
 
 AT = datetime(2024, 1, 1)
@@ -32,12 +34,11 @@ RUNGS = [
 ]
 
 
-@pytest.mark.parametrize("row,status", RUNGS)
-def test_status_ladder(spark, row, status):
-    got = ladder(spark, row).first()
-    assert got.status == status
-    if row.get("headers"):
-        assert got.detail == "HTTP 429 (Retry-After: 7s)"
+def test_status_ladder(spark):
+    rows = ladder(spark, *[{**row, "domain": f"d{i}.example", "requested_url": "https://a.example/", "final_url": row.get("final_url")} for i, (row, _) in enumerate(RUNGS)])
+    got = {r.domain: r for r in rows.select("domain", "status", "detail").collect()}
+    assert [got[f"d{i}.example"].status for i in range(len(RUNGS))] == [status for _, status in RUNGS]
+    assert got["d4.example"].detail == "HTTP 429 (Retry-After: 7s)"
 
 
 def test_soft404(spark):
@@ -72,9 +73,11 @@ def test_whole_crawl_side(spark):
         {"probe_key": "homepage", "domain": "c.example", "http_status": None, "error": "timeout"},
     ]
     df = fetches(spark, [{"fetched_at": AT, **r} for r in rows])
-    status = {(r.domain, r.attempt, r.probe_key): r.status for r in outcomes_from_fetches(df).collect()}
+    jobs = {name: FACT_JOBS[name] for name in ("homepage", "robots", "sitemap", "llms", "x402", "products")}
+    found = cut(outcomes_from_fetches(df, jobs))
+    status = {(r.domain, r.attempt, r.probe_key): r.status for r in found.collect()}
     assert status[("a.example", 1, "x402_json")] == "valid" and status[("b.example", 1, "robots_txt")] == "rate_limited"
-    got = {r.domain: r for r in receipts_from_fetches(df).collect()}
+    got = {r.domain: r for r in receipts_from_outcomes(found).collect()}
     a = got["a.example"]
     assert (a.label, a.title) == ("machine_payable", "A shop")
     assert a.tags == ["ai_readable", "callable_surface", "catalog_surface", "crawl_basics", "machine_payable"]
@@ -82,3 +85,17 @@ def test_whole_crawl_side(spark):
     assert doc["payment_surface"] == "x402" and doc["product_count"] == 1 and doc["sample_products"][0]["product_url"] == "https://a.example/products/p"
     assert (got["b.example"].label, got["b.example"].attempt) == ("rate_limited", 1)
     assert got["c.example"].label == "unreachable"
+
+
+def test_own_fact_job(spark):
+    def shout(rows):
+        return rows.withColumns({"is_valid": F.lit(True), "detail": F.lit("ok"), "facts": F.struct(F.upper(F.decode("body", "UTF-8")).alias("text"))})
+
+    saved = FACT_JOBS["robots"]
+    register_fact_job("robots", shout)
+    try:
+        df = fetches(spark, [{"fetched_at": AT, "probe_key": "robots_txt", "body": "hi"}])
+        got = outcomes_from_fetches(df, {"robots": FACT_JOBS["robots"]}).first()
+        assert got.status == "valid" and got.facts.toPython() == {"text": "HI"}
+    finally:
+        register_fact_job("robots", saved)

@@ -20,7 +20,7 @@ def brute_merge(existing, values, limit):
     return out
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.sampled_from(["a", "b", "c", "d"]), unique=True, max_size=4), st.lists(st.sampled_from([" a", "b\t", "", " ", "e", "f", "a"]), max_size=8), st.integers(1, 5))
 def test_merge_ordered(spark, existing, values, limit):
     df = spark.createDataFrame([(existing, values)], "e array<string>, v array<string>")
