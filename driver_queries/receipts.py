@@ -13,7 +13,6 @@ from signpost.sources import domain_list as DL
 from signpost.sources import evidence as EV
 from signpost.sources import position as P
 from signpost.sources import receipts as R
-from signpost.sources.sinks import compact_json
 
 # ---------------------------------------------------------------- domain lists
 
@@ -423,15 +422,37 @@ def site_index(spark, sf):
     return rows.select(*[F.col(f.name).cast("bigint") if f.dataType.simpleString() == "int" else F.col(f.name) for f in rows.schema])
 
 
-@query("site_detail")
+OFFERS_SQL = "(CASE WHEN coalesce(offer_count, 0) <> 0 THEN offer_count ELSE 7 END)"
+
+
+@query(
+    "site_detail",
+    f"""SELECT domain, receipt_r2_key, concat('https://', domain) AS site_url, concat(label, ',crawl_basics') AS tags, CAST(score_overall AS BIGINT) AS score_overall, purchase_boundary,
+        openapi_present, crypto_only, CAST({OFFERS_SQL} AS BIGINT) AS offer_count, CAST(NULL AS DOUBLE) AS min_price, payment_surface, concat('card,', label) AS rail_hints,
+        CASE WHEN has_sample_offers THEN '[{{"id":"o"}}]' ELSE '[]' END AS offers, concat('d', pos) AS ucp_detail, CASE WHEN ucp_present THEN 'valid' ELSE 'missing' END AS ucp_status,
+        robots_r2_key, {description_sql(OFFERS_SQL)} AS description FROM ({KEYED}) k""",
+)
 def site_detail(spark, sf):
-    details = publish.site_detail(index_rows(spark, sf))
-    return details.select("domain", "receipt_r2_key", compact_json(F.col("detail")).alias("payload"))
+    d = lambda path: F.col(f"detail.{path}")
+    return publish.site_detail(index_rows(spark, sf)).select(
+        "domain", "receipt_r2_key", d("site_url"), F.array_join(d("tags"), ",").alias("tags"), d("scores.score_overall").cast("bigint").alias("score_overall"), d("boundaries.purchase_boundary"),
+        d("flags.openapi_present"), d("flags.crypto_only"), d("counts.offer_count"), d("counts.min_price"), d("payment.payment_surface"), F.array_join(d("payment.rail_hints"), ",").alias("rail_hints"),
+        F.to_json(d("samples.offers")).alias("offers"), d("probe_summary.ucp.detail").alias("ucp_detail"), d("probe_summary.ucp.status").alias("ucp_status"), d("evidence.robots_r2_key"), d("description"),
+    )
 
 
-@query("proof")
+@query(
+    "proof",
+    f"""SELECT evidence_r2_key AS key, purchase_boundary, control_boundary, payment_surface, label AS second_rail, CASE WHEN x402_present THEN '200' ELSE '404' END AS x402_status
+        FROM ({KEYED}) k WHERE detail_eligible""",
+)
 def proof(spark, sf):
-    return publish.proofs(publish.site_detail(index_rows(spark, sf)))
+    """The payload is the published JSON text; the check reads members back from it."""
+    p = lambda path: F.get_json_object("payload", f"$.{path}")
+    return publish.proofs(publish.site_detail(index_rows(spark, sf))).select(
+        "key", p("boundaries.purchase_boundary").alias("purchase_boundary"), p("boundaries.control_boundary").alias("control_boundary"), p("payment.payment_surface").alias("payment_surface"),
+        p("payment.rail_hints[1]").alias("second_rail"), p("probe_summary.x402.http_status").alias("x402_status"),
+    )
 
 
 def entries(spark, sf):
@@ -470,12 +491,23 @@ def probe_summary(spark, sf):
     )
 
 
-@query("manifest")
+@query(
+    "manifest",
+    f"""SELECT 1 AS version, (SELECT count(*) FROM ({RECEIPT_LOG}) r) AS raw_receipt_count, count(*) AS total_rows, count(*) FILTER (WHERE detail_eligible) AS public_receipt_rows,
+        strftime(max(ts) FILTER (WHERE detail_eligible), '%Y-%m-%dT%H:%M:%S.%f+00:00') AS latest_crawled_at,
+        (SELECT string_agg(concat(label, '=', n), ',' ORDER BY label) FROM (SELECT label, count(*) AS n FROM ({CANONICAL}) c2 WHERE detail_eligible GROUP BY label) l) AS label_counts,
+        CAST(greatest(1, ceil(count(*) FILTER (WHERE detail_eligible) / 30.0)) AS BIGINT) AS pages, CAST(greatest(1, ceil(count(*) FILTER (WHERE detail_eligible) / 1000.0)) AS BIGINT) AS sitemaps,
+        'top-sites/v1/manifest.json' AS manifest_key FROM ({CANONICAL}) c""",
+)
 def manifest(spark, sf):
     rows = canonical_rows(spark, sf)
     totals = publish.export_totals(receipt_rows(spark, sf), rows)
-    labels = publish.label_counts(rows.where("detail_eligible"))
-    return publish.manifest(totals, labels, F.lit("2024-01-31T00:00:00+00:00"))
+    row = publish.manifest(totals, publish.label_counts(rows.where("detail_eligible")), F.lit("2024-01-31T00:00:00+00:00"))
+    counts = F.array_join(F.transform(F.map_entries("label_counts"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+    return row.select(
+        F.col("version").cast("bigint").alias("version"), "raw_receipt_count", "total_rows", "public_receipt_rows", "latest_crawled_at", counts.alias("label_counts"),
+        F.col("pages.total_pages").alias("pages"), F.col("sitemaps.total_pages").alias("sitemaps"), F.col("paths.manifest").alias("manifest_key"),
+    )
 
 
 # ---------------------------------------------------------------- rerun slice
