@@ -30,7 +30,7 @@ def finished(spark, stream: DataFrame, mode: str = "append") -> DataFrame:
 def fetch_stream(spark, sf):
     rows = streamed(spark, sf, FETCH_LOG).withColumn("body", F.encode("body", "UTF-8"))
     return limit_bodies(rows.withColumns({
-        "fetched_at": F.col("ts"), "headers": F.map_filter(F.create_map(F.lit("retry-after"), F.col("retry_after")), lambda k, v: v.isNotNull())}))
+        "fetched_at": F.col("ts"), "control_group": F.lit(None).cast("string"), "headers": F.map_filter(F.create_map(F.lit("retry-after"), F.col("retry_after")), lambda k, v: v.isNotNull())}))
 
 
 @query("stream_outcomes", f"SELECT pos, {STATUS_OF_FETCH} AS status FROM ({FETCH_LOG}) f")

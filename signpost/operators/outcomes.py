@@ -88,7 +88,7 @@ def with_validator(fetches: DataFrame) -> DataFrame:
 def early_status(df: DataFrame) -> DataFrame:
     """`status` and `detail` of every rule that needs no look into the body; null where a validator decides.
 
-    Reads `matches_control`, `validator`, `byte_count` and `retry_after_seconds`.
+    Reads `validator`, `byte_count` and `retry_after_seconds`. The control match comes after these rules.
     """
     code = F.col("http_status").cast("string")
     empty = (F.col("probe_key") != "homepage") & (F.col("byte_count") == 0) & ~F.col("validator").isin(*V.EMPTY_BODY_VALIDATORS)
@@ -104,7 +104,6 @@ def early_status(df: DataFrame) -> DataFrame:
         (failed, "error", F.col("error")),
         (~status_allowed(), "http_error", F.concat(F.lit("HTTP "), F.coalesce(code, F.lit("None")))),
         (empty, "invalid", F.lit("Empty response body")),
-        (F.col("matches_control"), "fallback", F.lit("Response matched control-path fallback")),
     ]
     verdict = F.lit(None).cast("struct<status:string,detail:string>")
     for test, status, detail in reversed(rungs):
@@ -113,14 +112,32 @@ def early_status(df: DataFrame) -> DataFrame:
     return staged.withColumns({"status": F.col("_verdict.status"), "detail": F.col("_verdict.detail")}).drop("_verdict")
 
 
-def prepared(fetches: DataFrame, controls: DataFrame) -> DataFrame:
-    """Probe responses with control match, Retry-After and the early status. Controls drop out."""
-    probes = fetches.where(~is_control()).withColumn(
-        "control_group", F.coalesce(F.col("control_group"), lookup(V.CONTROL_GROUP_OF, F.col("probe_key")))
-    )
-    matched = mark_soft404(probes, controls)
+def laddered(fetches: DataFrame) -> DataFrame:
+    """Probe responses with control group, Retry-After and the status of every rule but the control match."""
     limited = F.when(F.col("http_status") == 429, retry_after(F.col("headers")["retry-after"], F.col("fetched_at")))
-    return early_status(with_validator(matched).withColumn("retry_after_seconds", limited))
+    group = F.coalesce(F.col("control_group"), lookup(V.CONTROL_GROUP_OF, F.col("probe_key")))
+    probes = fetches.where(~is_control()).withColumns({"control_group": group, "retry_after_seconds": limited})
+    return early_status(with_validator(probes))
+
+
+def with_fallback(rows: DataFrame, controls: DataFrame) -> DataFrame:
+    """Responses still undecided that equal their control become `fallback`.
+
+    Meant for rows without body: only digests take part, so no body is ever shuffled.
+    """
+    matched = mark_soft404(rows, controls)
+    hit = F.col("status").isNull() & F.col("matches_control")
+    return matched.withColumns(
+        {
+            "status": F.when(hit, "fallback").otherwise(F.col("status")),
+            "detail": F.when(hit, "Response matched control-path fallback").otherwise(F.col("detail")),
+        }
+    ).drop("matches_control")
+
+
+def prepared(fetches: DataFrame, controls: DataFrame) -> DataFrame:
+    """Status of every response as far as it does not take a look into the body (null where it does)."""
+    return with_fallback(laddered(fetches).drop("body"), controls)
 
 
 # fixed values: reasons of unfetched probes

@@ -19,20 +19,30 @@ OUTCOME_COLUMNS = [
 
 
 def outcomes_of(fetches: DataFrame, controls: DataFrame, validator: str, job: FactJob) -> DataFrame:
-    """Outcomes of one validator's probes: early status where one applies, else the validator's verdict.
+    """Outcomes of one validator's probes: early status, control match, else the validator's verdict.
 
-    The filter on `probe_key` reaches the scan, so a log partitioned by it is read once over all jobs.
+    One scan: the filter on `probe_key` reaches it, so a log partitioned by it is read once over all
+    jobs. Bodies the ladder has already decided on are not parsed, and all bodies are gone before the
+    rows meet the control digests.
     """
     keys = [k for k, v in V.VALIDATOR_OF.items() if v == validator]
-    rows = outcomes.prepared(fetches.where(F.col("probe_key").isin(*keys)), controls)
-    early = rows.where("status IS NOT NULL").withColumn(
-        "facts", F.when(F.col("retry_after_seconds").isNotNull(), F.to_variant_object(F.struct("retry_after_seconds")))
+    ladder = outcomes.laddered(fetches.where(F.col("probe_key").isin(*keys)))
+    open_rows = ladder.withColumnsRenamed({"status": "early_status", "detail": "early_detail"}).withColumn(
+        "body", F.when(F.col("early_status").isNull(), F.col("body"))
     )
-    judged = job(rows.where("status IS NULL").drop("status", "detail"))
-    late = judged.withColumns(
-        {"status": F.when(F.col("is_valid"), "valid").otherwise("invalid"), "facts": F.to_variant_object(F.col("facts"))}
+    judged = job(open_rows).withColumn("facts", F.to_variant_object(F.col("facts")))
+    verdict = judged.withColumnsRenamed({"detail": "verdict_detail", "early_status": "status", "early_detail": "detail"})
+    settled = outcomes.with_fallback(verdict, controls)
+    limited = F.when(F.col("retry_after_seconds").isNotNull(), F.to_variant_object(F.struct("retry_after_seconds")))
+    undecided = F.col("status").isNull()
+    final = settled.withColumns(
+        {
+            "facts": F.when(undecided, F.col("facts")).otherwise(limited),
+            "detail": F.when(undecided, F.col("verdict_detail")).otherwise(F.col("detail")),
+            "status": F.when(undecided, F.when(F.col("is_valid"), "valid").otherwise("invalid")).otherwise(F.col("status")),
+        }
     )
-    return _shaped(early).unionByName(_shaped(late))
+    return _shaped(final)
 
 
 def _shaped(rows: DataFrame) -> DataFrame:

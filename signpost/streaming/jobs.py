@@ -14,11 +14,9 @@ from signpost.sources.receipts import seen_domains
 def stream_early_outcomes(fetches: DataFrame) -> DataFrame:
     """Outcomes of a fetch stream that need no look into the body; `status` null means a fact job decides.
 
-    Stateless: control matching reads a batch table, so rows here carry no match.
+    Stateless. `outcomes.with_fallback` adds the control match from a batch table of control digests.
     """
-    limited = F.when(F.col("http_status") == 429, outcomes.retry_after(F.col("headers")["retry-after"], F.col("fetched_at")))
-    flagged = outcomes.with_validator(fetches).withColumns({"retry_after_seconds": limited, "matches_control": F.lit(False)})
-    return outcomes.early_status(flagged)
+    return outcomes.laddered(fetches)
 
 
 def label_counts(receipts: DataFrame) -> DataFrame:
