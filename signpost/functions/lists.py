@@ -52,11 +52,15 @@ def non_empty(values: Column) -> Column:
 def first_by_key(items: Column, key: Callable[[Column], Column], limit: int) -> Column:
     """Items with a new key, in order, at most `limit`.
 
-    Works on short arrays: an item stays when its key's first position is its own.
+    Keys are compared as JSON text, which the distinct step hashes; only the few kept keys are looked
+    up again, so long arrays cost linear time.
     """
+    as_text = {"ignoreNullFields": "false"}
+    keys = F.transform(items, lambda x: F.to_json(F.struct(key(x).alias("k")), as_text))
     return let(
-        F.transform(items, key),
-        lambda keys: F.slice(
-            F.filter(items, lambda x, i: F.array_position(keys, F.get(keys, i)) == i + 1), 1, limit
+        F.struct(items.alias("items"), keys.alias("keys")),
+        lambda s: F.transform(
+            F.slice(F.array_distinct(s["keys"]), 1, limit),
+            lambda k: F.get(s["items"], (F.array_position(s["keys"], k) - 1).cast("int")),
         ),
     )
