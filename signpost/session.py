@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,16 +36,39 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     return session
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder `spark.checkpoint.dir` names; a local one only for a local master without it."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+def shared_folder(spark: SparkSession, folder: str | None = None) -> str:
+    """`folder` if given, else the one `spark.checkpoint.dir` names, else the checkpoint folder already set.
+
+    Where nothing is set, a session of a single machine (tests, the bench) gets a folder of its own;
+    any other master is an error, as its executors could not read a local folder.
+    """
+    sc = spark.sparkContext
+    configured = folder or spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(configured)
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="signpost-"))
-    return os.path.dirname(spark.sparkContext.getCheckpointDir().rstrip("/"))
+    if sc.getCheckpointDir() is None:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="signpost-"))
+    return os.path.dirname(sc.getCheckpointDir().rstrip("/"))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, so Python steps run whatever folder the driver was started from."""
+    sc = spark.sparkContext
+    if getattr(sc, "_signpost_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="signpost-"), "signpost_package.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    sc._signpost_shipped = True
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -52,8 +77,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def cut(df: DataFrame) -> DataFrame:
     """Materialise `df` in the shared folder so later jobs see the same rows in the same partitions."""
-    sc = df.sparkSession.sparkContext
-    folder = shared_folder(df.sparkSession)
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(folder)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
