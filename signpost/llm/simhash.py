@@ -27,6 +27,7 @@ from signpost.session import cut, ship_package
 BITS = 4
 SEED = 42
 LIST_LIMIT = 1000
+ROWS_SENT = 1_000_000  # keys of two numbers: some 50 MB
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _BIT_OF_BYTE = np.unpackbits(np.arange(256, dtype=np.uint8)).reshape(256, 8).astype(np.int64)
 
@@ -106,6 +107,21 @@ def fingerprint_links(prints: DataFrame, bits: int = BITS, list_limit: int = LIS
     return pairs.union(stars)
 
 
+def classes(docs: DataFrame, width: int = 4, bits: int = BITS, list_limit: int = LIST_LIMIT) -> DataFrame:
+    """(doc_id, text_hash, fp, component_id) for every row of `docs` (doc_id, text)."""
+    ship_package(docs.sparkSession)
+
+    @F.pandas_udf("long")
+    def prints_of(texts: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(t, width) for t in texts], dtype="int64")
+
+    rows = cut(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), prints_of(F.col("text").cast("binary")).alias("fp")))
+    groups = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("id")))
+    roots = components(fingerprint_links(groups.filter("id IS NOT NULL"), bits, list_limit))
+    named = groups.join(roots, "id", "left").select("fp", F.coalesce("root", "id").alias("component_id"))
+    return rows.join(named, "fp", "left").select("doc_id", "text_hash", "fp", "component_id")
+
+
 def near_duplicates(docs: DataFrame, width: int = 4, bits: int = BITS, list_limit: int = LIST_LIMIT) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of `docs` (doc_id, text; other columns are ignored).
 
@@ -114,16 +130,29 @@ def near_duplicates(docs: DataFrame, width: int = 4, bits: int = BITS, list_limi
     doc_id links nothing by itself: it gets the component of its fingerprint if a row with an id has
     that fingerprint, else null. Equal texts are one node, so copies cost no pairs.
     """
-    ship_package(docs.sparkSession)
+    hexed = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
+    return classes(docs, width, bits, list_limit).select("doc_id", hexed, "component_id")
 
-    @F.pandas_udf("long")
-    def prints_of(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(t, width) for t in texts], dtype="int64")
 
-    rows = cut(docs.select("doc_id", prints_of(F.col("text").cast("binary")).alias("fp")))
-    groups = rows.groupBy("fp").agg(F.min("doc_id").alias("id"))
-    links = fingerprint_links(cut(groups.filter("id IS NOT NULL")), bits, list_limit)
-    roots = components(links)
-    classes = groups.join(roots, "id", "left").select("fp", F.coalesce("root", "id").alias("component_id"))
-    hexed = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
-    return rows.join(classes, "fp", "left").select("doc_id", hexed, "component_id")
+def one_of_each(docs: DataFrame, width: int = 4, bits: int = BITS, list_limit: int = LIST_LIMIT, sent: int = ROWS_SENT) -> DataFrame:
+    """The rows of `docs`, with its columns, without all but one row of each group of near duplicates.
+
+    The row with the smallest doc_id stays, of rows that repeat it the one with the smallest text hash.
+    Rows without a doc_id that meet no row with one are a group for each fingerprint. Where the rows to
+    go are at most `sent`, their keys go to every task; beyond that they are joined.
+    """
+    found = cut(classes(docs, width, bits, list_limit).groupBy("doc_id", "text_hash", "fp", "component_id").agg(F.count(F.lit(1)).alias("n")))
+    key = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
+    group = [F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fp")).alias("lone")]
+    heads = found.groupBy(*group).agg(F.min(key).alias("head")).select(F.col("head.doc_id").alias("_id"), F.col("head.text_hash").alias("_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    # heads that come once need no mark
+    marks = found.join(heads, same, "left").filter("_hash IS NULL OR n > 1").select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("_hash").isNotNull().alias("_head"))
+    marks = cut(marks)
+    if marks.count() <= sent:
+        marks = F.broadcast(marks)
+    held = docs.select(F.struct(*docs.columns).alias("_doc"), "doc_id", F.xxhash64("text").alias("text_hash")).join(marks, same, "left")
+    single = held.filter("_head IS NULL").select("_doc")
+    repeated = held.filter("_head").groupBy("doc_id", "text_hash").agg(F.first("_doc").alias("_doc")).select("_doc")
+    return single.union(repeated).select("_doc.*")

@@ -42,9 +42,17 @@ def test_fingerprint_equals_brute_force(text):
 
 
 def test_components_of_chains_and_stars(spark):
-    edges = [(i + 1, i) for i in range(1, 40)] + [(100, i) for i in range(101, 140)] + [(200, 201), (201, 200), (200, 201)]
+    edges = [(5, 5)] + [(i + 1, i) for i in range(1, 40)] + [(100, i) for i in range(101, 140)] + [(200, 201), (201, 200), (200, 201)]
     got = {r.id: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 1 for i in range(1, 41)} | {i: 100 for i in range(100, 140)} | {200: 200, 201: 200}
+    random.seed(2)
+    edges = [(random.randrange(300), random.randrange(300)) for _ in range(200)]
+    parent = {i: i for e in edges for i in e if e[0] != e[1]}
+    for _ in range(300):
+        for a, b in edges:
+            if a != b:
+                parent[a] = parent[b] = min(parent[a], parent[b])
+    assert {r.id: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()} == parent
 
 
 @pytest.mark.parametrize("limit", [1000, 3])
