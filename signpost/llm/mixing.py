@@ -1,12 +1,12 @@
 """Mixing sources to target weights by systematic sampling.
 
 Every document of a source expects the same number of copies, target / size of the source. Documents
-are put in order of size, expected copies are prefix-summed within the source, one offset is added,
-and a document is emitted once per integer boundary its interval crosses. Sorting by size makes each
-stretch of the order carry its share of words. The random number of a source gives a ring of equally
-spaced offsets; the one whose words come nearest to the target is used.
+stand in an order drawn by hash, expected copies are prefix-summed within the source, one offset is
+added, and a document is emitted once per integer boundary its interval crosses. The random number of
+a source gives a ring of OFFSETS equally spaced offsets; the one whose words come nearest to the target
+is used, which matters where one document is a large part of its source.
 
-Nothing of a hot source meets in one task: rows are range-partitioned by (source, size, doc_id), each
+Nothing of a hot source meets in one task: rows are range-partitioned by (source, drawn order), each
 partition numbers its own rows, and only one row per partition and source is prefix-summed.
 """
 
@@ -20,7 +20,7 @@ from signpost.session import cut
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
-OFFSETS = 16
+OFFSETS = 64
 
 
 def word_count(text: Column) -> Column:
@@ -66,9 +66,9 @@ def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = WEIGHTS,
     sampled one by one. Sources without words have target 0 and give nothing. Same rows and seed, same
     result, however the rows are partitioned.
     """
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    order = [F.col("source"), F.col("size"), F.col("doc_id")]
-    rows = cut(sized.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    drawn = F.substring(F.md5(F.concat(F.lit(seed), F.lit(":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 16)
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), drawn.alias("_drawn"))
+    rows = cut(sized.repartitionByRange("source", "_drawn", "doc_id", "size").withColumn("_part", F.spark_partition_id()))
     parts = rows.groupBy("source", "_part").agg(F.count(F.lit(1)).alias("_rows"), F.sum("size").alias("_words"))
     sources = parts.groupBy("source").agg(F.sum("_words").alias("source_size"))
     targets = source_targets(sources, weights, most).withColumn(
@@ -80,7 +80,7 @@ def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = WEIGHTS,
     parts = parts.withColumn("_before", F.coalesce(F.sum("_rows").over(ahead), F.lit(0)))
     plan = parts.join(targets, parts["source"].eqNullSafe(targets["source"])).select(
         parts["source"], "_part", "_before", "source_size", "target", "_rate", "_draw")
-    inside = Window.partitionBy("source", "_part").orderBy("size", "doc_id")
+    inside = Window.partitionBy("source", "_part").orderBy("_drawn", "doc_id", "size")
     numbered = rows.withColumn("_row", F.row_number().over(inside))
     same = numbered["source"].eqNullSafe(plan["source"]) & (numbered["_part"] == plan["_part"])
     ranked = cut(numbered.join(plan, same).select(

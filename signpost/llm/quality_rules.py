@@ -33,11 +33,11 @@ SCALE = 256
 CORE = 0.75
 STEPS = 3
 MIN_ROWS = 200
-TAIL = 1e-7
+TAIL = 1e-4
 BINS = 64
 GROUPS_SENT = 100_000  # rows of about 300 bytes
 # transformed statistics and the spread below which differences between clean texts mean nothing
-VECTOR = {"long": 1.5, "wide": 0.08, "marked": 0.6, "doubled": 0.9, "echoed": 0.9, "capital": 0.6}
+VECTOR = {"long": 1.5, "wide": 0.08, "marked": 0.5, "doubled": 0.9, "echoed": 0.9, "capital": 0.6}
 NAMES = list(VECTOR)
 _PAIRS = [(i, j) for i in range(len(NAMES)) for j in range(i, len(NAMES))]
 

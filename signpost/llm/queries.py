@@ -69,9 +69,9 @@ ranked AS (
   SELECT doc_id, s.source, size, source_size, target,
          CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS rate,
          CAST('0x' || substr(md5('mix' || coalesce('=' || s.source, '-')), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS draw,
-         row_number() OVER (PARTITION BY s.source ORDER BY size, doc_id NULLS FIRST) AS k
+         row_number() OVER (PARTITION BY s.source ORDER BY substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 16), doc_id NULLS FIRST, size) AS k
   FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
-tries AS (SELECT i, r.*, draw / 16 + i / 16.0::DOUBLE AS u FROM ranked r, range(16) AS x(i)),
+tries AS (SELECT i, r.*, draw / 64 + i / 64.0::DOUBLE AS u FROM ranked r, range(64) AS x(i)),
 copied AS (SELECT *, CAST(floor(k * rate + u) - floor((k - 1) * rate + u) AS BIGINT) AS copies FROM tries),
 chosen AS (
   SELECT source, arg_min(i, (miss, u)) AS i
