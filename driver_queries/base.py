@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from signpost.session import prepare
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
     "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -18,8 +20,7 @@ ORACLES: dict[str, str] = {}
 def query(name: str, oracle: str | None = None):
     def register(fn):
         def run(spark: SparkSession, sf: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return fn(spark, sf)
+            return fn(prepare(spark), sf)
 
         QUERIES[name] = run
         if oracle:
@@ -42,12 +43,8 @@ def run_sql(spark: SparkSession, sf: str, sql: str) -> DataFrame:
 
 
 def spread_out(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the table comes in fewer splits than that (one small file, CPU-heavy work).
-
-    A table of many splits stays as it is: no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Rows dealt over all cores: the driver tables come as one small file, and the work per row is CPU-heavy."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 # One receipt per event, in append order.

@@ -26,16 +26,6 @@ def fetch_rows(spark, sf) -> DataFrame:
     }))
 
 
-@query(
-    "status_ladder",
-    f"SELECT pos, {STATUS_OF_FETCH} AS status FROM ({FETCH_LOG}) f",
-)
-def status_ladder(spark, sf):
-    fetched = fetch_rows(spark, sf)
-    rows = outcomes.prepared(fetched, outcomes.control_signatures(fetched))
-    return rows.select("pos", F.coalesce("status", F.lit("valid")).alias("status"))
-
-
 @query(
     "login_gate",
     f"SELECT pos, probe_key <> 'homepage' AND pos % 11 = 0 AS gated FROM ({FETCH_LOG}) f",
@@ -108,10 +98,10 @@ EXPECTED = ", ".join(f"'{k}'" for k in V.EXPECTED_PROBES)
 
 # some receipts of the check answer 429 throughout, so every way of stopping occurs
 LIMITED_LOG = f"""
-SELECT pos, domain, attempt, probe_key, CASE WHEN user_id % 5 = 0 AND probe_key IN ('robots_txt', 'sitemap_xml', 'llms_txt') THEN 'rate_limited'
+SELECT pos, concat(domain, CASE WHEN user_id % 5 = 2 AND probe_key NOT IN ('homepage', 'robots_txt') THEN '.rest' ELSE '' END) AS domain, attempt, probe_key,
+  CASE WHEN user_id % 5 = 0 AND probe_key IN ('robots_txt', 'sitemap_xml', 'llms_txt') THEN 'rate_limited'
   WHEN user_id % 5 = 1 AND status = 'valid' THEN 'rate_limited' ELSE status END AS status
 FROM (SELECT f.*, {STATUS_OF_FETCH} AS status, CAST(regexp_extract(domain, '[0-9]+', 0) AS INT) AS user_id FROM ({FETCH_LOG}) f) o
-WHERE NOT (user_id % 5 = 2 AND probe_key NOT IN ('homepage', 'robots_txt'))
 """
 LAST_OUTCOME = f"SELECT domain, attempt, probe_key, arg_max(status, pos) AS status FROM ({LIMITED_LOG}) o GROUP BY domain, attempt, probe_key"
 _LIGHT = ", ".join(f"'{k}'" for k in V.LIGHT_PROBES)
@@ -143,12 +133,12 @@ def complete_outcomes(spark, sf):
 @query(
     "ordered_merge",
     f"""SELECT conv_id, string_agg(word, '|' ORDER BY t) AS merged FROM (SELECT conv_id, word, t, row_number() OVER (PARTITION BY conv_id ORDER BY t) AS r
-        FROM (SELECT conv_id, regexp_replace(word, '^\\s+|\\s+$', '', 'g') AS word, min((turn, role)) AS t FROM (SELECT conv_id, turn, role, split_part(text, ' ', 1) AS word FROM conversations) w
-              WHERE regexp_replace(word, '^\\s+|\\s+$', '', 'g') <> '' GROUP BY 1, 2) d) x WHERE r <= 3 GROUP BY conv_id""",
+        FROM (SELECT conv_id, regexp_replace(word, '^\\s+|\\s+$', '', 'g') AS word, min((turn, role, place)) AS t FROM (SELECT conv_id, turn, role, unnest(string_split(text, ' ')) AS word, generate_subscripts(string_split(text, ' '), 1) - 1 AS place FROM conversations) w
+              WHERE regexp_replace(word, '^\\s+|\\s+$', '', 'g') <> '' GROUP BY 1, 2) d) x WHERE r <= 12 GROUP BY conv_id""",
 )
 def ordered_merge(spark, sf):
-    words = run_sql(spark, sf, "SELECT conv_id, turn, role, split_part(text, ' ', 1) AS word FROM conversations")
-    merged = merges.ordered_merge(words, ["conv_id"], "word", ["turn", "role"], 3)
+    words = table(spark, sf, "conversations").select("conv_id", "turn", "role", F.posexplode(F.split("text", " ", -1)).alias("place", "word"))
+    merged = merges.ordered_merge(words, ["conv_id"], "word", ["turn", "role", "place"], 12)
     return merged.select("conv_id", F.array_join("merged", "|").alias("merged"))
 
 

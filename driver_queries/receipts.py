@@ -84,8 +84,9 @@ SELECT o_orderkey AS pos,
          WHEN 1 THEN concat('tab', CAST(o_custkey AS STRING), '.example')
          WHEN 2 THEN concat('blank', CAST(o_custkey AS STRING), '.example')
          WHEN 3 THEN concat('host', CAST(o_custkey AS STRING), '.example')
-         ELSE concat('bare', CAST(o_custkey AS STRING), '.example') END) AS domain
-FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '5-LOW')
+         ELSE concat('bare', CAST(o_custkey AS STRING), '.example') END,
+         CASE WHEN o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '5-LOW') THEN '' ELSE '.unlisted' END) AS domain
+FROM orders
 """
 
 
@@ -315,17 +316,25 @@ def description(spark, sf):
 
 # ---------------------------------------------------------------- evidence
 
-# documents stand for stored bodies of the receipt domains
+# documents stand for stored bodies of the receipt domains, four to a receipt
 EVIDENCE_LOG = """
-SELECT doc_id AS pos, concat('site', CAST(doc_id % 150 AS STRING), '-', CAST(doc_id % 28 + 1 AS STRING), '.example') AS domain,
-       CASE doc_id % 4 WHEN 0 THEN 'robots_txt' WHEN 1 THEN 'llms_txt' WHEN 2 THEN 'llms_full_txt' ELSE 'sitemap_xml' END AS probe_key,
-       CASE WHEN doc_id % 5 = 0 THEN 'invalid' ELSE 'valid' END AS status,
+SELECT doc_id AS pos, CAST(floor(doc_id / 600) AS BIGINT) AS receipt,
+       concat('site', CAST(doc_id % 150 AS STRING), '-', CAST(doc_id % 150 % 28 + 1 AS STRING), '.example') AS domain,
+       CASE CAST(floor(doc_id / 150) AS BIGINT) % 4 WHEN 0 THEN 'robots_txt' WHEN 1 THEN 'llms_txt' WHEN 2 THEN 'llms_full_txt' ELSE 'sitemap_xml' END AS probe_key,
+       CASE WHEN doc_id % 7 < 3 THEN 'invalid' ELSE 'valid' END AS status,
        doc_id % 9 = 0 AS truncated, text
 FROM documents
 """
+# a domain's evidence is that of its last receipt, and only if that has a valid text of the two that count as a signal
 USABLE = f"""
-SELECT domain, probe_key AS artifact, arg_max(text, pos) AS text, max(pos) AS pos FROM ({EVIDENCE_LOG}) d
-WHERE probe_key <> 'sitemap_xml' AND status = 'valid' AND NOT truncated AND length(text) > 0 GROUP BY domain, probe_key
+SELECT d.domain, probe_key AS artifact, text, d.receipt AS pos
+FROM ({EVIDENCE_LOG}) d JOIN (
+  SELECT domain, receipt FROM ({EVIDENCE_LOG}) r GROUP BY domain, receipt
+  HAVING max(CASE WHEN probe_key IN ('llms_txt', 'llms_full_txt') AND status = 'valid' THEN 1 ELSE 0 END) = 1) s
+  ON d.domain = s.domain AND d.receipt = s.receipt
+WHERE d.receipt = (SELECT max(receipt) FROM ({EVIDENCE_LOG}) m WHERE m.domain = d.domain)
+  AND probe_key <> 'sitemap_xml' AND status = 'valid' AND NOT truncated AND length(text) > 0
+QUALIFY row_number() OVER (PARTITION BY d.domain, probe_key ORDER BY md5(text)) = 1
 """
 PREVIEW_SQL = r"""
 CASE WHEN trim(regexp_replace({0}, '\s+', ' ', 'g')) = '' THEN NULL
@@ -345,7 +354,7 @@ FROM (SELECT *, {PREVIEW_SQL.format('text')} AS preview FROM ({USABLE}) u) v GRO
 
 def evidence(spark, sf):
     log = run_sql(spark, sf, EVIDENCE_LOG).withColumn("body", F.encode("text", "UTF-8"))
-    return EV.evidence_docs(log)
+    return EV.evidence_docs(log, "receipt")
 
 
 @query("preview", f"SELECT doc_id, {PREVIEW_SQL.format('text')} AS preview FROM documents")

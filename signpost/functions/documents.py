@@ -13,22 +13,39 @@ from signpost.functions.urls import host, is_url_like
 STRING_TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"\s*+:?'
 
 
+# JSON as the reference's parser takes it: NaN and the infinities are numbers, single quotes are none.
+# Of members with the same name the last one counts, at any depth: `session.prepare` sees to that.
+STRICT = {"allowSingleQuotes": "false"}
+_END = "signpost-end"
+
+
+def value_of(text: Column) -> Column:
+    """The JSON value of a whole text as a variant; null when the text is no JSON or goes on after the value.
+
+    The reader stops after the first value, so the text is read as the first of two list items.
+    """
+    pair = F.from_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')), "array<variant>", STRICT)
+    whole = (F.size(pair) == 2) & (F.try_variant_get(F.get(pair, F.lit(1)), "$", "string") == _END)
+    return F.when(whole, F.get(pair, F.lit(0)))
+
+
 def fields(text: Column, names: list[str]) -> Column:
     """The named members of a JSON object, each as a variant; all null when `text` is no object."""
-    return F.from_json(text, ", ".join(f"`{n}` variant" for n in names))
+    return F.from_json(text, ", ".join(f"`{n}` variant" for n in names), STRICT)
 
 
 def object_keys(text: Column) -> Column:
     """Member names in document order; null when `text` is no JSON object."""
-    return F.when(text.startswith("{") & text.endswith("}"), F.json_object_keys(text))
+    names = F.array_distinct(F.map_keys(F.from_json(text, "map<string,string>", STRICT)))
+    return F.when(text.startswith("{") & text.endswith("}") & value_of(text).isNotNull(), names)
 
 
 def list_items(text: Column) -> Column:
-    return F.when(text.startswith("[") & text.endswith("]"), F.from_json(text, "array<variant>"))
+    return F.when(text.startswith("[") & text.endswith("]"), as_list(value_of(text)))
 
 
 def is_object(text: Column) -> Column:
-    return object_keys(text).isNotNull()
+    return F.coalesce(text.startswith("{") & text.endswith("}") & value_of(text).isNotNull(), F.lit(False))
 
 
 def get(v: Column, *path: str) -> Column:

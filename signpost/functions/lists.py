@@ -36,9 +36,9 @@ def merge_ordered(existing: Column, values: Column, limit: int) -> Column:
     return F.slice(F.array_distinct(F.concat(or_empty(existing), cleaned(values))), 1, limit)
 
 
-def merge_all(lists: list[Column], limit: int) -> Column:
-    joined = F.concat(*[cleaned(x) for x in lists])
-    return F.slice(F.array_distinct(joined), 1, limit)
+def merge_all(lists: list[Column], limit: int | None) -> Column:
+    joined = F.array_distinct(F.concat(*[cleaned(x) for x in lists]))
+    return joined if limit is None else F.slice(joined, 1, limit)
 
 
 def sorted_distinct(values: Column, limit: int) -> Column:

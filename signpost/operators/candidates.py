@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from signpost import values as V
@@ -11,7 +11,6 @@ from signpost.functions.stage import compute
 from signpost.functions.text import blank_to_null, contains_any, strip
 from signpost.functions.urls import template_parameters
 from signpost.sources.fetches import lookup
-from signpost.sources.position import number_sorted
 
 
 def candidate_score(url: Column, title: Column, amount: Column, body_kind: Column, source: Column) -> Column:
@@ -39,14 +38,11 @@ def scored_candidates(candidates: DataFrame) -> DataFrame:
 def rank_candidates(candidates: DataFrame, by: list[str]) -> DataFrame:
     """`candidate_rank` per group by score, then probe order, then place in the document.
 
-    All candidates are sorted by range shuffle and numbered globally; a group's first number turns
-    that into ranks, so a group of any size is spread over many tasks.
+    A group is one receipt: ten documents name at most six candidates each.
     """
-    order = [*[F.col(c).asc() for c in by], F.col("score").desc(), F.col("key_rank").asc(), F.col("pos").asc()]
-    numbered = number_sorted(scored_candidates(candidates), order, "_place")
-    first = numbered.groupBy(*by).agg(F.min("_place").alias("_first"))
-    ranked = numbered.join(first, by)
-    return ranked.withColumn("candidate_rank", F.col("_place") - F.col("_first") + 1).drop("_place", "_first")
+    order = [F.col("score").desc(), F.col("key_rank").asc(), F.col("pos").asc()]
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    return scored_candidates(candidates).withColumn("candidate_rank", rank.cast("bigint"))
 
 
 def chosen_candidate(candidates: DataFrame, by: list[str]) -> DataFrame:

@@ -20,20 +20,30 @@ CHECKOUT_RESULTS = ["browser_checkout_redirect", "browser_checkout_handoff"]
 PAID_RESULTS = ["payment_challenge", "success_without_payment"]
 X402_ORDER = ["x402_json", "x402_well_known", "remote_x402"]
 HINT_LISTS = ["payment_provider_hints", "payment_rail_hints", "payment_endpoint_hosts"]
-OUTCOME_FIELDS = ["path", "status", "http_status", "content_type", "final_url", "byte_count", "body_sha256", "detail", "facts"]
 
 
-def pivot_outcomes(outcomes: DataFrame, keys: list[str], fields: list[str] = OUTCOME_FIELDS, order: str = "pos") -> DataFrame:
+def pivot_outcomes(outcomes: DataFrame, keys: list[str], fields: list[str] = V.OUTCOME_MEMBERS, order: str = "pos") -> DataFrame:
     """One row per receipt with `probes`, a struct of outcomes.
 
-    Repeated rows of a probe first combine to the latest one; every probe then is one aggregate of
-    bounded size, so receipts of any multiplicity are merged map-side.
+    Repeated rows of a probe first combine to the latest one (of equally late ones, the same in every
+    run); every probe then is one aggregate of bounded size, so receipts of any multiplicity are merged
+    map-side. Rows without a place in `order`, like those of probes that were never fetched, come before
+    all others. `crawled_at` is the time of the receipt's last capture, if the rows carry one.
     """
     present = [f for f in fields if f in outcomes.columns]
-    latest = outcomes.groupBy(*keys, "probe_key").agg(F.max_by(F.struct(*present), order).alias("o"))
+    ties = [c for c in ("final_url", "body_sha256", "status") if c in outcomes.columns]
+    # a struct is ordered like its members, nulls first, and is never null itself
+    rank = F.struct(order, *ties)
+    last = F.max("fetched_at") if "fetched_at" in outcomes.columns else F.lit(None).cast("timestamp")
+    latest = outcomes.groupBy(*keys, "probe_key").agg(F.max_by(F.struct(*present), rank).alias("o"), last.alias("_at"))
     cells = [F.first(F.when(F.col("probe_key") == k, F.col("o")), ignorenulls=True).alias(k) for k in V.PROBE_ORDER]
-    wide = latest.groupBy(*keys).agg(*cells)
-    return wide.select(*keys, F.struct(*V.PROBE_ORDER).alias("probes"))
+    wide = latest.groupBy(*keys).agg(*cells, F.max("_at").alias("_at"))
+    return wide.select(*keys, F.struct(*V.PROBE_ORDER).alias("probes"), iso_time(F.col("_at")).alias("crawled_at"))
+
+
+def iso_time(moment: Column) -> Column:
+    """Microseconds, with the offset written out; `session.prepare` makes the session's zone UTC."""
+    return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
 
 
 def outcome(key: str) -> Column:
@@ -210,13 +220,19 @@ def with_payment(receipts: DataFrame) -> DataFrame:
     return compute(receipts, **lists, payment_surface=surface, crypto_only=crypto, priced_action_count=priced, sample_actions=_samples())
 
 
+def _actions_of(o: Column) -> Column:
+    return F.coalesce(F.try_variant_get(o["facts"], "$.sample_actions", f"array<{ACTION}>"), F.array().cast(f"array<{ACTION}>"))
+
+
+def agent_samples() -> Column:
+    """Sample actions of the agent documents in order, distinct, at most six."""
+    return samples_of(F.concat(*[_actions_of(valid([k])) for k in V.AGENT_DOCUMENTS]))
+
+
 def _samples() -> Column:
     """Sample actions of API, agent, x402 and payment probe documents, distinct, at most six."""
     none = F.array().cast(f"array<{ACTION}>")
-
-    def of(o: Column) -> Column:
-        return F.coalesce(F.try_variant_get(o["facts"], "$.sample_actions", f"array<{ACTION}>"), none)
-
+    of = _actions_of
     p = F.col("_probe")
     missing = F.lit(None).cast("string")
     own = F.struct(
@@ -226,8 +242,7 @@ def _samples() -> Column:
         F.lit("payment_probe").alias("source"),
     ).cast(ACTION)
     probe = F.when(F.size(of(p)) > 0, of(p)).when(word(p, "candidate_title").isNotNull() | word(p, "probe_url").isNotNull(), F.array(own)).otherwise(none)
-    agents = F.concat(*[of(valid([k])) for k in V.AGENT_DOCUMENTS])
-    return samples_of(F.concat(of(F.col("_openapi")), samples_of(agents), of(F.col("_x402")), probe))
+    return samples_of(F.concat(of(F.col("_openapi")), agent_samples(), of(F.col("_x402")), probe))
 
 
 def catalog_hint(homepage_text: Column, shopify_hint: Column, ucp_valid: Column) -> Column:
@@ -301,6 +316,7 @@ def aggregates() -> Column:
         *_copied(F.col("_cart"), V.CART_AGGREGATES, "cart_"),
         *_copied(F.col("_openapi"), V.OPENAPI_AGGREGATES, "openapi_"),
         *[F.when(any_agent, agent[n]).alias(f"agent_{n}") for n in agent_members],
+        non_empty(agent_samples()).alias("agent_sample_actions"),
         *_copied(F.col("_commerce"), V.COMMERCE_AGGREGATES, "commerce_"),
         fact(F.col("_commerce"), "sample_offers").alias("sample_offers"),
         *[fact(F.col("_ucp"), n).alias(n if n == "ucp_version" else f"ucp_{n}") for n in V.UCP_AGGREGATES],
@@ -339,12 +355,21 @@ def classified(receipts: DataFrame) -> DataFrame:
 
 
 def receipts_of(classified_rows: DataFrame, keep: list[str]) -> DataFrame:
-    """Receipt columns of classified rows: (keep..., label, tags, title, aggregates, probes) and the counts W1 compares."""
+    """Receipt columns of classified rows: (keep..., label, tags, title, aggregates, probes) and the counts W1 compares.
+
+    `aggregates` is a struct, so the retry figures can still be added; `as_document` makes it a variant.
+    """
     probes = [outcome(k)["status"] for k in V.PROBE_ORDER]
     found = F.array(*[F.when(outcome(k)["status"] == "valid", outcome(k)["facts"]) for k in V.PROBE_ORDER])
     classified_rows = compute(classified_rows, _valid_facts=F.filter(found, lambda f: f.isNotNull()))
     count = lambda s: reduce(lambda a, b: a + b, [F.coalesce((p == s).cast("int"), F.lit(0)) for p in probes])
-    return classified_rows.select(
-        *keep, "label", "tags", "title", F.to_variant_object(aggregates()).alias("aggregates"), "probes", "verified_payment_surface",
+    rows = compute(classified_rows, aggregates=aggregates())
+    return rows.select(
+        *keep, "crawled_at", "label", "tags", "title", "aggregates", "probes", "verified_payment_surface",
         count("valid").alias("valid_count"), count("rate_limited").alias("rate_limited_count"),
+        F.col("aggregates.rate_limited_retry_after_seconds").alias("retry_after_seconds"),
     )
+
+
+def as_document(receipts: DataFrame) -> DataFrame:
+    return receipts.withColumn("aggregates", F.to_variant_object("aggregates"))

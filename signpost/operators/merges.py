@@ -77,10 +77,6 @@ def fact_strings(outcome: Column, name: str) -> Column:
     return or_empty(F.try_variant_get(outcome["facts"], f"$.{name}", "array<string>"))
 
 
-def valid_or_null(outcome: Column) -> Column:
-    return F.when(outcome["status"] == "valid", outcome)
-
-
 def merge_agent_facts(documents: list[Column]) -> Column:
     """Facts of up to three agent documents in fixed order: lists united, scalars first-found."""
     lists = {
@@ -136,15 +132,11 @@ def enrich_checkout(catalog: Column, found: Column) -> Column:
     )
 
 
-def has_checkout(catalog: Column) -> Column:
-    return (F.coalesce(catalog["checkout_url_count"], F.lit(0)) > 0) | F.coalesce(catalog["candidate_count"] > 0, F.lit(False))
-
-
 def remote_x402_urls(domain: Column, llms: Column, llms_full: Column, agent_url: Column, agent_urls: Column) -> Column:
     """Discovery URLs named by other documents, ordered distinct, without the domain's own two."""
     own = F.array(
         F.concat(F.lit("https://"), domain, F.lit("/.well-known/x402")),
         F.concat(F.lit("https://"), domain, F.lit("/.well-known/x402.json")),
     )
-    named = merge_all([llms, llms_full, F.array(agent_url), agent_urls], 1_000_000)
+    named = merge_all([llms, llms_full, F.array(agent_url), agent_urls], None)
     return F.filter(named, lambda u: ~F.array_contains(own, u))

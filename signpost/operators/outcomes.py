@@ -11,6 +11,7 @@ from signpost import values as V
 from signpost.functions.stage import compute
 from signpost.functions.text import contains_any, media_type, strip
 from signpost.functions.urls import host
+from signpost.operators.facts.registry import VALIDATORS, Validator
 from signpost.sources.fetches import CONTROL_PREFIX, lookup
 
 
@@ -27,7 +28,7 @@ def control_signatures(fetches: DataFrame) -> DataFrame:
     return (
         fetches.where(is_control())
         .select("domain", "attempt", "http_status", "content_type", "byte_count", "body_sha256", "fetched_at",
-                F.substring("probe_key", len(CONTROL_PREFIX) + 1, 100).alias("control_group"))
+                F.expr(f"substring(probe_key, {len(CONTROL_PREFIX) + 1})").alias("control_group"))
         .groupBy("domain", "attempt", "control_group")
         .agg(first.alias("control"))
     )
@@ -73,25 +74,27 @@ def retry_after(header: Column, fetched_at: Column) -> Column:
     return F.when(value.rlike(r"^[0-9]+$"), value.try_cast("bigint")).when(moment.isNotNull(), wait)
 
 
-def status_allowed() -> Column:
-    special = [
-        (F.col("validator") == v) & F.col("http_status").isin(*codes) for v, codes in V.ALLOWED_STATUSES.items()
-    ]
-    plain = ~F.col("validator").isin(*V.ALLOWED_STATUSES) & (F.col("http_status") == 200)
+def status_allowed(catalog: dict[str, Validator]) -> Column:
+    """Whether a validator looks at a response of this status; probes without one take 200 only."""
+    special = [(F.col("validator") == name) & F.col("http_status").isin(*v.statuses) for name, v in catalog.items() if tuple(v.statuses) != (200,)]
+    named = [name for name, v in catalog.items() if tuple(v.statuses) != (200,)]
+    plain = ~F.col("validator").isin(*named) & (F.col("http_status") == 200)
     return F.coalesce(reduce(lambda a, b: a | b, [*special, plain]), F.lit(False))
 
 
-def with_validator(fetches: DataFrame) -> DataFrame:
-    return fetches.withColumn("validator", F.coalesce(lookup(V.VALIDATOR_OF, F.col("probe_key")), F.lit("none")))
+def with_validator(fetches: DataFrame, catalog: dict[str, Validator]) -> DataFrame:
+    named = {key: name for name, v in catalog.items() for key in v.probes}
+    return fetches.withColumn("validator", F.coalesce(lookup(named, F.col("probe_key")), F.lit("none")))
 
 
-def early_status(df: DataFrame) -> DataFrame:
+def early_status(df: DataFrame, catalog: dict[str, Validator]) -> DataFrame:
     """`status` and `detail` of every rule that needs no look into the body; null where a validator decides.
 
     Reads `validator`, `byte_count` and `retry_after_seconds`. The control match comes after these rules.
     """
     code = F.col("http_status").cast("string")
-    empty = (F.col("probe_key") != "homepage") & (F.col("byte_count") == 0) & ~F.col("validator").isin(*V.EMPTY_BODY_VALIDATORS)
+    empty_taken = [name for name, v in catalog.items() if v.empty_body]
+    empty = (F.col("probe_key") != "homepage") & (F.col("byte_count") == 0) & ~F.col("validator").isin(*empty_taken)
     failed = F.col("http_status").isNull() & (F.coalesce("error", F.lit("")) != "")
     limited = F.when(
         F.col("retry_after_seconds").isNotNull(),
@@ -102,7 +105,7 @@ def early_status(df: DataFrame) -> DataFrame:
         (F.col("http_status") == 404, "missing", F.lit("404 not found")),
         (F.col("http_status") == 429, "rate_limited", limited),
         (failed, "error", F.col("error")),
-        (~status_allowed(), "http_error", F.concat(F.lit("HTTP "), F.coalesce(code, F.lit("None")))),
+        (~status_allowed(catalog), "http_error", F.concat(F.lit("HTTP "), F.coalesce(code, F.lit("None")))),
         (empty, "invalid", F.lit("Empty response body")),
     ]
     verdict = F.lit(None).cast("struct<status:string,detail:string>")
@@ -112,12 +115,14 @@ def early_status(df: DataFrame) -> DataFrame:
     return staged.withColumns({"status": F.col("_verdict.status"), "detail": F.col("_verdict.detail")}).drop("_verdict")
 
 
-def laddered(fetches: DataFrame) -> DataFrame:
+def laddered(fetches: DataFrame, catalog: dict[str, Validator] | None = None) -> DataFrame:
     """Probe responses with control group, Retry-After and the status of every rule but the control match."""
+    catalog = VALIDATORS if catalog is None else catalog
     limited = F.when(F.col("http_status") == 429, retry_after(F.col("headers")["retry-after"], F.col("fetched_at")))
-    group = F.coalesce(F.col("control_group"), lookup(V.CONTROL_GROUP_OF, F.col("probe_key")))
+    groups = {key: p[2] for v in catalog.values() for key, p in v.probes.items() if p[2]}
+    group = F.coalesce(F.col("control_group"), lookup(groups, F.col("probe_key")))
     probes = fetches.where(~is_control()).withColumns({"control_group": group, "retry_after_seconds": limited})
-    return early_status(with_validator(probes))
+    return early_status(with_validator(probes, catalog), catalog)
 
 
 def with_fallback(rows: DataFrame, controls: DataFrame) -> DataFrame:

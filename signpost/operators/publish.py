@@ -61,7 +61,9 @@ def _either(first: str, second: str) -> Column:
 
 def epoch(crawled_at: Column) -> Column:
     """Seconds of an ISO timestamp; no zone means UTC, unreadable means 0."""
-    iso = F.when(crawled_at.rlike(r"^\d{4}-\d{2}-\d{2}"), crawled_at)
+    zoned = crawled_at.rlike(r"(?:Z|[+-]\d{2}:?\d{2})$") & (F.length(crawled_at) > 10)
+    stamp = F.when(zoned, crawled_at).when(F.length(crawled_at) == 10, F.concat(crawled_at, F.lit("T00:00:00Z"))).otherwise(F.concat(crawled_at, F.lit("Z")))
+    iso = F.when(crawled_at.rlike(r"^\d{4}-\d{2}-\d{2}"), stamp)
     return F.coalesce(F.unix_seconds(F.try_to_timestamp(iso)), F.lit(0))
 
 

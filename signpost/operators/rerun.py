@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from signpost import values as V
 from signpost.functions import documents as D
+from signpost.sources.position import number_sorted
 from signpost.sources.receipts import probe_status
 
 HINT_LABELS = ["catalog_surface", "offer_surface", "machine_payable"]
@@ -72,4 +73,6 @@ def rerun_slice(domains: DataFrame, selected: DataFrame, limit: int | None = Non
     rows = first.select(F.col("first.row_index").alias("row_index"), F.col("first.rank").alias("rank"), "domain")
     if limit is None or limit < 0:
         return rows
-    return rows.orderBy("row_index").limit(max(limit, 1))
+    # list positions differ, so numbering them cuts the list without gathering it in one task
+    placed = number_sorted(rows, [F.col("row_index").asc()], "_place")
+    return placed.where(F.col("_place") <= max(limit, 1)).drop("_place")

@@ -39,6 +39,19 @@ def best_attempt(receipts: DataFrame) -> DataFrame:
     return receipts.groupBy("domain").agg(F.max_by(F.struct(*kept), attempt_key()).alias("best")).select("domain", "best.*")
 
 
+def settled_attempts(receipts: DataFrame, base_delay: float = 4.0) -> DataFrame:
+    """The best attempt of every domain; where there were retries, its aggregates say what they did.
+
+    `aggregates` is still a struct. One aggregate settles the choice and the retry figures.
+    """
+    kept = [c for c in receipts.columns if c != "domain"]
+    grouped = receipts.groupBy("domain").agg(F.max_by(F.struct(*kept), attempt_key()).alias("best"), *_retry_aggregates(base_delay))
+    figures = _retry_figures()
+    several = F.col("attempt_count") > 1
+    extra = [F.when(several, c).alias(f"rate_limit_retry_{n}") for n, c in figures.items()]
+    return grouped.select("domain", "best.*", F.struct(*extra).alias("_retry")).withColumn("aggregates", F.struct("aggregates.*", "_retry.*")).drop("_retry")
+
+
 def interesting_keys(valid_keys: Column) -> Column:
     return F.array_sort(F.array_intersect(valid_keys, F.array(*[F.lit(k) for k in V.INTERESTING_PROBES])))
 
@@ -92,32 +105,37 @@ def retry_plan(receipts: DataFrame, base_delay: float = 4.0, timeout: float = 5.
     )
 
 
-def retry_summary(receipts: DataFrame, base_delay: float = 4.0) -> DataFrame:
-    """What the retries of a domain did. Attempt 1 is the first pass; the best attempt is final.
-
-    The delay of a pass follows from the receipt before it, so every attempt but the last adds one.
-    """
+def _retry_aggregates(base_delay: float) -> list[Column]:
+    """The delay of a pass follows from the receipt before it, so every attempt but the last adds one."""
     pick = F.struct("label", "rate_limited_count")
     delay = retry_delay(base_delay, F.col("retry_after_seconds"))
-    grouped = receipts.groupBy("domain").agg(
-        F.min_by(pick, "attempt").alias("initial"),
-        F.max_by(pick, attempt_key()).alias("final"),
-        F.count(F.lit(1)).alias("attempt_count"),
-        F.sum(delay).alias("all_delays"),
-        F.max_by(delay, "attempt").alias("last_delay"),
-    )
+    return [
+        F.min_by(pick, "attempt").alias("initial"), F.max_by(pick, attempt_key()).alias("final"), F.count(F.lit(1)).alias("attempt_count"),
+        F.sum(delay).alias("all_delays"), F.max_by(delay, "attempt").alias("last_delay"),
+    ]
+
+
+def _retry_figures() -> dict[str, Column]:
     waited = F.greatest(F.col("all_delays") - F.col("last_delay"), F.lit(0.0))
-    return grouped.select(
-        "domain",
-        (F.col("attempt_count") > 1).alias("retry_attempted"),
-        "attempt_count",
-        F.col("initial.label").alias("initial_label"),
-        F.col("final.label").alias("final_label"),
-        ((F.col("initial.label") == "rate_limited") & (F.col("final.label") != "rate_limited")).alias("recovered"),
-        F.round(waited, 3).alias("delay_seconds"),
-        F.col("initial.rate_limited_count").alias("initial_rate_limited_count"),
-        F.col("final.rate_limited_count").alias("final_rate_limited_count"),
-    )
+    return {
+        "attempted": F.col("attempt_count") > 1,
+        "attempt_count": F.col("attempt_count"),
+        "initial_label": F.col("initial.label"),
+        "final_label": F.col("final.label"),
+        "recovered": (F.col("initial.label") == "rate_limited") & (F.col("final.label") != "rate_limited"),
+        "delay_seconds": F.round(waited, 3),
+        "initial_rate_limited_probe_count": F.col("initial.rate_limited_count"),
+        "final_rate_limited_probe_count": F.col("final.rate_limited_count"),
+    }
+
+
+def retry_summary(receipts: DataFrame, base_delay: float = 4.0) -> DataFrame:
+    """What the retries of a domain did. Attempt 1 is the first pass; the best attempt is final."""
+    f = _retry_figures()
+    return receipts.groupBy("domain").agg(*_retry_aggregates(base_delay)).select(
+        "domain", f["attempted"].alias("retry_attempted"), "attempt_count", f["initial_label"].alias("initial_label"), f["final_label"].alias("final_label"),
+        f["recovered"].alias("recovered"), f["delay_seconds"].alias("delay_seconds"),
+        f["initial_rate_limited_probe_count"].alias("initial_rate_limited_count"), f["final_rate_limited_probe_count"].alias("final_rate_limited_count"))
 
 
 def rate_limit_summary(outcomes: DataFrame, by: list[str]) -> DataFrame:

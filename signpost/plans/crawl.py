@@ -1,75 +1,108 @@
-"""Fetch log -> outcomes -> receipts."""
+"""Fetch log -> outcomes -> receipts, positives and evidence."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signpost import values as V
 from signpost.operators import classify, outcomes, select
-from signpost.operators.facts.registry import FACT_JOBS, FactJob
-from signpost.session import cut
+from signpost.operators.facts.registry import VALIDATORS, Validator
+from signpost.session import prepare, stored
+from signpost.sources.fetches import lookup
 
 OUTCOME_COLUMNS = [
     "domain", "attempt", "probe_key", "path", "status", "http_status", "content_type", "final_url", "byte_count", "body_sha256",
     "detail", "facts", "fetched_at",
 ]
+NO_VALIDATOR = "No validator for this probe"
 
 
-def outcomes_of(fetches: DataFrame, controls: DataFrame, validator: str, job: FactJob) -> DataFrame:
-    """Outcomes of one validator's probes: early status, control match, else the validator's verdict.
+def _judged(rows: DataFrame, validator: Validator) -> DataFrame:
+    """Undecided responses with the validator's verdict; bodies go."""
+    found = validator.job(rows.drop("status", "detail")).withColumn("facts", F.to_variant_object(F.col("facts")))
+    verdict = F.when(F.col("is_valid"), "valid").otherwise("invalid")
+    return found.withColumn("verdict", verdict)
 
-    One scan: the filter on `probe_key` reaches it, so a log partitioned by it is read once over all
-    jobs. Bodies the ladder has already decided on are not parsed, and all bodies are gone before the
-    rows meet the control digests.
+
+def outcomes_from_fetches(fetches: DataFrame, validators: dict[str, Validator] | None = None, controls: DataFrame | None = None) -> DataFrame:
+    """All outcomes of a fetch log read by `read_fetches`; `controls` are control digests from elsewhere.
+
+    The log is scanned twice: once for the narrow control digests, once for the status ladder. What the
+    ladder leaves open is stored by validator with its bodies, so every fact job reads its own part
+    only; the verdicts, without bodies, meet the control digests in a single join. Responses to probes
+    nobody judges stay, as `unknown`.
     """
-    keys = [k for k, v in V.VALIDATOR_OF.items() if v == validator]
-    ladder = outcomes.laddered(fetches.where(F.col("probe_key").isin(*keys)))
-    open_rows = ladder.withColumnsRenamed({"status": "early_status", "detail": "early_detail"}).withColumn(
-        "body", F.when(F.col("early_status").isNull(), F.col("body"))
-    )
-    judged = job(open_rows).withColumn("facts", F.to_variant_object(F.col("facts")))
-    verdict = judged.withColumnsRenamed({"detail": "verdict_detail", "early_status": "status", "early_detail": "detail"})
-    settled = outcomes.with_fallback(verdict, controls)
+    catalog = VALIDATORS if validators is None else validators
+    prepare(fetches.sparkSession)
+    digests = outcomes.control_signatures(fetches)
+    if controls is not None:
+        digests = digests.unionByName(controls).groupBy("domain", "attempt", "control_group").agg(F.min("control").alias("control"))
+    ladder = outcomes.laddered(fetches, catalog)
+    open_ = F.col("status").isNull()
+    staged = stored(ladder.withColumn("body", F.when(open_, F.col("body"))).withColumn("open", open_), "ladder", ["open", "validator"])
+    undecided = staged.where("open").drop("open")
+    parts = [_judged(undecided.where(F.col("validator") == name), v) for name, v in catalog.items()]
     limited = F.when(F.col("retry_after_seconds").isNotNull(), F.to_variant_object(F.struct("retry_after_seconds")))
-    undecided = F.col("status").isNull()
-    final = settled.withColumns(
-        {
-            "facts": F.when(undecided, F.col("facts")).otherwise(limited),
-            "detail": F.when(undecided, F.col("verdict_detail")).otherwise(F.col("detail")),
-            "status": F.when(undecided, F.when(F.col("is_valid"), "valid").otherwise("invalid")).otherwise(F.col("status")),
-        }
-    )
-    return _shaped(final)
+    parts.append(staged.where("NOT open").withColumn("facts", limited))
+    parts.append(undecided.where(~F.col("validator").isin(*catalog)).withColumns({"verdict": F.lit("unknown"), "detail": F.lit(NO_VALIDATOR)}))
+    columns = ["domain", "attempt", "probe_key", "validator", "control_group", "requested_url", "http_status", "content_type", "final_url", "byte_count", "body_sha256", "fetched_at"]
+    extra = {"status": "string", "verdict": "string", "detail": "string", "facts": "variant"}
 
+    def shaped(part: DataFrame) -> DataFrame:
+        return part.select(*columns, *[(F.col(c) if c in part.columns else F.lit(None)).cast(t).alias(c) for c, t in extra.items()])
 
-def _shaped(rows: DataFrame) -> DataFrame:
-    path = F.coalesce(*[F.when(F.col("probe_key") == k, F.lit(p)) for k, p, *_ in V.PROBES])
-    return rows.withColumn("path", F.when(path == "dynamic", F.col("requested_url")).otherwise(path)).select(*OUTCOME_COLUMNS)
+    rows = reduce(DataFrame.unionByName, [shaped(p) for p in parts])
+    matched = outcomes.with_fallback(rows, digests)
+    undecided_still = F.col("status").isNull()
+    final = matched.withColumns({
+        "facts": F.when(F.col("status").eqNullSafe("fallback"), None).otherwise(F.col("facts")),
+        "status": F.when(undecided_still, F.col("verdict")).otherwise(F.col("status")),
+    })
+    return final.withColumn("path", _path(catalog)).select(*OUTCOME_COLUMNS)
 
 
-def outcomes_from_fetches(fetches: DataFrame, jobs: dict[str, FactJob] | None = None) -> DataFrame:
-    """All outcomes of a fetch log read by `read_fetches`."""
-    controls = outcomes.control_signatures(fetches)
-    parts = [outcomes_of(fetches, controls, name, job) for name, job in (jobs or FACT_JOBS).items()]
-    return reduce(DataFrame.unionByName, parts)
+def _path(catalog: dict[str, Validator]) -> Column:
+    path = lookup({key: p[0] for v in catalog.values() for key, p in v.probes.items()}, F.col("probe_key"))
+    return F.when(path == "dynamic", F.col("requested_url")).otherwise(F.coalesce(path, F.col("requested_url")))
 
 
-def receipts_from_outcomes(all_outcomes: DataFrame, order: str = "fetched_at") -> DataFrame:
-    """One receipt per domain: outcomes merged per attempt, classified, and the best attempt kept."""
+def receipts_from_outcomes(all_outcomes: DataFrame, order: str = "fetched_at", base_delay: float = 4.0) -> DataFrame:
+    """One receipt per domain: outcomes merged per attempt, classified, the best attempt kept with the retry figures."""
     keys = ["domain", "attempt"]
     full = outcomes.complete_outcomes(all_outcomes)
     rows = classify.classified(classify.pivot_outcomes(full, keys, order=order))
-    return select.best_attempt(classify.receipts_of(rows, keys))
+    return classify.as_document(select.settled_attempts(classify.receipts_of(rows, keys), base_delay))
 
 
-def receipts_from_fetches(fetches: DataFrame, domains: DataFrame | None = None, jobs: dict[str, FactJob] | None = None) -> DataFrame:
+def receipts_from_fetches(fetches: DataFrame, domains: DataFrame | None = None, validators: dict[str, Validator] | None = None) -> DataFrame:
     """The whole crawl side; with the domain list the receipts also carry rank and row index.
 
-    The outcomes are written to the shared folder once: bodies are parsed a single time although the
-    completion and the receipts both read them, and a lost executor repeats no parsing.
+    The outcomes are stored once: bodies are parsed a single time although the completion and the
+    receipts both read them, and a lost executor repeats no parsing.
     """
-    receipts = receipts_from_outcomes(cut(outcomes_from_fetches(fetches, jobs)))
+    receipts = receipts_from_outcomes(stored(outcomes_from_fetches(fetches, validators), "outcomes"))
     return receipts if domains is None else receipts.join(domains, "domain", "left")
+
+
+def with_signal(receipts: DataFrame) -> DataFrame:
+    """`is_interesting`: some probe that counts as a signal is valid."""
+    hits = [F.coalesce(F.col(f"probes.{k}.status") == "valid", F.lit(False)) for k in V.INTERESTING_PROBES]
+    return receipts.withColumn("is_interesting", reduce(lambda a, b: a | b, hits))
+
+
+def positives_of(receipts: DataFrame, order: str = "crawled_at") -> DataFrame:
+    """The last receipt of every domain whose last receipt has a signal."""
+    return select.positives(with_signal(receipts), order)
+
+
+def evidence_of(receipts: DataFrame, fetches: DataFrame) -> DataFrame:
+    """(domain, artifact, body) for the receipts of one crawl: the captures their text outcomes come from."""
+    marked = with_signal(receipts).where("is_interesting")
+    cells = F.array(*[F.struct(F.lit(k).alias("probe_key"), F.col(f"probes.{k}.status").alias("status"), F.col(f"probes.{k}.body_sha256").alias("body_sha256")) for k in V.EVIDENCE_PROBES])
+    wanted = marked.select("domain", "attempt", F.inline(cells)).where("status = 'valid'").drop("status")
+    texts = fetches.where(F.col("probe_key").isin(*V.EVIDENCE_PROBES) & ~F.coalesce(F.col("truncated"), F.lit(False)) & (F.octet_length("body") > 0))
+    bodies = texts.select("domain", "attempt", "probe_key", "body_sha256", "body").join(wanted, ["domain", "attempt", "probe_key", "body_sha256"], "left_semi")
+    return bodies.dropDuplicates(["domain", "probe_key"]).select("domain", F.col("probe_key").alias("artifact"), "body")

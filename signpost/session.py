@@ -18,6 +18,16 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
+# what right results hang on, in any session: zone-less stamps are UTC, the last of equal JSON members counts
+REQUIRED = {"spark.sql.session.timeZone": "UTC", "spark.sql.variant.allowDuplicateKeys": "true"}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Set what results hang on and send the package to the workers. The readers and plans call it."""
+    for key, value in REQUIRED.items():
+        spark.conf.set(key, value)
+    ship_package(spark)
+    return spark
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "16g") -> SparkSession:
@@ -29,7 +39,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
-    for key, value in DEFAULTS.items():
+    for key, value in (DEFAULTS | REQUIRED).items():
         builder = builder.config(key, value)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
@@ -75,6 +85,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/signpost-{uuid.uuid4().hex}/{name}"
 
 
+def stored(df: DataFrame, name: str, partitions: list[str] | None = None) -> DataFrame:
+    """`df` written to the shared folder as Parquet and read back: pruned by column and by `partitions`."""
+    path = scratch_path(df.sparkSession, name)
+    writer = df.write.partitionBy(*partitions) if partitions else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise `df` in the shared folder so later jobs see the same rows in the same partitions."""
     shared_folder(df.sparkSession)

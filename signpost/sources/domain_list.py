@@ -11,7 +11,8 @@ from pyspark.sql.types import StringType
 from signpost.functions.stage import compute, spread
 from signpost.functions.text import SPACE, strip
 from signpost.functions.urls import part
-from signpost.sources.position import numbered_lines
+from signpost.session import prepare
+from signpost.sources.position import number_sorted, numbered_lines
 
 # fixed values: header words that are no domain
 HEADER_WORDS = ["domain", "root_domain", "host"]
@@ -87,7 +88,7 @@ def parse_domains(lines: DataFrame) -> DataFrame:
 
 
 def read_domain_list(spark: SparkSession, path: str) -> DataFrame:
-    return parse_domains(numbered_lines(spark, path))
+    return parse_domains(numbered_lines(prepare(spark), path))
 
 
 def from_offset(domains: DataFrame, start_row_index: int) -> DataFrame:
@@ -96,4 +97,5 @@ def from_offset(domains: DataFrame, start_row_index: int) -> DataFrame:
 
 def limited(domains: DataFrame, limit: int) -> DataFrame:
     """The first `limit` rows in list order; a negative limit gives none."""
-    return domains.orderBy("row_index").limit(max(limit, 0))
+    placed = number_sorted(domains, [F.col("row_index").asc()], "_place")
+    return placed.where(F.col("_place") <= limit).drop("_place")

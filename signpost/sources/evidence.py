@@ -1,4 +1,4 @@
-"""Evidence documents: the stored text bodies of a domain's latest receipt."""
+"""Evidence documents: the stored text bodies of a domain's last receipt."""
 
 from __future__ import annotations
 
@@ -10,17 +10,23 @@ from signpost.functions.text import preview
 
 
 def evidence_docs(outcomes: DataFrame, order: str = "pos") -> DataFrame:
-    """(domain, artifact, body) of the valid, whole, non-empty text bodies, the latest per artifact.
+    """(domain, artifact, body) of the valid, whole, non-empty text bodies of each domain's last receipt.
 
-    Only position and digest columns take part in the choice; bodies stay out of the comparison.
+    `order` places the receipt a row belongs to. A later receipt replaces all evidence of the one before,
+    and leaves none if it has no signal. The choice runs on narrow columns; a body joins its winner once.
     """
+    valid = F.col("status") == "valid"
+    signal = F.max(F.coalesce(valid & F.col("probe_key").isin(*V.INTERESTING_PROBES), F.lit(False)))
+    states = outcomes.groupBy("domain", order).agg(signal.alias("_signal"))
+    kept = states.groupBy("domain").agg(F.max(F.struct(order, "_signal")).alias("_last")).where("_last._signal")
+    last = kept.select("domain", F.col(f"_last.{order}").alias(order))
     usable = outcomes.where(
-        F.col("probe_key").isin(*V.EVIDENCE_PROBES)
-        & (F.col("status") == "valid")
-        & ~F.coalesce(F.col("truncated"), F.lit(False))
-        & (F.octet_length("body") > 0)
-    )
-    return usable.groupBy("domain", F.col("probe_key").alias("artifact")).agg(F.max_by("body", order).alias("body"))
+        F.col("probe_key").isin(*V.EVIDENCE_PROBES) & valid
+        & ~F.coalesce(F.col("truncated"), F.lit(False)) & (F.octet_length("body") > 0)
+    ).select("domain", order, F.col("probe_key").alias("artifact"), F.md5("body").alias("_digest"), "body")
+    chosen = usable.drop("body").join(last, ["domain", order]).groupBy("domain", "artifact", order).agg(F.min("_digest").alias("_digest"))
+    bodies = usable.join(chosen, ["domain", "artifact", order, "_digest"], "left_semi")
+    return bodies.dropDuplicates(["domain", "artifact"]).select("domain", "artifact", "body")
 
 
 def evidence_columns(evidence: DataFrame) -> DataFrame:

@@ -7,25 +7,28 @@ from pyspark.sql import functions as F
 
 from signpost import values as V
 from signpost.functions.text import strip
+from signpost.session import prepare
 
 CONTROL_PREFIX = "control:"
 
 
 def lookup(values: dict, key: Column) -> Column:
-    """A small fixed table as a map literal."""
+    """A small fixed table as a map literal; null for every key when the table is empty."""
+    if not values:
+        return F.lit(None).cast("string")
     pairs = [F.lit(x) for kv in values.items() for x in kv]
     return F.try_element_at(F.create_map(*pairs), key)
 
 
-def body_limit(probe_key: Column) -> Column:
+def body_limit(probe_key: Column, limits: dict[str, int] | None = None) -> Column:
     """Control responses are read with a smaller limit than the pages they are compared with."""
-    probe = F.coalesce(lookup(V.MAX_BYTES_OF, probe_key), F.lit(V.DEFAULT_MAX_BYTES))
+    probe = F.coalesce(lookup(V.MAX_BYTES_OF | (limits or {}), probe_key), F.lit(V.DEFAULT_MAX_BYTES))
     return F.when(probe_key.startswith(CONTROL_PREFIX), F.lit(V.CONTROL_MAX_BYTES)).otherwise(probe)
 
 
-def limit_bodies(raw: DataFrame) -> DataFrame:
+def limit_bodies(raw: DataFrame, limits: dict[str, int] | None = None) -> DataFrame:
     """Apply the limits: `body` cut, `truncated` set, `byte_count` and `body_sha256` derived."""
-    limit = body_limit(F.col("probe_key"))
+    limit = body_limit(F.col("probe_key"), limits)
     body = F.coalesce(F.col("body"), F.lit(b""))
     cut = raw.withColumn("truncated", F.coalesce(F.octet_length(body) > limit, F.lit(False))).withColumn(
         "body", F.substring(body, F.lit(1), limit)
@@ -47,6 +50,6 @@ def clean_headers(headers: Column) -> Column:
     return F.map_from_entries(last)
 
 
-def read_fetches(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet fetch log. Partition it by `probe_key` and each fact job reads its own folder only."""
-    return limit_bodies(spark.read.parquet(path)).withColumn("headers", clean_headers(F.col("headers")))
+def read_fetches(spark: SparkSession, path: str, limits: dict[str, int] | None = None) -> DataFrame:
+    """Parquet fetch log; `limits` are those of probes the catalogue does not have."""
+    return limit_bodies(prepare(spark).read.parquet(path), limits).withColumn("headers", clean_headers(F.col("headers")))

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from signpost import values as V
+from signpost.functions import documents as D
 from signpost.functions.stage import compute, spread
 from signpost.functions.text import strip
-from signpost.schemas import RECEIPT_LINE
+from signpost.session import prepare
 from signpost.sources.position import append_order, read_lines
 
 SHARD_RECORDS = 100_000
@@ -16,20 +18,42 @@ SHARD_RECORDS = 100_000
 def parse_receipt_lines(lines: DataFrame, strict: bool) -> DataFrame:
     """(line, pos) -> receipt columns, `probes` as a struct with one outcome per known probe key.
 
-    Strict parsing fails on a bad line, lenient parsing drops it.
+    A line either is a JSON object or not; that alone decides. Strict parsing fails on a line that is
+    none, lenient parsing drops it. Members are read afterwards, each on its own: one of an unexpected
+    type is null (or read as what it says, like a status in quotes) and takes no other with it.
     """
-    text = strip(F.col("line"))
-    kept = compute(lines, ["pos"], line=text).where("line <> ''")
+    kept = compute(lines, ["pos"], line=strip(F.col("line"))).where("line <> ''")
+    read = compute(kept, ["pos", "line"], receipt=D.value_of(F.col("line")))
+    is_object = F.coalesce(D.kind(F.col("receipt")).startswith("OBJECT"), F.lit(False))
     if strict:
-        return spread(kept, ["pos"], F.from_json("line", RECEIPT_LINE, {"mode": "FAILFAST"}))
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
-    parsed = spread(kept, ["pos"], F.from_json("line", f"{RECEIPT_LINE}, _broken STRING", options))
-    return parsed.where("_broken IS NULL").drop("_broken")
+        broken = F.concat(F.lit("a line of the receipt log is no JSON object: "), F.substring("line", 1, 200))
+        read = read.where(F.when(is_object, F.lit(True)).otherwise(F.raise_error(broken).cast("boolean")))
+    else:
+        read = read.where(is_object)
+    return spread(read, ["pos"], _receipt(F.col("receipt")))
+
+
+def _receipt(line: Column) -> Column:
+    """The columns of RECEIPT_LINE from a line's object."""
+    whole = lambda v: F.coalesce(D.as_whole(v), F.try_variant_get(v, "$", "bigint"))
+
+    def outcome(key: str) -> Column:
+        o = D.members(D.get(D.get(line, "probes"), key), V.OUTCOME_MEMBERS)
+        typed = {n: whole(o[n]) if n in ("http_status", "byte_count") else D.as_string(o[n]) for n in V.OUTCOME_MEMBERS if n != "facts"}
+        typed["http_status"] = typed["http_status"].try_cast("int")
+        return F.when(o.isNotNull(), F.struct(*[c.alias(n) for n, c in typed.items()], o["facts"].alias("facts")))
+
+    return F.struct(
+        D.as_string(D.get(line, "domain")).alias("domain"), D.get(line, "rank").alias("rank"), whole(D.get(line, "row_index")).alias("row_index"),
+        D.get(line, "crawled_at").alias("crawled_at"), D.as_string(D.get(line, "label")).alias("label"),
+        *[D.get(line, n).alias(n) for n in ("tags", "title", "aggregates")],
+        F.struct(*[outcome(k).alias(k) for k in V.PROBE_ORDER]).alias("probes"),
+    )
 
 
 def read_receipts(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """Receipts with `pos`, their place in append order. `path` may be a directory or a glob."""
-    lines = read_lines(spark, path).select("line", append_order().alias("pos"))
+    lines = read_lines(prepare(spark), path).select("line", append_order().alias("pos"))
     return parse_receipt_lines(lines, strict)
 
 

@@ -6,17 +6,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from signpost.operators import outcomes
 from signpost.operators.select import positives
+from signpost.plans.crawl import outcomes_from_fetches
 from signpost.sources.receipts import seen_domains
 
+AVAILABLE = {"availableNow": True}
 
-def stream_early_outcomes(fetches: DataFrame) -> DataFrame:
-    """Outcomes of a fetch stream that need no look into the body; `status` null means a fact job decides.
 
-    Stateless. `outcomes.with_fallback` adds the control match from a batch table of control digests.
+def record_outcomes(
+    fetches: DataFrame, path: str, checkpoint: str, controls: DataFrame | None = None, validators: dict | None = None, trigger: dict | None = None,
+) -> StreamingQuery:
+    """Whole outcomes of a fetch stream, batch by batch, into folders named after the batch.
+
+    A batch goes through the same plan as a log: ladder, fact jobs, control match. Its control digests
+    are those captured in the batch and those of `controls`, a table made by `control_signatures`.
+    A repeated batch writes the same folder again.
     """
-    return outcomes.laddered(fetches)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        outcomes_from_fetches(batch, validators, controls).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return fetches.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or AVAILABLE)).start()
 
 
 def label_counts(receipts: DataFrame) -> DataFrame:
@@ -30,7 +40,9 @@ def status_counts(outcome_rows: DataFrame) -> DataFrame:
 
 
 def throughput(receipts: DataFrame, every: str = "1 hour", late: str = "10 minutes") -> DataFrame:
-    """Receipts per interval of crawl time; an interval is final once the watermark has passed it."""
+    """Receipts per interval of crawl time, for update mode: an interval comes out with each batch that
+    changes it, so the last ones do too, and its state goes once the watermark has passed it.
+    """
     windows = receipts.withWatermark("crawled_at", late).groupBy(F.window("crawled_at", every)).agg(F.count(F.lit(1)).alias("receipts"))
     return windows.select(F.col("window.start").alias("started_at"), "receipts")
 
@@ -47,35 +59,59 @@ def last_states(receipts: DataFrame) -> DataFrame:
     return receipts.groupBy("domain").agg(F.max_by(F.struct(*kept), "pos").alias("last")).select("domain", "last.*")
 
 
-def keep_positives(receipts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def keep_positives(receipts: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, compact_every: int = 20) -> StreamingQuery:
     """Record the last receipt of every domain, batch by batch.
 
     A batch reduces to its own last receipts and writes only those, to a folder named after the batch:
-    a repeated batch writes the same folder again, and the cost of a batch does not grow with the
-    state. Readers take the latest position over all batches, so late batches change nothing newer.
+    a repeated batch writes the same folder again. Every `compact_every` batches the folders so far
+    become one, so readers never scan more than that many. Readers take the latest position over all
+    folders; rows that stand in two of them while a compaction is repeated change nothing.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         last_states(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        if batch_id and batch_id % compact_every == 0:
+            compact_positives(batch.sparkSession, path, batch_id)
 
-    return receipts.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return receipts.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or AVAILABLE)).start()
 
 
-def read_positives(spark: SparkSession, path: str) -> DataFrame:
-    """Domains whose last recorded receipt has a signal; those that lost it are gone."""
-    return positives(spark.read.parquet(path).drop("batch"))
+def _folders(spark: SparkSession, path: str) -> tuple[object, dict[str, int]]:
+    """The file system of `path`, and its batch folders with their last batch."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in system.listStatus(root) if s.isDirectory()]
+    return system, {n: int(n.split("=")[1].split("-")[-1]) for n in names if n.startswith(("batch=", "upto="))}
+
+
+def compact_positives(spark: SparkSession, path: str, batch_id: int) -> None:
+    """The folders up to a batch as a single one, written first and put in place of the others then."""
+    system, found = _folders(spark, path)
+    old = [n for n, last in found.items() if last <= batch_id]
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    new = f"upto=0-{batch_id}"
+    last_states(spark.read.parquet(*[f"{path}/{n}" for n in old])).write.mode("overwrite").parquet(f"{path}/.next")
+    system.delete(hadoop(f"{path}/{new}"), True)
+    system.rename(hadoop(f"{path}/.next"), hadoop(f"{path}/{new}"))
+    for name in old:
+        if name != new:
+            system.delete(hadoop(f"{path}/{name}"), True)
 
 
-def compact_positives(spark: SparkSession, path: str, target: str) -> None:
-    """One batch folder in place of many, for long-running streams."""
-    last_states(spark.read.parquet(path).drop("batch")).write.mode("overwrite").parquet(f"{target}/batch=0")
+def read_positives(spark: SparkSession, path: str) -> DataFrame:
+    """Domains whose last recorded receipt has a signal; those that lost it are gone."""
+    return positives(spark.read.parquet(*[f"{path}/{n}" for n in _folders(spark, path)[1]]))
 
 
-def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
-    """Run a stream over what is there and end. Append results accumulate; complete ones replace the table."""
-    writer = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", trigger: dict | None = None) -> None:
+    """Run a stream and wait for its end. Append results accumulate, complete ones replace the table, and
+    updates go to a folder per batch: of equal keys the one of the highest `batch` counts.
+    """
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).trigger(**(trigger or AVAILABLE))
     if mode == "append":
         query = writer.outputMode("append").format("parquet").start(path)
+    elif mode == "update":
+        query = writer.outputMode(mode).foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{path}/batch={n}")).start()
     else:
         query = writer.outputMode(mode).foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(path)).start()
     query.awaitTermination()

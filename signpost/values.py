@@ -32,6 +32,7 @@ PROBE_ORDER = [p[0] for p in PROBES]
 VALIDATOR_OF = {p[0]: p[2] for p in PROBES}
 MAX_BYTES_OF = {p[0]: p[3] for p in PROBES}
 CONTROL_GROUP_OF = {p[0]: p[4] for p in PROBES if p[4]}
+OUTCOME_MEMBERS = ["path", "status", "http_status", "content_type", "final_url", "byte_count", "body_sha256", "detail", "facts"]
 # probes every domain gets a row for, whether fetched or not
 LIGHT_PROBES = ["robots_txt", "sitemap_xml", "llms_txt", "llms_full_txt"]
 DISCOVERY_PROBES = [

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from signpost.operators import outcomes as O
-from signpost.operators.facts.registry import FACT_JOBS, register_fact_job
+from signpost.operators.facts.registry import VALIDATORS, register_fact_job
 from signpost.plans.crawl import outcomes_from_fetches, receipts_from_outcomes
 from signpost.session import cut
 from tests.helpers import fetches
@@ -73,7 +73,7 @@ def test_whole_crawl_side(spark):
         {"probe_key": "homepage", "domain": "c.example", "http_status": None, "error": "timeout"},
     ]
     df = fetches(spark, [{"fetched_at": AT, **r} for r in rows])
-    jobs = {name: FACT_JOBS[name] for name in ("homepage", "robots", "sitemap", "llms", "x402", "products")}
+    jobs = {name: VALIDATORS[name] for name in ("homepage", "robots", "sitemap", "llms", "x402", "products")}
     found = cut(outcomes_from_fetches(df, jobs))
     status = {(r.domain, r.attempt, r.probe_key): r.status for r in found.collect()}
     assert status[("a.example", 1, "x402_json")] == "valid" and status[("b.example", 1, "robots_txt")] == "rate_limited"
@@ -91,11 +91,36 @@ def test_own_fact_job(spark):
     def shout(rows):
         return rows.withColumns({"is_valid": F.lit(True), "detail": F.lit("ok"), "facts": F.struct(F.upper(F.decode("body", "UTF-8")).alias("text"))})
 
-    saved = FACT_JOBS["robots"]
+    saved = VALIDATORS["robots"]
     register_fact_job("robots", shout)
+    register_fact_job("humans", shout, {"humans_txt": ("/humans.txt", 100, None)}, statuses=(200, 203))
     try:
-        df = fetches(spark, [{"fetched_at": AT, "probe_key": "robots_txt", "body": "hi"}])
-        got = outcomes_from_fetches(df, {"robots": FACT_JOBS["robots"]}).first()
-        assert got.status == "valid" and got.facts.toPython() == {"text": "HI"}
+        df = fetches(spark, [
+            {"fetched_at": AT, "probe_key": "robots_txt", "body": "hi"}, {"fetched_at": AT, "probe_key": "humans_txt", "body": "ho", "http_status": 203},
+            {"fetched_at": AT, "probe_key": "nobody_knows", "body": "x"}])
+        got = {r.probe_key: r for r in outcomes_from_fetches(df, {n: VALIDATORS[n] for n in ("robots", "humans")}).collect()}
+        assert got["robots_txt"].status == "valid" and got["robots_txt"].facts.toPython() == {"text": "HI"}
+        assert got["humans_txt"].status == "valid" and got["humans_txt"].path == "/humans.txt"
+        assert got["nobody_knows"].status == "unknown"
     finally:
-        register_fact_job("robots", saved)
+        VALIDATORS["robots"] = saved
+        del VALIDATORS["humans"]
+    with pytest.raises(ValueError, match="needs the probes"):
+        register_fact_job("other", shout)
+
+
+def test_skipped_probes_and_crawl_time_reach_the_receipt(spark):
+    df = fetches(spark, [{"fetched_at": AT, "probe_key": "robots_txt", "content_type": "text/plain", "body": "User-agent: *"}])
+    receipt = receipts_from_outcomes(outcomes_from_fetches(df)).first()
+    assert receipt.probes.products_json.status == "skipped" and receipt.probes.robots_txt.status == "valid"
+    assert receipt.probes.api_products is None and receipt.crawled_at.endswith("+00:00")
+
+
+def test_crawl_plan_scans_the_log_twice_and_joins_once(spark, tmp_path):
+    path = str(tmp_path / "log")
+    fetches(spark, [{"fetched_at": AT, "probe_key": "robots_txt", "body": "User-agent: *"}]).write.parquet(path)
+    plan = outcomes_from_fetches(spark.read.parquet(path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+    # the other scan fed the stored ladder
+    locations = outcomes_from_fetches(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert locations.count("file:" + path) + locations.count(path + "]") <= 2
