@@ -1,7 +1,7 @@
 """Token files: ORC with integer run-length encoding, row indexes and Bloom filters on document ids.
 
 Texts are range-partitioned and sorted by doc_id, then encoded where they lie, so the encoder runs once
-and each task writes one file in order. A row holds the ids of one document and `local_start`, the ids
+and each task writes one file in order. A word is encoded once per worker as long as it is remembered. A row holds the ids of one document and `local_start`, the ids
 of the file before it; run-length encoding makes both, and the file number `part`, cheap. A reader takes
 stripes in parallel, prunes stripes and row groups by the doc_id statistics and Bloom filters, and gets
 global positions from one sum per file. Ids stay in bounded batches on the way in and out.
@@ -9,8 +9,9 @@ global positions from one sum per file. Ids stay in bounded batches on the way i
 
 from __future__ import annotations
 
-import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,68 @@ OPTIONS = {
 _ROW = "doc_id long, part int, local_start long, n_tokens int, ids array<int>"
 
 
+_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+# Places where byte-level pre-tokenizers always cut: before white space that follows something else, and
+# between a word of plain letters and ASCII that is no letter. A single line break before a word stands alone.
+_CHUNK = re.compile(rf"\n(?=[{_LETTER}])|[ \n\r\t]*(?:[{_LETTER}]+(?![^\x00-\x7f]|[A-Za-z])|[^ \n\r\t]+)|[ \n\r\t]+")
+_WORD = re.compile(rf" ?[{_LETTER}]+")
+# white space that the rules above do not know: such texts are encoded as a whole
+_OTHER_SPACE = re.compile(r"[^\S \n\r\t]")
+
+
+def _alphabet() -> dict[int, str]:
+    """The visible character that byte-level vocabularies write for each byte: itself, or the next one from 256 on."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+class Encoder(dict):
+    """chunk -> its ids as little-endian 32-bit integers, remembered up to a bound.
+
+    Texts repeat their words: a chunk is given to the tokenizer once, not once per place. Chunks are cut
+    only where the tokenizer itself cuts, so the ids are those of the whole text.
+    """
+
+    LIMIT = 700_000
+
+    def __init__(self, tokenizer_file: str) -> None:
+        from tokenizers import Tokenizer
+
+        super().__init__()
+        self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
+        self.alphabet = _alphabet()
+
+    def __missing__(self, chunk: str) -> bytes:
+        if _WORD.fullmatch(chunk):  # one piece
+            ids = [t.id for t in self.model.tokenize(chunk.encode().decode("latin-1").translate(self.alphabet))]
+        else:
+            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        value = array("i", ids).tobytes()
+        if len(self) >= self.LIMIT:
+            self.clear()
+        if len(chunk) <= 64:
+            self[chunk] = value
+        return value
+
+    def encode(self, text: str) -> bytes:
+        if _OTHER_SPACE.search(text):
+            return array("i", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(self.__getitem__, _CHUNK.findall(text)))
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder_of(tokenizer_file: str) -> Encoder:
+    """One encoder per worker process and file, so what it remembers serves all its tasks."""
+    if tokenizer_file not in _ENCODERS:
+        _ENCODERS[tokenizer_file] = Encoder(tokenizer_file)
+    return _ENCODERS[tokenizer_file]
+
+
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, list]]:
     """(doc_ids, texts) of a batch in pieces of about BATCH_BYTES of text."""
     ids, texts, size = [], [], 0
@@ -59,22 +122,16 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core already
-        tokenizer = Tokenizer.from_file(tokenizer_file)
-        tokenizer.encode_special_tokens = True
+        encoder, end = encoder_of(tokenizer_file), array("i", [end_id]).tobytes()
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
             for doc_ids, texts in _slices(batch):
-                rows = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-                sizes = np.array([len(r) + 1 for r in rows], dtype=np.int64)
+                rows = [encoder.encode(t) + end for t in texts]
+                sizes = np.array([len(r) // 4 for r in rows], dtype=np.int64)
                 ends = np.cumsum(sizes)
-                values = np.empty(ends[-1], dtype=np.int32)
-                for end, size, row in zip(ends, sizes, rows, strict=True):
-                    values[end - size : end - 1] = row
-                    values[end - 1] = end_id
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(values))
+                lists = pa.ListArray.from_arrays(
+                    pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(np.frombuffer(b"".join(rows), dtype="<i4")))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(doc_ids, pa.int64()), pa.array(np.full(len(rows), part, dtype=np.int32)), pa.array(before + ends - sizes),
                      pa.array(sizes.astype(np.int32)), lists],

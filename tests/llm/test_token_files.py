@@ -7,7 +7,12 @@ import pyarrow.orc as orc
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from signpost.llm.token_files import read_tokens, tokenized, write_tokens
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from signpost.llm.token_files import Encoder, read_tokens, tokenized, write_tokens
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -49,3 +54,25 @@ def test_special_strings_are_text_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a<|endoftext|>b")], "doc_id long, text string")
     assert tokenized(docs, FILE).first().n_tokens > 4
     assert tokenized(docs.limit(0), FILE).collect() == []
+
+
+ENCODER = Encoder(FILE)
+ODD = ["", " ", "\n", "a\n\nb", "a \n b", "\n\na", "it's they'll 'tis don't,'s", "é\u3000 x", "a\xa0 b", "x\x1c y", "naïve œuvre ßtraße", "word1 2word 3.5", "a  b   c    ", "\t\tx\r\ny",
+       "e\u0301a ", "日本語 text 日本", "😀😀 a😀b", "A-B/C|D <b>", " leading", "trailing ", "²x½", "aªº b", "\x85 a", "x\x0b\x0c y", "ﬁ ﬁn"]
+
+
+@pytest.mark.parametrize("text", ODD)
+def test_chunks_give_the_ids_of_the_whole_text(text):
+    assert np.frombuffer(ENCODER.encode(text), dtype="<i4").tolist() == ENCODER.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.text(alphabet="aB é'sl1,.\n\t \xa0\u3000-œ\u0301日😀\x1c", max_size=40))
+def test_chunks_give_the_ids_of_any_text(text):
+    assert np.frombuffer(ENCODER.encode(text), dtype="<i4").tolist() == ENCODER.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_forgetting_changes_nothing(monkeypatch):
+    monkeypatch.setattr(Encoder, "LIMIT", 3)
+    small, text = Encoder(FILE), "one two three four five one two three " * 20
+    assert small.encode(text) == ENCODER.encode(text) and len(small) <= 3
