@@ -28,7 +28,7 @@ CASE probe_key WHEN 'homepage' THEN '' WHEN 'robots_txt' THEN '<html><body>no</b
 """
 CRAWL_LOG = f"""
 SELECT domain, attempt, probe_key, http_status, error, final_url, requested_url, retry_after, ts, pos,
-       CASE probe_key WHEN 'homepage' THEN 'text/html' WHEN 'robots_txt' THEN 'text/plain' WHEN 'sitemap_xml' THEN 'text/xml' WHEN 'llms_txt' THEN 'text/plain' ELSE 'application/json' END AS content_type,
+       CASE probe_key WHEN 'homepage' THEN 'text/html' WHEN 'robots_txt' THEN 'text/plain' WHEN 'sitemap_xml' THEN 'text/plain' WHEN 'llms_txt' THEN 'text/plain' ELSE 'application/json' END AS content_type,
        CASE WHEN pos % 7 = 0 THEN '' WHEN pos % 3 = 0 THEN {BAD_BODY} ELSE {GOOD_BODY} END AS body
 FROM ({FETCH_LOG}) f
 """

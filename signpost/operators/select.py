@@ -63,10 +63,10 @@ def interesting(outcomes: DataFrame, by: list[str]) -> DataFrame:
     return keys.withColumn("is_interesting", F.size("interesting_keys") > 0)
 
 
-def positives(receipts: DataFrame, interesting_column: str = "is_interesting") -> DataFrame:
+def positives(receipts: DataFrame, interesting_column: str = "is_interesting", order: str = "pos") -> DataFrame:
     """Domains whose last receipt in append order has a signal, with that receipt."""
     kept = [c for c in receipts.columns if c != "domain"]
-    last = receipts.groupBy("domain").agg(F.max_by(F.struct(*kept), "pos").alias("last"))
+    last = receipts.groupBy("domain").agg(F.max_by(F.struct(*kept), order).alias("last"))
     return last.select("domain", "last.*").where(interesting_column)
 
 

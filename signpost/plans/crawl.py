@@ -95,7 +95,7 @@ def with_signal(receipts: DataFrame) -> DataFrame:
 
 def positives_of(receipts: DataFrame, order: str = "crawled_at") -> DataFrame:
     """The last receipt of every domain whose last receipt has a signal."""
-    return select.positives(with_signal(receipts), order)
+    return select.positives(with_signal(receipts), order=order)
 
 
 def evidence_of(receipts: DataFrame, fetches: DataFrame) -> DataFrame:
