@@ -93,7 +93,18 @@ def fetch_digest(spark, sf):
     return rows.select("page_id", "byte_count", "truncated", F.when(~F.col("truncated"), F.col("body_sha256")).alias("whole_sha256"))
 
 
-EXPECTED = ", ".join(f"'{k}'" for k in V.EXPECTED_PROBES)
+# fixed values, written out: what the SQL expects must not come from the code it checks
+_LIGHT = "'robots_txt', 'sitemap_xml', 'llms_txt', 'llms_full_txt'"
+_DISCOVERY = """'well_known_commerce', 'well_known_ucp', 'well_known_agent_json', 'well_known_agents_json', 'well_known_agent_card', 'root_agent_json',
+  'openapi_json', 'x402_well_known', 'x402_json'"""
+EXPECTED = f"{_LIGHT}, 'homepage', {_DISCOVERY}, 'products_json', 'cart_json', 'payment_probe'"
+EARLY = "Skipped after repeated HTTP 429 responses during early discovery probes"
+DISCOVERY = "Skipped after repeated HTTP 429 responses during discovery probes"
+NO_SURFACE = "Skipped after repeated HTTP 429 responses without any valid machine-readable surface"
+NO_HINT = "Skipped because homepage/UCP did not suggest a product catalog"
+NO_CATALOG = "Skipped because no valid public catalog was detected"
+NO_CANDIDATE = "Skipped because no payment probe candidate was discovered"
+TIME = "Skipped after per-domain wall-clock limit was reached before discovery probe fetches completed"
 
 
 # some receipts of the check answer 429 throughout, so every way of stopping occurs
@@ -104,8 +115,6 @@ SELECT pos, concat(domain, CASE WHEN user_id % 5 = 2 AND probe_key NOT IN ('home
 FROM (SELECT f.*, {STATUS_OF_FETCH} AS status, CAST(regexp_extract(domain, '[0-9]+', 0) AS INT) AS user_id FROM ({FETCH_LOG}) f) o
 """
 LAST_OUTCOME = f"SELECT domain, attempt, probe_key, arg_max(status, pos) AS status FROM ({LIMITED_LOG}) o GROUP BY domain, attempt, probe_key"
-_LIGHT = ", ".join(f"'{k}'" for k in V.LIGHT_PROBES)
-_DISCOVERY = ", ".join(f"'{k}'" for k in V.DISCOVERY_PROBES)
 
 
 @query(
@@ -116,9 +125,9 @@ _DISCOVERY = ", ".join(f"'{k}'" for k in V.DISCOVERY_PROBES)
              CASE WHEN attempt <= 1 THEN 3 ELSE 5 END AS t FROM o GROUP BY domain, attempt),
         s AS (SELECT *, CASE WHEN surfaces > 0 THEN NULL WHEN light >= t THEN 'early' WHEN discovered = 0 AND (home > 0 OR everything >= t) THEN 'home' WHEN everything >= t THEN 'discovery' END AS stop FROM n)
         SELECT domain, attempt, probe_key, status, '' AS reason FROM o
-        UNION ALL SELECT s.domain, s.attempt, k.probe_key, 'skipped', CASE WHEN stop = 'early' AND k.probe_key NOT IN ('products_json', 'cart_json', 'payment_probe') THEN '{outcomes.SKIPPED_EARLY}'
-             WHEN stop = 'home' THEN '{outcomes.SKIPPED_NO_SURFACE}' WHEN stop = 'discovery' THEN '{outcomes.SKIPPED_DISCOVERY}' WHEN k.probe_key = 'products_json' THEN '{outcomes.SKIPPED_NO_HINT}'
-             WHEN k.probe_key = 'cart_json' AND catalogs = 0 THEN '{outcomes.SKIPPED_NO_CATALOG}' WHEN k.probe_key = 'payment_probe' THEN '{outcomes.SKIPPED_NO_CANDIDATE}' ELSE '{outcomes.SKIPPED_TIME}' END
+        UNION ALL SELECT s.domain, s.attempt, k.probe_key, 'skipped', CASE WHEN stop = 'early' AND k.probe_key NOT IN ('products_json', 'cart_json', 'payment_probe') THEN '{EARLY}'
+             WHEN stop = 'home' THEN '{NO_SURFACE}' WHEN stop = 'discovery' THEN '{DISCOVERY}' WHEN k.probe_key = 'products_json' THEN '{NO_HINT}'
+             WHEN k.probe_key = 'cart_json' AND catalogs = 0 THEN '{NO_CATALOG}' WHEN k.probe_key = 'payment_probe' THEN '{NO_CANDIDATE}' ELSE '{TIME}' END
         FROM s, (SELECT unnest([{EXPECTED}]) AS probe_key) k WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.domain = s.domain AND o.attempt = s.attempt AND o.probe_key = k.probe_key)""",
 )
 def complete_outcomes(spark, sf):
@@ -290,7 +299,9 @@ def template_resolve(spark, sf):
     return rows.select("c_custkey", "resolved_url", "sample_title", "sample_amount")
 
 
-STOPWORDS = ", ".join(f"'{w}'" for w in V.QUERY_STOPWORDS)
+# fixed values, written out
+STOPWORDS = """'about', 'buy', 'collection', 'collections', 'free', 'gift', 'gifts', 'home', 'kids', 'life', 'luxury', 'mens', 'online', 'official', 'sale',
+  'shop', 'shopping', 'site', 'store', 'style', 'styles'"""
 
 
 @query(

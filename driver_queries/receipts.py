@@ -586,7 +586,9 @@ def outcome_rows(spark, sf):
     return run_sql(spark, sf, f"SELECT *, CAST({RETRY_SECONDS} AS INT) AS retry_after_seconds FROM ({OUTCOMES}) o")
 
 
-INTERESTING_LIST = ", ".join(f"'{k}'" for k in V.INTERESTING_PROBES)
+# fixed values, written out
+INTERESTING_LIST = """'llms_txt', 'llms_full_txt', 'well_known_commerce', 'well_known_ucp', 'well_known_agent_json', 'well_known_agents_json', 'well_known_agent_card',
+  'root_agent_json', 'openapi_json', 'api_openapi_json', 'payment_probe', 'x402_json', 'x402_well_known', 'remote_x402', 'products_json', 'api_products'"""
 
 
 @query(

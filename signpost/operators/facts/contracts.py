@@ -266,40 +266,37 @@ def _operations(entry: Column, pos: Column) -> Column:
     return let(item, lambda i: F.filter(F.array(*[one(i, n, verb) for n, verb in enumerate(V.OPENAPI_METHODS)]), lambda o: o.isNotNull()))
 
 
-def _readable(entries: Column) -> Column:
-    """Paths that can be read: (path, text of the read operation, whether it has one)."""
+def _readable(entries: Column, base: Column) -> Column:
+    """Paths that can be read: (path, resolved address, whether identifiers are likely listed there).
+
+    What a path is worth is settled here once, not again for every templated path that looks for listings.
+    """
 
     def read(e: Column) -> Column:
         op = D.members(D.get(e["value"], "get"), ["summary", "operationId", "description"])
-        return F.struct(
-            e["key"].alias("path"), op.isNotNull().alias("readable"),
-            F.lower(F.concat_ws(" ", e["key"], D.as_string(op["summary"]), D.as_string(op["operationId"]), D.as_string(op["description"]))).alias("words"),
+        words = F.lower(F.concat_ws(" ", e["key"], D.as_string(op["summary"]), D.as_string(op["operationId"]), D.as_string(op["description"])))
+        score = (
+            F.when(e["key"].startswith("/api/"), 5).otherwise(0)
+            + F.when(T.contains_any(words, V.DISCOVERY_NOUNS), 40).otherwise(0)
+            + F.when(T.contains_any(words, V.DISCOVERY_VERBS), 20).otherwise(0)
         )
+        likely = (F.size(U.template_parameters(e["key"])) == 0) & (score > 0)
+        return F.struct(e["key"].alias("path"), op.isNotNull().alias("readable"), U.resolve_api_path(base, e["key"]).alias("url"), likely.alias("likely"))
 
     return F.filter(F.transform(entries, read), lambda r: r["readable"])
 
 
-def _discovery_urls(path: Column, readable: Column, base: Column) -> Column:
+def _discovery_urls(path: Column, known: Column, likely: Column, base: Column) -> Column:
     """Where a templated path's identifiers may be listed: its collection, else likely listings."""
     stem = F.regexp_replace(F.split_part(path, F.lit("{"), F.lit(1)), "/+$", "")
-    collection = F.exists(readable, lambda r: r["path"] == stem)
-
-    def score(r: Column) -> Column:
-        return (
-            F.when(r["path"].startswith("/api/"), 5).otherwise(0)
-            + F.when(T.contains_any(r["words"], V.DISCOVERY_NOUNS), 40).otherwise(0)
-            + F.when(T.contains_any(r["words"], V.DISCOVERY_VERBS), 20).otherwise(0)
-        )
+    others = F.transform(F.filter(likely, lambda r: r["path"] != path), lambda r: r["url"])
+    chosen = F.when(F.array_contains(known, stem), F.array(U.resolve_api_path(base, stem))).otherwise(others)
+    return merge_ordered(empty_strings(), chosen, 6)
 
-    likely = F.filter(readable, lambda r: (r["path"] != path) & (F.size(U.template_parameters(r["path"])) == 0) & (score(r) > 0))
-    chosen = F.when(collection, F.array(stem)).otherwise(F.transform(likely, lambda r: r["path"]))
-    return merge_ordered(empty_strings(), F.transform(chosen, lambda p: U.resolve_api_path(base, p)), 6)
 
-
-def _price_url(path: Column, readable: Column, base: Column) -> Column:
+def _price_url(path: Column, known: Column, base: Column) -> Column:
     parent = F.regexp_replace(path, "/[^/]*$", "")
     paths = [F.concat(parent, F.lit(s)) for s in ("/price", "/pricing", "/quote")]
-    known = F.transform(readable, lambda r: r["path"])
     return U.resolve_api_path(base, F.coalesce(*[F.when(F.array_contains(known, p), p) for p in paths]))
 
 
@@ -329,10 +326,13 @@ def openapi_facts(fetches: DataFrame) -> DataFrame:
     opened = compute(
         counted,
         _ops=F.flatten(F.transform("_objects", lambda e, i: _operations(e, i))),
-        _readable=_readable(F.col("_objects")),
+        _readable=_readable(F.col("_objects"), F.col("_server")),
+    )
+    paid = compute(
+        opened, _paid=F.filter("_ops", lambda o: o["paid"]),
+        _known=F.transform("_readable", lambda r: r["path"]), _likely=F.filter("_readable", lambda r: r["likely"]),
     )
-    paid = compute(opened, _paid=F.filter("_ops", lambda o: o["paid"]))
-    base, readable = F.col("_server"), F.col("_readable")
+    base, known, likely = F.col("_server"), F.col("_known"), F.col("_likely")
 
     def made(o: Column) -> Column:
         names = U.template_parameters(o["path"])
@@ -340,7 +340,7 @@ def openapi_facts(fetches: DataFrame) -> DataFrame:
         return A.basics(
             method=o["verb"], url=U.resolve_api_path(base, o["path"]), path=o["path"], title=o["title"], description=o["description"], source="openapi",
             candidate=True, guess=True, media="application/json", templates=non_empty(names),
-            discovery=F.when(templated, non_empty(_discovery_urls(o["path"], readable, base))), price_url=F.when(templated, _price_url(o["path"], readable, base)),
+            discovery=F.when(templated, non_empty(_discovery_urls(o["path"], known, likely, base))), price_url=F.when(templated, _price_url(o["path"], known, base)),
         )
 
     stated = compute(paid, _stated=F.transform("_paid", made))

@@ -127,8 +127,8 @@ def observed_values(nodes: Column) -> Column:
     return F.array(*[by_rule(*r) for r in RULES], *[by_role(f, r) for f, r in ROLES.items()])
 
 
-# only documents with one of these names can yield anything
-TRIGGERS = ["payment", "capabilities", "endpoints", "supported_methods"]
+# only documents with a member of one of these names can yield anything; an escaped letter may hide one
+TRIGGER = r'"\s*(?:payment(?:s|_methods|_providers?|_handlers?)?|capabilities|endpoints|supported_methods)\s*"\s*:|\\u00'
 
 
 def with_observed(docs: DataFrame, text: str, when: Column | None = None) -> DataFrame:
@@ -136,8 +136,7 @@ def with_observed(docs: DataFrame, text: str, when: Column | None = None) -> Dat
 
     Texts that cannot match any rule never reach Python.
     """
-    low = F.lower(text)
-    wanted = low.contains(TRIGGERS[0]) | low.contains(TRIGGERS[1]) | low.contains(TRIGGERS[2]) | low.contains(TRIGGERS[3])
+    wanted = F.lower(text).rlike(TRIGGER)
     if when is not None:
         wanted = wanted & F.coalesce(when, F.lit(False))
     nodes = docs.withColumn("_nodes", json_nodes(F.when(wanted, F.col(text))))
