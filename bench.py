@@ -14,7 +14,7 @@ from signpost.session import local_session  # noqa: E402
 
 HEADLINE = [
     "scores", "canonical", "list_position", "pages", "export_totals", "rerun_counts", "run_counters", "rate_limit_summary",
-    "status_ladder", "complete_outcomes", "soft404", "homepage_facts", "llms_facts", "payment_hints", "preview",
+    "crawl_outcomes", "complete_outcomes", "soft404", "homepage_facts", "llms_facts", "payment_hints", "preview",
     "price_normalize", "product_facts", "openapi_facts", "x402_facts", "label", "candidate_rank", "ordered_merge",
 ]
 
