@@ -40,7 +40,7 @@ _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 _CHUNK = re.compile(rf"\n(?=[{_LETTER}])|[ \n\r\t]*(?:[{_LETTER}]+(?![^\x00-\x7f]|[A-Za-z])|[^ \n\r\t]+)|[ \n\r\t]+")
 _WORD = re.compile(rf" ?[{_LETTER}]+")
 # white space that the rules above do not know: such texts are encoded as a whole
-_OTHER_SPACE = re.compile(r"[^\S \n\r\t]")
+_OTHER_SPACES = [c for c in map(chr, range(0x110000)) if c.isspace() and c not in " \n\r\t"]
 
 
 def _alphabet() -> dict[int, str]:
@@ -81,7 +81,7 @@ class Encoder(dict):
         return value
 
     def encode(self, text: str) -> bytes:
-        if _OTHER_SPACE.search(text):
+        if any(map(text.__contains__, _OTHER_SPACES)):
             return array("i", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         return b"".join(map(self.__getitem__, _CHUNK.findall(text)))
 
