@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from signpost import values as V
 from signpost.operators import publish, rerun
-from signpost.session import cut
+from signpost.session import cut, stored
 from signpost.sources import evidence as EV
 from signpost.sources.domain_list import read_domain_list
 from signpost.sources.receipts import read_receipts
@@ -35,7 +35,7 @@ def export_public(spark: SparkSession, receipts_path: str, positives: DataFrame,
     listed = publish.page_document(publish.list_pages(publish.list_entries(public), page_size), "pages", f"{V.PUBLIC_PREFIX}/pages", "results")
     maps = publish.page_document(publish.sitemap_pages(public), "sitemaps", V.SITEMAP_PREFIX, "domains")
     winners = receipts.select("pos", "aggregates", "probes").join(public.drop("list_position"), "pos")
-    details = publish.site_detail(winners)
+    details = stored(publish.site_detail(winners), "details")  # read for the documents and for the proofs
     detail_docs = details.select(F.lit("receipts").alias("kind"), F.col("receipt_r2_key").alias("key"), compact_json(F.col("detail")).alias("payload"))
     proof_docs = publish.proofs(details).select(F.lit("proofs").alias("kind"), "key", "payload")
     raw = receipts.where(F.trim("domain") != "")
