@@ -21,7 +21,7 @@ from signpost.session import cut, ship_package
 
 SAMPLE = 4000  # labelled documents looked at per language, in expectation
 WORDS = 8000  # per dictionary
-LEVEL = 6
+LEVEL = 9
 MIN_DOCS = 3
 LEAN = 2.0  # times more frequent than in the other languages
 NARROW = 0.01
