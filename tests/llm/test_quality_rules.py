@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -51,7 +52,8 @@ def test_verdicts_do_not_depend_on_partitioning(spark):
 def test_planted_outliers_go_and_contamination_does_not_hide_them(spark):
     # a fifth of one source is symbol soup; enough to move a plain mean and covariance
     def text(i, junk):
-        words = [f"w{chr(97 + (i * 7 + k) % 26)}{chr(97 + (i + k * k) % 26)}{chr(97 + k % 26)}{chr(97 + (i + 3 * k) % 26)}" for k in range(60 + i % 50)]
+        draw = random.Random(i)
+        words = ["".join(draw.choice("abcdefghij") for _ in range(4)) for _ in range(60 + i % 50)]
         return " ".join(w + "$#" for w in words) if junk else " ".join(words)
 
     rows = [(i, text(i, i % 5 == 0), "en", "s") for i in range(600)]
