@@ -32,19 +32,25 @@ _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _BIT_OF_BYTE = np.unpackbits(np.arange(256, dtype=np.uint8)).reshape(256, 8).astype(np.int64)
 
 
-def fingerprint(text: bytes | None, width: int) -> int:
-    """Majority bit of the XXH64 of all word shingles; 0 without words. Whole text, repeats counted."""
+def shingle_hashes(text: bytes | None, width: int) -> bytes:
+    """The XXH64 digests of all word shingles one after the other; nothing without words. Whole text, repeats counted."""
     joined = b" ".join((text or b"").translate(_LOWER).split())
     if not joined:
-        return 0
+        return b""
     spaces = np.flatnonzero(np.frombuffer(joined, dtype=np.uint8) == 32)
     digest = xxhash.xxh64_digest
     if len(spaces) < width:
-        hashes = digest(joined, SEED)
-    else:
-        starts = [0, *(spaces[: len(spaces) - width + 1] + 1).tolist()]
-        ends = [*spaces[width - 1 :].tolist(), len(joined)]
-        hashes = b"".join([digest(joined[a:b], SEED) for a, b in zip(starts, ends, strict=True)])
+        return digest(joined, SEED)
+    starts = [0, *(spaces[: len(spaces) - width + 1] + 1).tolist()]
+    ends = [*spaces[width - 1 :].tolist(), len(joined)]
+    return b"".join([digest(joined[a:b], SEED) for a, b in zip(starts, ends, strict=True)])
+
+
+def fingerprint(text: bytes | None, width: int) -> int:
+    """Majority bit of the XXH64 of all word shingles; 0 without words. Whole text, repeats counted."""
+    hashes = shingle_hashes(text, width)
+    if not hashes:
+        return 0
     table = np.frombuffer(hashes, dtype=np.uint8).reshape(-1, 8)
     ones = np.concatenate([np.bincount(table[:, i], minlength=256) @ _BIT_OF_BYTE for i in range(8)])
     return int.from_bytes(np.packbits(2 * ones > len(table)).tobytes(), "big", signed=True)
@@ -141,9 +147,15 @@ def one_of_each(docs: DataFrame, width: int = 4, bits: int = BITS, list_limit: i
     Rows without a doc_id that meet no row with one are a group for each fingerprint. Where the rows to
     go are at most `sent`, their keys go to every task; beyond that they are joined.
     """
-    found = cut(classes(docs, width, bits, list_limit).groupBy("doc_id", "text_hash", "fp", "component_id").agg(F.count(F.lit(1)).alias("n")))
+    rows = classes(docs, width, bits, list_limit)
+    lone = F.when(F.col("component_id").isNull(), F.col("fp")).alias("lone")
+    return heads_only(docs, rows.select("doc_id", "text_hash", "component_id", lone), ["component_id", "lone"], sent)
+
+
+def heads_only(docs: DataFrame, rows: DataFrame, group: list[str], sent: int) -> DataFrame:
+    """The rows of `docs` that are the head of their group; `rows` has (doc_id, text_hash, *group) for each of them."""
+    found = cut(rows.groupBy("doc_id", "text_hash", *group).agg(F.count(F.lit(1)).alias("n")))
     key = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
-    group = [F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fp")).alias("lone")]
     heads = found.groupBy(*group).agg(F.min(key).alias("head")).select(F.col("head.doc_id").alias("_id"), F.col("head.text_hash").alias("_hash"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
     # heads that come once need no mark
