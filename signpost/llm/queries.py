@@ -161,7 +161,7 @@ def op1_url_filters(spark: SparkSession, sf: str) -> DataFrame:
 def op4_token_files(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
 
-    return tokenized(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return tokenized(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), special=True)
 
 
 @query("op8_html_extraction")

@@ -54,17 +54,21 @@ class Encoder(dict):
     """chunk -> its ids as little-endian 32-bit integers, remembered up to a bound.
 
     Texts repeat their words: a chunk is given to the tokenizer once, not once per place. Chunks are cut
-    only where the tokenizer itself cuts, so the ids are those of the whole text.
+    only where the tokenizer itself cuts, so the ids are those of the whole text. With `special`, a text that
+    spells a special token gets that token's id there, as the library does by default; without, it is ordinary text.
     """
 
     LIMIT = 700_000
 
-    def __init__(self, tokenizer_file: str) -> None:
+    def __init__(self, tokenizer_file: str, special: bool = False) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        # texts with one of these are encoded as a whole
+        self.whole = [*_OTHER_SPACES, *(t.content for t in added if special or not t.special)]
         self.model = self.tokenizer.model
         self.alphabet = _alphabet()
 
@@ -81,19 +85,20 @@ class Encoder(dict):
         return value
 
     def encode(self, text: str) -> bytes:
-        if any(map(text.__contains__, _OTHER_SPACES)):
+        if any(map(text.__contains__, self.whole)):
             return array("i", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         return b"".join(map(self.__getitem__, _CHUNK.findall(text)))
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder_of(tokenizer_file: str) -> Encoder:
-    """One encoder per worker process and file, so what it remembers serves all its tasks."""
-    if tokenizer_file not in _ENCODERS:
-        _ENCODERS[tokenizer_file] = Encoder(tokenizer_file)
-    return _ENCODERS[tokenizer_file]
+def encoder_of(tokenizer_file: str, special: bool = False) -> Encoder:
+    """One encoder per worker process, file and option, so what it remembers serves all its tasks."""
+    key = (tokenizer_file, special)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(tokenizer_file, special)
+    return _ENCODERS[key]
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, list]]:
@@ -111,11 +116,12 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, list]]:
         yield ids, texts
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = END_ID) -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = END_ID, special: bool = False) -> None:
     """Write the ids of every text of `docs` (doc_id, text), `end_id` after each, as ORC files under `path`.
 
     Files follow each other in ascending doc_id order (null ids first, repeated ids by text) and rows
-    inside them too. Null texts are empty ones; texts that spell a special token are ordinary text.
+    inside them too. Null texts are empty ones; what spells a special token is
+    ordinary text, or with `special` that token.
     `tokenizer_file` must have the same path on every machine.
     """
     ship_package(docs.sparkSession)
@@ -123,7 +129,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, end = encoder_of(tokenizer_file), array("i", [end_id]).tobytes()
+        encoder, end = encoder_of(tokenizer_file, special), array("i", [end_id]).tobytes()
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
             for doc_ids, texts in _slices(batch):
@@ -172,9 +178,9 @@ def checksums(spark: SparkSession, path: str) -> DataFrame:
     return _with_start(rows.mapInArrow(summed, "doc_id long, part int, local_start long, n_tokens long, ids_crc32 long"), path)
 
 
-def tokenized(docs: DataFrame, tokenizer_file: str, path: str | None = None) -> DataFrame:
+def tokenized(docs: DataFrame, tokenizer_file: str, path: str | None = None, special: bool = False) -> DataFrame:
     """Write `docs` as token files under `path` (a new folder of the shared one by default) and sum them up from there."""
     spark = docs.sparkSession
     path = path or scratch_path(spark, "tokens")
-    write_tokens(docs, path, tokenizer_file)
+    write_tokens(docs, path, tokenizer_file, special=special)
     return checksums(spark, path)

@@ -12,6 +12,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from signpost.llm.queries import QUERIES
 from signpost.llm.token_files import Encoder, read_tokens, tokenized, write_tokens
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -76,3 +77,17 @@ def test_forgetting_changes_nothing(monkeypatch):
     monkeypatch.setattr(Encoder, "LIMIT", 3)
     small, text = Encoder(FILE), "one two three four five one two three " * 20
     assert small.encode(text) == ENCODER.encode(text) and len(small) <= 3
+
+
+@pytest.mark.parametrize("text", ["a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|>  y<|endoftext", "<|endoftext|><|endoftext|>\n\u3000é"])
+def test_the_special_option_encodes_as_the_library_does(text):
+    plain = Tokenizer.from_file(FILE).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(Encoder(FILE, special=True).encode(text), dtype="<i4").tolist() == plain
+    assert np.frombuffer(ENCODER.encode(text), dtype="<i4").tolist() != plain
+
+
+def test_query_encodes_as_the_library_does(spark, tmp_path):
+    rows = [(1, "a<|endoftext|>b"), (2, "after it")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op4_token_files"](spark, str(tmp_path)).select("doc_id", "start", "n_tokens", "ids_crc32").collect()
+    assert sorted(tuple(r) for r in got) == brute(rows)
