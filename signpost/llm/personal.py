@@ -2,7 +2,9 @@
 
 The four base kinds (email, ip, card, phone) are kept whenever their own rule holds. Further kinds are
 added where their score reaches THRESHOLD: a kind's first score, plus CONTEXT if one of its words stands
-nearby, minus DOUBT if a word stands there that speaks against it, and only if its checksum holds.
+nearby, minus DOUBT if a word stands there that speaks against it, and only if its checksum holds. They
+may overlap base spans, as an account number's digits may pass for a card's; only a local phone number
+that touches a whole one is that number.
 Scanning is linear in the text, also for long runs of digits or of address characters.
 """
 
@@ -54,21 +56,57 @@ def issued(number: str) -> bool:
     return area not in ("000", "666") and area < "900" and group != "00" and serial != "0000"
 
 
+# fixed values: characters of an account number by country; others are tried from long to short
+_SIZES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+IBAN_SIZE = {code: size for size, codes in _SIZES.items() for code in codes.split()}
+_IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?= ?[A-Z0-9])")
+_IBAN_RUN = re.compile(r"[A-Z0-9](?: ?[A-Z0-9]){14,33}")
+_IBAN_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+
+
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Account numbers whose check digits hold: of their country's size, whatever capitals or digits follow after a space."""
+    last = 0
+    for m in _IBAN_START.finditer(text):
+        start = m.start()
+        run = _IBAN_RUN.match(text, start) if start >= last else None
+        if not run:
+            continue
+        ends = [i + 1 for i in range(start, run.end()) if text[i] != " "]
+        size = IBAN_SIZE.get(text[start : start + 2])
+        for n in [size] if size else range(len(ends), 14, -1):
+            if n <= len(ends) and not _goes_on(text, ends[n - 1]) and mod97(text[start : ends[n - 1]]):
+                last = ends[n - 1]
+                yield start, last
+                break
+
+
+def _goes_on(text: str, end: int) -> bool:
+    return text[end : end + 1].isascii() and text[end : end + 1].isalnum()
+
+
+def _matches(pattern: str, valid: Callable[[str], bool] = lambda _: True) -> Callable[[str], Iterator[tuple[int, int]]]:
+    compiled = re.compile(pattern)
+    return lambda text: (m.span() for m in compiled.finditer(text) if valid(m[0]))
+
+
 @dataclass(frozen=True)
 class Kind:
     name: str
-    pattern: re.Pattern
-    valid: Callable[[str], bool]
+    spans: Callable[[str], Iterator[tuple[int, int]]]
     score: float
     near: frozenset[str]
+    part_of: str | None = None  # the base kind whose spans it must not touch
 
 
 ADDED = (
-    Kind("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])"), mod97, 0.7,
-         frozenset({"iban", "account", "konto", "compte", "cuenta", "bank", "banque", "banco"})),
-    Kind("ssn", re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"), issued, 0.4, frozenset({"ssn", "social", "security"})),
-    Kind("local_phone", re.compile(r"(?<![0-9+)(-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9-])"), lambda _: True, 0.4,
-         frozenset({"phone", "tel", "telephone", "call", "mobile", "cell", "fax", "telefon", "handy"})),
+    Kind("iban", _ibans, 0.7, frozenset({"iban", "account", "konto", "compte", "cuenta", "bank", "banque", "banco"})),
+    Kind("ssn", _matches(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", issued), 0.4, frozenset({"ssn", "social", "security"})),
+    Kind("local_phone", _matches(r"(?<![0-9+)(-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9-])"), 0.4,
+         frozenset({"phone", "tel", "telephone", "call", "mobile", "cell", "fax", "telefon", "handy"}), "phone"),
 )
 BASE = ("email", "ip", "card", "phone")
 ORDER = {kind: i for i, kind in enumerate((*BASE, *(k.name for k in ADDED)))}
@@ -129,20 +167,19 @@ def _merged(spans: Iterable[tuple[int, int]]) -> tuple[list[int], list[int]]:
 
 
 def spans_of(text: str | None) -> list[tuple[str, int, int, float]]:
-    """(kind, start, end, score) in code points, end exclusive, by start and kind; added spans never touch base ones."""
+    """(kind, start, end, score) in code points, end exclusive, by start and kind; added spans may overlap base ones."""
     if not text:
         return []
     base = base_spans(text)
     spans = [(*s, 1.0) for s in base]
     if _DIGIT.search(text):
-        starts, ends = _merged(s[1:] for s in base)
         for kind in ADDED:
-            for m in kind.pattern.finditer(text):
-                start, end = m.span()
+            starts, ends = _merged(s[1:] for s in base if s[0] == kind.part_of)
+            for start, end in kind.spans(text):
                 # of the base stretches that begin before the end, the last one reaches furthest
                 before = bisect_left(starts, end)
                 free = not before or ends[before - 1] <= start
-                if free and kind.valid(m[0]) and (score := _score(kind, text, start, end)) >= THRESHOLD:
+                if free and (score := _score(kind, text, start, end)) >= THRESHOLD:
                     spans.append((kind.name, start, end, round(score, 3)))
     return sorted(spans, key=lambda s: (s[1], ORDER[s[0]], s[2]))
 

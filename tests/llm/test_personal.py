@@ -63,6 +63,27 @@ def test_added_kinds_need_checksum_or_context():
     assert kinds("call 555-123-4567") == ["local_phone"] and kinds("order 555-123-4567") == [] and kinds("call +1 555-123-4567") == ["phone"]
 
 
+@pytest.mark.parametrize(("text", "want"), [
+    ("IBAN DE89 3704 0044 0532 0130 00 BIC: COBADEFF", "DE89 3704 0044 0532 0130 00"), ("GB82 WEST 1234 5698 7654 32 USD 500", "GB82 WEST 1234 5698 7654 32"),
+    ("DE89370400440532013000 EUR 20", "DE89370400440532013000"), ("DE89 3704 0044 0532 0130 00 12 000", "DE89 3704 0044 0532 0130 00"),
+    ("AB12 3456 7890 DE89 3704 0044 0532 0130 00", "DE89 3704 0044 0532 0130 00"), ("ZZ59 ABCD 1234 5678 9012 X", None), ("DE89370400440532013000X", None),
+    ("DE89 3704 0044 0532 0130 0", None)])
+def test_account_numbers_end_where_their_country_says(text, want):
+    assert [text[a:b] for k, a, b, _ in spans_of(text) if k == "iban"] == ([want] if want else [])
+
+
+def test_account_number_of_a_country_without_a_size():
+    number = next(f"ZZ{i:02} ABCD 1234 5678 9012" for i in range(2, 99) if mod97(f"ZZ{i:02} ABCD 1234 5678 9012"))
+    assert [number for k, *_ in spans_of(f"to {number} EUR") if k == "iban"] == [number]
+
+
+def test_added_spans_may_overlap_base_ones():
+    numbers = (f"GB{c:02} WEST {a:04} 5698 7654 {b:02}" for c in range(2, 99) for a in range(1200, 1210) for b in range(100))
+    number = next(n for n in numbers if mod97(n) and luhn(n[10:].replace(" ", "")))
+    assert [(k, number[a:b]) for k, a, b, _ in spans_of(number)] == [("iban", number), ("card", number[10:])]
+    assert spans_of("7A" * 100_000 + " DE89" * 50_000) == []
+
+
 def test_query_equals_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
