@@ -3,10 +3,14 @@
 Every document that passes the base rules becomes a vector of transformed text statistics. For each
 (language, source), each language and the whole corpus the minimum-covariance-determinant estimate is
 found by concentration steps over all its rows: start from coordinate medians and median deviations,
-keep the share `CORE` of rows with the smallest Mahalanobis distance, re-estimate, repeat. A document
+keep the share `CORE` of rows with the smallest Mahalanobis distance, re-estimate, and repeat until the
+determinant stops falling. Distances are scaled so that their median is that of chi-square. A document
 is judged by the finest of its three groups that has `MIN_ROWS` rows, and rejected if its squared
 distance exceeds the chi-square quantile of `TAIL`.
 
+A coordinate in which more than half of a group's rows are equal has no spread to estimate; there the
+floor of VECTOR is added to its variance. All others get the variance of rounding only.
+
 Coordinates are whole numbers (units of 1/SCALE) and distances are compared in logarithmic bins, so
 medians, order statistics and sums are exact and do not depend on partitioning. Everything a group
 adds up is reduced map-side; matrices are inverted where the group's row lies.
@@ -16,6 +20,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from statistics import NormalDist
 
 import numpy as np
@@ -31,12 +36,13 @@ REPEAT_WINDOW = 5
 
 SCALE = 256
 CORE = 0.75
-STEPS = 3
+FALL = 1e-3  # a smaller fall of the determinant's logarithm ends the steps
 MIN_ROWS = 200
 TAIL = 1e-4
 BINS = 64
+ROUNDING = 1 / (12 * SCALE**2)  # variance of rounding to a coordinate's unit
 GROUPS_SENT = 100_000  # rows of about 300 bytes
-# transformed statistics and the spread below which differences between clean texts mean nothing
+# transformed statistics and the spread taken where most texts of a group are equal
 VECTOR = {"long": 1.5, "wide": 0.08, "marked": 0.5, "doubled": 0.9, "echoed": 0.9, "capital": 0.6}
 NAMES = list(VECTOR)
 _PAIRS = [(i, j) for i in range(len(NAMES)) for j in range(i, len(NAMES))]
@@ -86,7 +92,7 @@ def _vector() -> list[Column]:
         "marked": percent(F.col("n_symbols"), words),
         "doubled": percent(F.col("n_dup_lines"), F.col("n_lines")),
         "echoed": percent(F.col("n_repeat_words"), words),
-        "capital": percent(F.col("n_capitals"), words),
+        "capital": F.log((F.col("n_capitals") + 2.5) / (words + 30)),
     }
     return [F.round(values[n] * SCALE).cast("long").alias(n) for n in NAMES]
 
@@ -116,52 +122,61 @@ def _bin(distance: Column) -> Column:
 
 
 def _inverted(groups: DataFrame) -> DataFrame:
-    """(grp, centre, inverse) from (grp, n, sums, products) over whole-number coordinates."""
-    floors = np.diag([f * f for f in VECTOR.values()])
+    """(grp, centre, inverse, floors, det, falling) from (grp, n, sums, products, floors, before) over whole-number coordinates."""
 
     def invert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            centres, inverses = [], []
-            for n, sums, products in zip(batch["n"], batch["sums"], batch["products"], strict=True):
+            centres, inverses, dets = [], [], []
+            for n, sums, products, floors in zip(batch["n"], batch["sums"], batch["products"], batch["floors"], strict=True):
                 centre = np.array(sums, dtype=float) / n / SCALE
                 spread = np.zeros((len(NAMES), len(NAMES)))
                 for (i, j), value in zip(_PAIRS, products, strict=True):
                     spread[i, j] = spread[j, i] = value / n / SCALE**2 - centre[i] * centre[j]
-                inverse = np.linalg.inv(spread + floors)
+                spread += np.diag(floors)
+                inverse = np.linalg.inv(spread)
+                dets.append(float(np.linalg.slogdet(spread)[1]))
                 centres.append(centre.tolist())
                 inverses.append([float(inverse[i, j]) for i, j in _PAIRS])
-            yield pd.DataFrame({"grp": batch["grp"], "centre": centres, "inverse": inverses})
+            falling = np.array(dets) < batch["before"].to_numpy() - FALL
+            yield pd.DataFrame({"grp": batch["grp"], "centre": centres, "inverse": inverses, "floors": batch["floors"], "det": dets, "falling": falling})
 
-    return groups.mapInPandas(invert, "grp string, centre array<double>, inverse array<double>")
+    return groups.mapInPandas(invert, "grp string, centre array<double>, inverse array<double>, floors array<double>, det double, falling boolean")
 
 
 def _start(rows: DataFrame, send) -> DataFrame:
-    """(grp, centre, inverse): coordinate medians and median absolute deviations."""
+    """(grp, centre, inverse, floors, det): coordinate medians and median absolute deviations; no determinant yet."""
     middle = rows.groupBy("grp").agg(*[F.percentile(n, 0.5).alias(f"m_{n}") for n in NAMES])
     away = rows.join(send(middle), "grp").groupBy("grp").agg(
         *[F.first(f"m_{n}").alias(f"m_{n}") for n in NAMES], *[F.percentile(F.abs(F.col(n) - F.col(f"m_{n}")), 0.5).alias(f"d_{n}") for n in NAMES])
-    spread = [
-        1 / (F.pow(1.4826 * F.col(f"d_{NAMES[i]}") / SCALE, F.lit(2)) + VECTOR[NAMES[i]] ** 2) if i == j else F.lit(0.0) for i, j in _PAIRS]
-    return away.select("grp", F.array(*[F.col(f"m_{n}") / SCALE for n in NAMES]).alias("centre"), F.array(*spread).alias("inverse"))
+    floors = [F.when(F.col(f"d_{n}") > 0, F.lit(ROUNDING)).otherwise(F.lit(f * f)) for n, f in VECTOR.items()]
+    spread = [1 / (F.pow(1.4826 * F.col(f"d_{NAMES[i]}") / SCALE, F.lit(2)) + floors[i]) if i == j else F.lit(0.0) for i, j in _PAIRS]
+    return away.select(
+        "grp", F.array(*[F.col(f"m_{n}") / SCALE for n in NAMES]).alias("centre"), F.array(*spread).alias("inverse"), F.array(*floors).alias("floors"),
+        F.lit(float("inf")).alias("det"))
 
 
-def robust_estimates(rows: DataFrame, send=lambda groups: groups, core: float = CORE, steps: int = STEPS) -> DataFrame:
+def robust_estimates(rows: DataFrame, send=lambda groups: groups, core: float = CORE) -> DataFrame:
     """(grp, centre, inverse, stretch) of every `grp` in `rows` (grp and the coordinates of VECTOR).
 
     `send` marks tables of one row per group that are known to be small enough to go to every task.
     """
-    estimate = cut(_start(rows, send))
-    for _ in range(steps):
-        away = rows.join(send(estimate), "grp").select("grp", *NAMES, _bin(_distance()).alias("bin"))
+    open_, settled = cut(_start(rows, send)), []
+    while not settled or not open_.isEmpty():
+        away = rows.join(send(open_.select("grp", "centre", "inverse")), "grp").select("grp", *NAMES, _bin(_distance()).alias("bin"))
         limit = away.groupBy("grp").agg(F.percentile("bin", core).alias("limit"))
         kept = away.join(send(limit), "grp").filter("bin <= limit")
         sums = kept.groupBy("grp").agg(
             F.count(F.lit(1)).alias("n"), F.array(*[F.sum(n) for n in NAMES]).alias("sums"),
             F.array(*[F.sum(F.col(NAMES[i]) * F.col(NAMES[j])) for i, j in _PAIRS]).alias("products"))
-        estimate = cut(_inverted(sums))
-    # the core is narrower than the whole: stretch distances so that their median is that of chi-square
+        step = cut(_inverted(sums.join(send(open_.select("grp", "floors", F.col("det").alias("before"))), "grp")))
+        settled.append(step.filter("NOT falling"))
+        open_ = step.filter("falling")
+    estimate = cut(reduce(DataFrame.union, settled).select("grp", "centre", "inverse", "floors"))
+    # the core is narrower than the whole: scale distances so that their median is that of chi-square over the coordinates that have a spread
     away = rows.join(send(estimate), "grp").groupBy("grp").agg(F.percentile(_bin(_distance()), 0.5).alias("half"))
-    stretch = F.greatest(F.pow(F.lit(2.0), F.col("half") / BINS) / chi_square(0.5, len(NAMES)), F.lit(1.0))
+    halves = F.array(F.lit(None).cast("double"), *[F.lit(chi_square(0.5, k)) for k in range(1, len(NAMES) + 1)])
+    half = halves[F.size(F.filter("floors", lambda f: f == ROUNDING))]
+    stretch = F.coalesce(F.pow(F.lit(2.0), F.col("half") / BINS) / half, F.lit(1.0))
     return cut(estimate.join(away, "grp").select("grp", "centre", "inverse", stretch.alias("stretch")))
 
 

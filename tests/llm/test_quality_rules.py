@@ -61,6 +61,16 @@ def test_planted_outliers_go_and_contamination_does_not_hide_them(spark):
     assert all(got[i] != (i % 5 == 0) for i in range(600))
 
 
+def test_a_text_ten_deviations_off_its_group_goes(spark):
+    def text(i, sizes):
+        draw = random.Random(i)
+        return " ".join("".join(draw.choice("abcdefghij") for _ in range(draw.choice(sizes))) for _ in range(80 + i % 60))
+
+    rows = [(i, text(i, (3, 4, 5, 6, 7) if i else (7,)), "en", "s") for i in range(400)]
+    kept = {r.doc_id: r.kept for r in judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert not kept[0] and sum(kept.values()) >= 397
+
+
 def test_odd_rows(spark):
     words = " ".join(f"word{chr(97 + i)}" for i in range(20))
     rows = [(1, None, "en", "s"), (2, "", None, None), (None, words, None, "s"), (3, words, "en", None), (3, words, "en", None), (4, "long text " * 50_000, "en", "s")]
