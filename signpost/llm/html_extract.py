@@ -175,11 +175,36 @@ def _articles(node: Element, level: int) -> list[Element]:
     return found
 
 
+def _size(node: Element) -> int:
+    """Characters of the text in a node that no rule drops, white space aside."""
+    size, open_ = 0, [node]
+    while open_:
+        for part in open_.pop().parts:
+            if isinstance(part, str):
+                size += len("".join(part.split()))
+            elif not _dropped(part, True):
+                open_.append(part)
+    return size
+
+
+def _starts(node: Element) -> list[Element]:
+    """Main elements and the articles outside them; in place of a main element its articles, if they hold half of its text."""
+    found = []
+    for part in node.parts:
+        if isinstance(part, Element) and part.holds and not (part.tag in _DROPPED and part.tag not in ("form", "aside", "dialog")):
+            inner = _articles(part, 2) if part.main == 1 else []
+            if inner and 2 * sum(map(_size, inner)) >= _size(part):
+                found += inner
+            else:
+                found += [part] if part.main else _starts(part)
+    return found
+
+
 def page_blocks(page: str | None) -> tuple[list[str], list[tuple[int, int, int]]]:
     """(blocks, subtrees): the text blocks of the article in page order, and (first, last, hash) of the subtrees over them."""
     root = parse(page or "")
     level = root.holds
-    starts = _articles(root, level) if level else [root]
+    starts = _starts(root) if level else [root]
     blocks: list[str] = []
     subtrees: dict[tuple[int, int], int] = {}
     pending: list[str] = []

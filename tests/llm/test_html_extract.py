@@ -29,6 +29,15 @@ def test_pages(page, want):
     assert text(page) == want
 
 
+@pytest.mark.parametrize(("page", "want"), [
+    ("<main><h1>Title</h1><p>body</p><section class=cards><article>teaser</article></section></main>", "Title body teaser"),
+    ("<main><p>Crumb</p><article><p>most of the text</p></article></main>", "most of the text"),
+    ("<main><p>body</p></main><div><article>teaser</article></div>", "body teaser"),
+])
+def test_articles_stand_for_a_main_element_only_if_they_hold_half_of_it(page, want):
+    assert text(page) == want
+
+
 def test_deep_and_long_pages():
     assert text("<div>" * 20_000 + "deep" + "</div>" * 20_000) == "deep"
     assert text("<p>word " * 50_000) == "word " * 49_999 + "word"
