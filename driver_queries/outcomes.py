@@ -528,7 +528,7 @@ def best_outcome(spark, sf):
         CASE WHEN a_homepage IS NOT NULL THEN concat('T', a_homepage) END AS title, label, nullif(priced, 0)::BIGINT AS priced_action_count FROM ({CLASSIFIED}) z""",
 )
 def aggregates(spark, sf):
-    r = classify.receipts_of(rows(spark, sf), ["domain"])
+    r = classify.as_document(classify.receipts_of(rows(spark, sf), ["domain"]))
     a = lambda path, t: F.try_variant_get("aggregates", f"$.{path}", t)
     return r.select(
         "domain", a("sample_products[0].product_url", "string").alias("product_url"), a("sample_products[0].currency", "string").alias("product_currency"), a("product_count", "bigint").alias("product_count"),
