@@ -7,6 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
+from signpost.llm.conversations import damaged, digest as conversation_digest
 from signpost.llm.decontaminate import contamination
 from signpost.llm.html_extract import main_text
 from signpost.llm.language import identify
@@ -179,6 +180,11 @@ def op6_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return rate(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@query("op13_conversation_repair")
+def op13_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return conversation_digest(damaged(table(spark, sf, "conversations")))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf)
