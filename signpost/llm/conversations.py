@@ -196,11 +196,12 @@ def _ordered(rows: DataFrame) -> DataFrame:
     copies = F.col("copies").cast("long") if "copies" in rows.columns else F.lit(1).cast("long")
     word = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
     read = rows.select("conv_id", F.col("turn").cast("long").alias("turn"), word("role").alias("role"), word("text").alias("text"), copies.alias("copies"))
-    read = read.groupBy("conv_id", "turn", "role", "text").agg(F.sum("copies").alias("copies"))
-    read = read.withColumns({"blank": ~F.col("text").rlike(r"[^\x20\x09-\x0D]"), "text_hash": F.md5(F.col("text").cast("binary"))})
+    text_hash = F.md5(F.col("text").cast("binary")).alias("text_hash")
     place = F.struct(F.col("turn").isNotNull().alias("dated"), "turn")
-    first = read.filter("NOT blank AND copies > 0").groupBy("conv_id", "role", "text_hash").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("n"))
-    first = first.filter("n > 1").select(F.col("conv_id").alias("_conv"), F.col("role").alias("_role"), F.col("text_hash").alias("_hash"), "place")
+    first = read.filter("copies > 0").groupBy("conv_id", "role", text_hash).agg(F.min(place).alias("place"), F.max(place).alias("last"))
+    first = first.filter("NOT place <=> last").select(F.col("conv_id").alias("_conv"), F.col("role").alias("_role"), F.col("text_hash").alias("_hash"), "place")
+    read = read.groupBy("conv_id", "turn", "role", "text").agg(F.sum("copies").alias("copies"))
+    read = read.withColumn("blank", ~F.col("text").rlike(r"[^\x20\x09-\x0D]")).select("*", text_hash)
     same = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("role") == F.col("_role")) & (F.col("text_hash") == F.col("_hash"))
     again = F.col("place").isNotNull() & ~F.col("place.turn").eqNullSafe(F.col("turn")) & ~F.col("blank")
     marked = read.join(first, same, "left").withColumn("again", again).select("conv_id", "turn", "role", "text", "copies", "blank", "again")
