@@ -1,7 +1,7 @@
 """Token files: ORC with integer run-length encoding, row indexes and Bloom filters on document ids.
 
 Texts are range-partitioned and sorted by doc_id, then encoded where they lie, so the encoder runs once
-and each task writes one file in order. A word is encoded once per worker as long as it is remembered. A row holds the ids of one document and `local_start`, the ids
+and each task writes one file in order. A word is encoded once per task as long as it is remembered. A row holds the ids of one document and `local_start`, the ids
 of the file before it; run-length encoding makes both, and the file number `part`, cheap. A reader takes
 stripes in parallel, prunes stripes and row groups by the doc_id statistics and Bloom filters, and gets
 global positions from one sum per file. Ids stay in bounded batches on the way in and out.
@@ -51,14 +51,16 @@ def _alphabet() -> dict[int, str]:
 
 
 class Encoder(dict):
-    """chunk -> its ids as little-endian 32-bit integers, remembered up to a bound.
+    """chunk -> its ids as little-endian 32-bit integers, remembered up to BYTES.
 
     Texts repeat their words: a chunk is given to the tokenizer once, not once per place. Chunks are cut
-    only where the tokenizer itself cuts, so the ids are those of the whole text. With `special`, a text that
+    only where the tokenizer itself cuts, so the ids are those of the whole text. What is remembered is held in
+    two halves; when the newer is full, it takes the place of the older, from which chunks in use come back.
+    `forget` drops both at the end of a task, so idle workers hold no words. With `special`, a text that
     spells a special token gets that token's id there, as the library does by default; without, it is ordinary text.
     """
 
-    LIMIT = 700_000
+    BYTES = 32 << 20
 
     def __init__(self, tokenizer_file: str, special: bool = False) -> None:
         from tokenizers import Tokenizer
@@ -71,16 +73,26 @@ class Encoder(dict):
         self.whole = [*_OTHER_SPACES, *(t.content for t in added if special or not t.special)]
         self.model = self.tokenizer.model
         self.alphabet = _alphabet()
+        self.older: dict[str, bytes] = {}
+        self.held = 0
+
+    def forget(self) -> None:
+        self.clear()
+        self.older, self.held = {}, 0
 
     def __missing__(self, chunk: str) -> bytes:
-        if _WORD.fullmatch(chunk):  # one piece
-            ids = [t.id for t in self.model.tokenize(chunk.encode().decode("latin-1").translate(self.alphabet))]
-        else:
-            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        value = array("i", ids).tobytes()
-        if len(self) >= self.LIMIT:
-            self.clear()
+        value = self.older.get(chunk)
+        if value is None:
+            if _WORD.fullmatch(chunk):  # one piece
+                ids = [t.id for t in self.model.tokenize(chunk.encode().decode("latin-1").translate(self.alphabet))]
+            else:
+                ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+            value = array("i", ids).tobytes()
         if len(chunk) <= 64:
+            self.held += 200 + 2 * len(chunk) + len(value)  # about what both objects and their place in the table take
+            if self.held > self.BYTES // 2:
+                self.older, self.held = dict(self), 0
+                self.clear()
             self[chunk] = value
         return value
 
@@ -94,7 +106,7 @@ _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
 def encoder_of(tokenizer_file: str, special: bool = False) -> Encoder:
-    """One encoder per worker process, file and option, so what it remembers serves all its tasks."""
+    """One encoder per worker process, file and option: the vocabulary is read once."""
     key = (tokenizer_file, special)
     if key not in _ENCODERS:
         _ENCODERS[key] = Encoder(tokenizer_file, special)
@@ -131,18 +143,21 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
 
         encoder, end = encoder_of(tokenizer_file, special), array("i", [end_id]).tobytes()
         part, before = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            for doc_ids, texts in _slices(batch):
-                rows = [encoder.encode(t) + end for t in texts]
-                sizes = np.array([len(r) // 4 for r in rows], dtype=np.int64)
-                ends = np.cumsum(sizes)
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(np.frombuffer(b"".join(rows), dtype="<i4")))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc_ids, pa.int64()), pa.array(np.full(len(rows), part, dtype=np.int32)), pa.array(before + ends - sizes),
-                     pa.array(sizes.astype(np.int32)), lists],
-                    names=["doc_id", "part", "local_start", "n_tokens", "ids"])
-                before += int(ends[-1])
+        try:
+            for batch in batches:
+                for doc_ids, texts in _slices(batch):
+                    rows = [encoder.encode(t) + end for t in texts]
+                    sizes = np.array([len(r) // 4 for r in rows], dtype=np.int64)
+                    ends = np.cumsum(sizes)
+                    lists = pa.ListArray.from_arrays(
+                        pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(np.frombuffer(b"".join(rows), dtype="<i4")))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(doc_ids, pa.int64()), pa.array(np.full(len(rows), part, dtype=np.int32)), pa.array(before + ends - sizes),
+                         pa.array(sizes.astype(np.int32)), lists],
+                        names=["doc_id", "part", "local_start", "n_tokens", "ids"])
+                    before += int(ends[-1])
+        finally:
+            encoder.forget()
 
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(encoded, _ROW).write.options(**OPTIONS).orc(path)
