@@ -12,12 +12,14 @@ from signpost.llm.decontaminate import contamination
 from signpost.llm.html_extract import main_text
 from signpost.llm.language import identify
 from signpost.llm.mixing import mix
+from signpost.llm.packing import pack
 from signpost.llm.personal import digest, personal_data
 from signpost.llm.quality_model import rate
 from signpost.llm.quality_rules import judge
 from signpost.llm.simhash import near_duplicates
 from signpost.llm.token_files import tokenized
 from signpost.llm.url_filters import judge_urls
+from signpost.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -180,6 +182,18 @@ def op6_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return rate(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@query("op11_best_fit_packing")
+def op11_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    return pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op12_embedding_whitening")
+def op12_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whiten(table(spark, sf, "embeddings"))
+
+
 @query("op13_conversation_repair")
 def op13_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
     return conversation_digest(damaged(table(spark, sf, "conversations")))
