@@ -60,7 +60,8 @@ class Encoder(dict):
     spells a special token gets that token's id there, as the library does by default; without, it is ordinary text.
     """
 
-    BYTES = 32 << 20
+    BYTES = 64 << 20
+    LIMIT = 700_000  # chunks of a half
 
     def __init__(self, tokenizer_file: str, special: bool = False) -> None:
         from tokenizers import Tokenizer
@@ -73,6 +74,7 @@ class Encoder(dict):
         self.whole = [*_OTHER_SPACES, *(t.content for t in added if special or not t.special)]
         self.model = self.tokenizer.model
         self.alphabet = _alphabet()
+        self.space = self.alphabet[32]
         self.older: dict[str, bytes] = {}
         self.held = 0
 
@@ -84,13 +86,18 @@ class Encoder(dict):
         value = self.older.get(chunk)
         if value is None:
             if _WORD.fullmatch(chunk):  # one piece
-                ids = [t.id for t in self.model.tokenize(chunk.encode().decode("latin-1").translate(self.alphabet))]
+                if chunk.isascii():  # a letter is its own visible character
+                    piece = self.space + chunk[1:] if chunk[0] == " " else chunk
+                else:
+                    piece = chunk.encode().decode("latin-1").translate(self.alphabet)
+                ids = [t.id for t in self.model.tokenize(piece)]
             else:
                 ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
             value = array("i", ids).tobytes()
-        if len(chunk) <= 64:
-            self.held += 200 + 2 * len(chunk) + len(value)  # about what both objects and their place in the table take
-            if self.held > self.BYTES // 2:
+        size = len(chunk)
+        if size <= 64:
+            self.held += 150 + size + len(value)  # about what both objects and their place in the table take
+            if self.held > self.BYTES // 2 or len(self) >= self.LIMIT:
                 self.older, self.held = dict(self), 0
                 self.clear()
             self[chunk] = value
