@@ -223,7 +223,7 @@ def _encoded(docs: DataFrame, tokenizer_file: str, end_id: int, size: int, speci
                         columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(held), dtype="<i4"))))
                     yield pa.RecordBatch.from_arrays(columns, names=names)
         finally:
-            encoder.forget()
+            encoder.trim()
 
     types = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
     fields = _PIECE + (", ids array<int>" if with_ids else "")

@@ -56,7 +56,7 @@ class Encoder(dict):
     Texts repeat their words: a chunk is given to the tokenizer once, not once per place. Chunks are cut
     only where the tokenizer itself cuts, so the ids are those of the whole text. What is remembered is held in
     two halves; when the newer is full, it takes the place of the older, from which chunks in use come back.
-    `forget` drops both at the end of a task, so idle workers hold no words. With `special`, a text that
+    `trim` drops the older at the end of a task, so idle workers hold little. With `special`, a text that
     spells a special token gets that token's id there, as the library does by default; without, it is ordinary text.
     """
 
@@ -78,9 +78,10 @@ class Encoder(dict):
         self.older: dict[str, bytes] = {}
         self.held = 0
 
-    def forget(self) -> None:
-        self.clear()
-        self.older, self.held = {}, 0
+    def trim(self) -> None:
+        """Keep one half only: what an idle worker holds until its next task."""
+        if self.held >= self.BYTES // 8:
+            self.older = {}
 
     def __missing__(self, chunk: str) -> bytes:
         value = self.older.get(chunk)
@@ -164,7 +165,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
                         names=["doc_id", "part", "local_start", "n_tokens", "ids"])
                     before += int(ends[-1])
         finally:
-            encoder.forget()
+            encoder.trim()
 
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(encoded, _ROW).write.options(**OPTIONS).orc(path)
