@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["receipts", "facts", "outcomes", "crawl", "streams"]
+MODULES = ["receipts", "facts", "outcomes", "crawl", "followups", "streams"]
 
 
 def load():

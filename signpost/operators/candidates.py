@@ -166,7 +166,8 @@ def resolve_templates(candidates: DataFrame, discoveries: DataFrame, by: list[st
     candidates: by..., candidate_id, url, discovery_urls (ordered). discoveries: by..., discovery_url,
     http_status, body text. The first item, in order of discovery URL and place, that has every
     parameter fills the address; without discovery URL only the defaults can. Adds `resolved_url`
-    (null when it stays open), `sample_title`, `sample_amount`, `sample_currency`.
+    (null when it stays open), `sample_title`, `sample_amount`, `sample_currency`; with a column
+    `price_lookup_url` also `resolved_price_url`, filled with the same item.
     """
     named = compute(candidates, names=template_parameters(F.col("url")))
     sources = named.select(*by, "candidate_id", "names", F.posexplode("discovery_urls").alias("url_rank", "discovery_url"))
@@ -177,18 +178,20 @@ def resolve_templates(candidates: DataFrame, discoveries: DataFrame, by: list[st
     valued = compute(tried, found=F.transform("names", lambda n: member_value(F.col("item"), n)))
     whole = valued.where("NOT exists(found, x -> x IS NULL)")
     title = _first_text("item", ["title", "name", "label", "product_title", "artifact_title"], 120)
-    currency = F.upper(_first_text("item", ["currency", "currency_code", "currencyCode", "priceCurrency"], 16))
-    pricing_currency = F.upper(_first_text("item", [f"pricing.{k}" for k in ("currency", "currency_code", "currencyCode", "asset", "name")], 16))
-    amount = F.coalesce(*[D.as_price(D.get(F.col("item"), *k.split("."))) for k in ("price", "amount", "min_price", "max_price", "cost", "pricing.amount", "pricing.price")])
-    pick = F.struct("found", "discovery_url", title.alias("title"), amount_text(amount).alias("amount"), F.coalesce(currency, pricing_currency).alias("currency"))
+    amount, currency = price_of("item")
+    pick = F.struct("found", "discovery_url", title.alias("title"), amount.alias("amount"), currency.alias("currency"))
     best = whole.groupBy(*by, "candidate_id").agg(F.min_by(pick, F.struct("url_rank", "item_rank")).alias("hit"))
     joined = named.join(best, [*by, "candidate_id"], "left")
     defaults = F.transform("names", default_parameter)
     chosen = F.when(F.size("discovery_urls") == 0, F.when(~F.exists(defaults, lambda d: d.isNull()), defaults)).otherwise(F.col("hit.found"))
     filled = compute(joined, _chosen=chosen)
     address = F.when(F.size("names") == 0, F.col("url")).when(F.col("_chosen").isNotNull(), fill(F.col("url"), F.col("names"), F.col("_chosen")))
+    priced = {}
+    if "price_lookup_url" in candidates.columns:
+        price_url = F.when(F.col("hit.found").isNotNull(), fill(F.col("price_lookup_url"), F.col("names"), F.col("hit.found")))
+        priced["resolved_price_url"] = F.when(F.size(template_parameters(price_url)) == 0, blank_to_null(price_url))
     return filled.withColumns(
-        {
+        priced | {
             "resolved_url": F.when(F.size(template_parameters(address)) == 0, address),
             "sample_title": F.col("hit.title"),
             "sample_amount": F.col("hit.amount"),
@@ -198,6 +201,15 @@ def resolve_templates(candidates: DataFrame, discoveries: DataFrame, by: list[st
     ).drop("_chosen", "hit", "names")
 
 
+def price_of(column: str) -> tuple[Column, Column]:
+    """(amount, currency) an item or a price answer states, as text."""
+    currency = F.upper(_first_text(column, ["currency", "currency_code", "currencyCode", "priceCurrency"], 16))
+    pricing_currency = F.upper(_first_text(column, [f"pricing.{k}" for k in ("currency", "currency_code", "currencyCode", "asset", "name")], 16))
+    paths = ("price", "amount", "min_price", "max_price", "cost", "pricing.amount", "pricing.price")
+    amount = F.coalesce(*[D.as_price(D.get(F.col(column), *k.split("."))) for k in paths])
+    return amount_text(amount), F.coalesce(currency, pricing_currency)
+
+
 def _first_text(column: str, paths: list[str], length: int) -> Column:
     return F.coalesce(*[F.substring(D.filled(F.col(column), *p.split(".")), 1, length) for p in paths])
 

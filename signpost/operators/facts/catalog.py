@@ -236,6 +236,20 @@ def tool_product_facts(answers: DataFrame) -> DataFrame:
     return facts.drop("_items", "text").withColumns({"detail": detail, "catalog_source": F.lit("ucp_search_catalog")})
 
 
+def catalog_answer_facts(fetches: DataFrame) -> DataFrame:
+    """Captured answers to catalogue searches: `requested_url` is the endpoint, `request_note` the words asked for."""
+    docs = compute(documents(fetches), _items=tool_products(F.col("text")))
+    read = compute(docs, _facts=F.when(~F.col("truncated"), catalog_of(F.col("_items"), F.col("requested_url"), "ucp_catalog_checkout")))
+    verdict = judged(
+        read,
+        [truncated("products catalog"), (F.col("_facts").isNull(), "catalog answer did not contain product objects")],
+        "Usable products catalog detected via UCP search_catalog",
+    )
+    note = F.col("request_note") if "request_note" in fetches.columns else F.lit(None).cast("string")
+    named = [F.lit("ucp_search_catalog").alias("catalog_source"), note.alias("catalog_query"), F.col("requested_url").alias("catalog_endpoint")]
+    return finished(verdict, F.when(F.col("_facts").isNotNull(), F.struct("_facts.*", *named)))
+
+
 def cart_facts(fetches: DataFrame) -> DataFrame:
     docs = documents(fetches)
     read = spread(docs, docs.columns, D.fields(F.when(D.is_object(F.col("text")), F.col("text")), ["currency", "token", "item_count", "requires_shipping"]))

@@ -37,10 +37,11 @@ _JOBS: dict[str, FactJob] = {
     "payment_probe": contracts.payment_probe_facts,
     "products": catalog.product_facts,
     "cart": catalog.cart_facts,
+    "ucp_catalog": catalog.catalog_answer_facts,
 }
 VALIDATORS: dict[str, Validator] = {
     name: Validator(
-        job, {key: (path, limit, group) for key, path, validator, limit, group in V.PROBES if validator == name},
+        job, {key: (path, limit, group) for key, path, validator, limit, group in V.PROBES + V.FOLLOW_UP_CAPTURES if validator == name},
         tuple(V.ALLOWED_STATUSES.get(name, [200])), name in V.EMPTY_BODY_VALIDATORS)
     for name, job in _JOBS.items()
 }

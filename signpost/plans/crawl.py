@@ -2,22 +2,30 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signpost import values as V
 from signpost.operators import classify, outcomes, select
 from signpost.operators.facts.registry import VALIDATORS, Validator
-from signpost.session import prepare, stored
-from signpost.sources.fetches import lookup
+from signpost.session import prepare, scratch_path, stored
+from signpost.plans.followups import with_follow_ups
+from signpost.sources.fetches import lookup, with_request_id
 
 OUTCOME_COLUMNS = [
     "domain", "attempt", "probe_key", "path", "status", "http_status", "content_type", "final_url", "byte_count", "body_sha256",
-    "detail", "facts", "fetched_at",
+    "detail", "facts", "fetched_at", "request_id",
+]
+CAPTURE_COLUMNS = [
+    "domain", "attempt", "probe_key", "validator", "control_group", "requested_url", "http_status", "content_type", "final_url", "byte_count",
+    "body_sha256", "fetched_at", "request_id",
 ]
 NO_VALIDATOR = "No validator for this probe"
+JOBS_AT_ONCE = 3
 
 
 def _judged(rows: DataFrame, validator: Validator) -> DataFrame:
@@ -27,6 +35,34 @@ def _judged(rows: DataFrame, validator: Validator) -> DataFrame:
     return found.withColumn("verdict", verdict)
 
 
+def _verdicts(undecided: DataFrame, catalog: dict[str, Validator]) -> DataFrame | None:
+    """The verdicts of all validators that have rows, each written by a job of its own and read back as one table.
+
+    Only the validators the log needs are planned, every plan holds one fact job, and a few of them are
+    built and run at a time: building one is mostly waiting for the JVM.
+    """
+    spark = undecided.sparkSession
+    present = {r[0] for r in undecided.select("validator").distinct().collect()}  # at most the catalogue's names
+    jobs = {name: v for name, v in catalog.items() if name in present}
+    if not jobs:
+        return None
+    path = scratch_path(spark, "verdicts")
+
+    def write(name: str) -> None:
+        rows = undecided.where(F.col("validator") == name)
+        _shaped(_judged(rows, jobs[name])).drop("validator").write.parquet(f"{path}/validator={name}")
+
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        list(pool.map(inheritable_thread_target(spark)(write), jobs))
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _shaped(undecided).schema.fields)
+    return spark.read.schema(columns).parquet(path)
+
+
+def _shaped(part: DataFrame) -> DataFrame:
+    extra = {"status": "string", "verdict": "string", "detail": "string", "facts": "variant"}
+    return part.select(*CAPTURE_COLUMNS, *[(F.col(c) if c in part.columns else F.lit(None)).cast(t).alias(c) for c, t in extra.items()])
+
+
 def outcomes_from_fetches(fetches: DataFrame, validators: dict[str, Validator] | None = None, controls: DataFrame | None = None) -> DataFrame:
     """All outcomes of a fetch log read by `read_fetches`; `controls` are control digests from elsewhere.
 
@@ -37,6 +73,7 @@ def outcomes_from_fetches(fetches: DataFrame, validators: dict[str, Validator] |
     """
     catalog = VALIDATORS if validators is None else validators
     prepare(fetches.sparkSession)
+    fetches = with_request_id(fetches)
     digests = outcomes.control_signatures(fetches)
     if controls is not None:
         digests = digests.unionByName(controls).groupBy("domain", "attempt", "control_group").agg(F.min("control").alias("control"))
@@ -44,17 +81,13 @@ def outcomes_from_fetches(fetches: DataFrame, validators: dict[str, Validator] |
     open_ = F.col("status").isNull()
     staged = stored(ladder.withColumn("body", F.when(open_, F.col("body"))).withColumn("open", open_), "ladder", ["open", "validator"])
     undecided = staged.where("open").drop("open")
-    parts = [_judged(undecided.where(F.col("validator") == name), v) for name, v in catalog.items()]
     limited = F.when(F.col("retry_after_seconds").isNotNull(), F.to_variant_object(F.struct("retry_after_seconds")))
-    parts.append(staged.where("NOT open").withColumn("facts", limited))
-    parts.append(undecided.where(~F.col("validator").isin(*catalog)).withColumns({"verdict": F.lit("unknown"), "detail": F.lit(NO_VALIDATOR)}))
-    columns = ["domain", "attempt", "probe_key", "validator", "control_group", "requested_url", "http_status", "content_type", "final_url", "byte_count", "body_sha256", "fetched_at"]
-    extra = {"status": "string", "verdict": "string", "detail": "string", "facts": "variant"}
-
-    def shaped(part: DataFrame) -> DataFrame:
-        return part.select(*columns, *[(F.col(c) if c in part.columns else F.lit(None)).cast(t).alias(c) for c, t in extra.items()])
-
-    rows = reduce(DataFrame.unionByName, [shaped(p) for p in parts])
+    parts = [
+        _verdicts(undecided, catalog),
+        _shaped(staged.where("NOT open").withColumn("facts", limited)),
+        _shaped(undecided.where(~F.col("validator").isin(*catalog)).withColumns({"verdict": F.lit("unknown"), "detail": F.lit(NO_VALIDATOR)})),
+    ]
+    rows = reduce(DataFrame.unionByName, [p for p in parts if p is not None])
     matched = outcomes.with_fallback(rows, digests)
     undecided_still = F.col("status").isNull()
     final = matched.withColumns({
@@ -80,10 +113,11 @@ def receipts_from_outcomes(all_outcomes: DataFrame, order: str = "fetched_at", b
 def receipts_from_fetches(fetches: DataFrame, domains: DataFrame | None = None, validators: dict[str, Validator] | None = None) -> DataFrame:
     """The whole crawl side; with the domain list the receipts also carry rank and row index.
 
-    The outcomes are stored once: bodies are parsed a single time although the completion and the
-    receipts both read them, and a lost executor repeats no parsing.
+    Two rounds: the outcomes of every capture, then those of the follow-up requests the first ones ask for.
+    Each is stored once: bodies are parsed a single time, and a lost executor repeats no parsing.
     """
-    receipts = receipts_from_outcomes(stored(outcomes_from_fetches(fetches, validators), "outcomes"))
+    first = stored(outcomes_from_fetches(fetches, validators), "outcomes")
+    receipts = receipts_from_outcomes(stored(with_follow_ups(first, fetches), "followed"))
     return receipts if domains is None else receipts.join(domains, "domain", "left")
 
 

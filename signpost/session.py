@@ -20,6 +20,8 @@ DEFAULTS = {
 }
 # what right results hang on, in any session: zone-less stamps are UTC, the last of equal JSON members counts
 REQUIRED = {"spark.sql.session.timeZone": "UTC", "spark.sql.variant.allowDuplicateKeys": "true"}
+# call sites in error messages cost more than half of the time in which plans of thousands of expressions are built; a session has to be started with this
+QUICK = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -39,7 +41,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
-    for key, value in (DEFAULTS | REQUIRED).items():
+    for key, value in (DEFAULTS | REQUIRED | QUICK).items():
         builder = builder.config(key, value)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

@@ -50,6 +50,19 @@ def clean_headers(headers: Column) -> Column:
     return F.map_from_entries(last)
 
 
+def request_id(kind: Column, method: Column, url: Column, note: Column) -> Column:
+    """Names a request: what it is for, method, address, and the words a search asks for (null for none)."""
+    return F.md5(F.concat_ws("\n", kind, F.upper(F.coalesce(method, F.lit("GET"))), F.coalesce(url, F.lit("")), note))
+
+
+def with_request_id(fetches: DataFrame) -> DataFrame:
+    """`request_id` of every capture, as logged or, where the log has none, from what was requested."""
+    has = lambda c: F.col(c) if c in fetches.columns else F.lit(None).cast("string")
+    derived = request_id(F.col("probe_key"), has("request_method"), F.col("requested_url"), has("request_note"))
+    return fetches.withColumn("request_id", F.coalesce(has("request_id"), derived))
+
+
 def read_fetches(spark: SparkSession, path: str, limits: dict[str, int] | None = None) -> DataFrame:
     """Parquet fetch log; `limits` are those of probes the catalogue does not have."""
-    return limit_bodies(prepare(spark).read.parquet(path), limits).withColumn("headers", clean_headers(F.col("headers")))
+    rows = limit_bodies(prepare(spark).read.parquet(path), limits).withColumn("headers", clean_headers(F.col("headers")))
+    return with_request_id(rows)

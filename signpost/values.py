@@ -28,9 +28,16 @@ PROBES = [
     ("cart_json", "/cart.js", "cart", 16_384, "catalog"),
     ("payment_probe", "dynamic", "payment_probe", 65_536, None),
 ]
+# captures a receipt asks for after its first outcomes; they never stand in a receipt themselves
+FOLLOW_UP_CAPTURES = [
+    ("ucp_version", "dynamic", "ucp", 16_384, None),
+    ("ucp_catalog", "dynamic", "ucp_catalog", 262_144, None),
+    ("discovery", "dynamic", None, 131_072, None),
+    ("price_lookup", "dynamic", None, 16_384, None),
+]
 PROBE_ORDER = [p[0] for p in PROBES]
 VALIDATOR_OF = {p[0]: p[2] for p in PROBES}
-MAX_BYTES_OF = {p[0]: p[3] for p in PROBES}
+MAX_BYTES_OF = {p[0]: p[3] for p in PROBES + FOLLOW_UP_CAPTURES}
 CONTROL_GROUP_OF = {p[0]: p[4] for p in PROBES if p[4]}
 OUTCOME_MEMBERS = ["path", "status", "http_status", "content_type", "final_url", "byte_count", "body_sha256", "detail", "facts"]
 # probes every domain gets a row for, whether fetched or not
@@ -40,6 +47,9 @@ DISCOVERY_PROBES = [
     "well_known_agent_card", "root_agent_json", "openapi_json", "x402_well_known", "x402_json",
 ]
 FOLLOWUP_PROBES = ["products_json", "cart_json", "payment_probe"]
+# probes whose address other documents name; several may be tried
+DYNAMIC_PROBES = ["api_openapi_json", "remote_x402", "api_products", "payment_probe"]
+CATALOG_CAPABILITY = "dev.ucp.shopping.catalog.search"
 EXPECTED_PROBES = LIGHT_PROBES + ["homepage"] + DISCOVERY_PROBES + FOLLOWUP_PROBES
 
 ALLOWED_STATUSES = {
