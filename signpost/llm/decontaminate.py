@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from signpost.llm.rows import whole_row
 from signpost.session import cut
 
 WIDTH = 10
@@ -131,6 +132,6 @@ def clean(docs: DataFrame, items: DataFrame, width: int = WIDTH, block_rows: int
     found = cut(found.select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash")).distinct())
     if found.count() <= 10 * block_rows:  # two numbers a row; beyond that Spark joins as it sees fit
         found = F.broadcast(found)
-    held = docs.select(F.struct(*docs.columns).alias("_doc"), F.col("doc_id").alias("_key"), text_key.alias("_text"))
+    held = docs.select(whole_row(docs), F.col("doc_id").alias("_key"), text_key.alias("_text"))
     same = F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash"))
     return held.join(found, same, "left_anti").select("_doc.*")

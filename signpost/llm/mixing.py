@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from signpost.llm.rows import whole_row
 from signpost.session import cut
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -102,7 +103,7 @@ def emit(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """
     key = F.to_json(F.struct(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("size").alias("n")))
     wanted = mixed.groupBy(key.alias("_key")).agg(F.sum("copies").alias("_all"), F.count(F.lit(1)).alias("_same")).filter("_all > 0")
-    held = docs.select(F.struct(*docs.columns).alias("_doc"), "doc_id", "source", word_count(F.col("text")).alias("size"))
+    held = docs.select(whole_row(docs), "doc_id", "source", word_count(F.col("text")).alias("size"))
     held = held.select("_doc", key.alias("_key")).join(wanted, "_key")
     turn = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
     own = F.floor(F.col("_all") / F.col("_same")) + F.when(turn <= F.col("_all") % F.col("_same"), 1).otherwise(0)

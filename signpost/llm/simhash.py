@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signpost.llm.graph import components
+from signpost.llm.rows import whole_row
 from signpost.session import cut, ship_package
 
 BITS = 4
@@ -164,7 +165,7 @@ def heads_only(docs: DataFrame, rows: DataFrame, group: list[str], sent: int) ->
     marks = cut(marks)
     if marks.count() <= sent:
         marks = F.broadcast(marks)
-    held = docs.select(F.struct(*docs.columns).alias("_doc"), "doc_id", F.xxhash64("text").alias("text_hash")).join(marks, same, "left")
+    held = docs.select(whole_row(docs), "doc_id", F.xxhash64("text").alias("text_hash")).join(marks, same, "left")
     single = held.filter("_head IS NULL").select("_doc")
     repeated = held.filter("_head").groupBy("doc_id", "text_hash").agg(F.first("_doc").alias("_doc")).select("_doc")
     return single.union(repeated).select("_doc.*")

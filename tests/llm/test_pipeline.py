@@ -42,6 +42,17 @@ def test_stages_keep_the_columns_and_take_odd_rows(spark):
         assert corpus_pipeline.STAGES[-1][1](spark, given, SF).count() == given.count()
 
 
+def test_stages_take_columns_of_any_name(spark):
+    words = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, words, "en", "s", 9, 1, 2, 3), (2, words + " more of it", "en", "s", 9, 4, 5, 6)]
+    docs = spark.createDataFrame(rows, SCHEMA + ", `a.b` int, `c d` int, `e``f` int")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        for r in out.collect():
+            assert (r["a.b"], r["c d"], r["e`f"]) == ((1, 2, 3) if r.doc_id == 1 else (4, 5, 6))
+
+
 def test_pipeline_runs_every_stage(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and rows[0].asDict().keys() == {"doc_id", "start", "n_tokens", "ids_crc32"}
