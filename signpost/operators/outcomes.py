@@ -19,27 +19,24 @@ def is_control() -> Column:
     return F.col("probe_key").startswith(CONTROL_PREFIX)
 
 
-def control_signatures(fetches: DataFrame) -> DataFrame:
-    """One digest row per (domain, attempt, control_group); of repeated captures the first counts."""
+def control_signatures(fetches: DataFrame, timed: bool = False) -> DataFrame:
+    """One digest row per (domain, attempt, control_group); of repeated captures the first counts. `timed` adds its time, `captured_at`."""
     signature = F.struct(
         F.col("http_status"), media_type(F.col("content_type")).alias("media"), "byte_count", "body_sha256"
     )
     first = F.min_by(signature, F.struct("fetched_at", "body_sha256"))
+    at = [F.min("fetched_at").alias("captured_at")] if timed else []
     return (
         fetches.where(is_control())
         .select("domain", "attempt", "http_status", "content_type", "byte_count", "body_sha256", "fetched_at",
                 F.expr(f"substring(probe_key, {len(CONTROL_PREFIX) + 1})").alias("control_group"))
         .groupBy("domain", "attempt", "control_group")
-        .agg(first.alias("control"))
+        .agg(first.alias("control"), *at)
     )
 
 
-def mark_soft404(fetches: DataFrame, controls: DataFrame) -> DataFrame:
-    """`matches_control`: same 200 answer as the domain's deliberately missing path.
-
-    The control side is one narrow row per key, so a hot domain only repeats on the candidate side,
-    which the adaptive join may split freely.
-    """
+def equals_control() -> Column:
+    """The same 200 answer as the domain's deliberately missing path, whose digest is `control`."""
     media = media_type(F.col("content_type"))
     same = (
         (F.col("http_status") == 200)
@@ -48,8 +45,17 @@ def mark_soft404(fetches: DataFrame, controls: DataFrame) -> DataFrame:
         & (F.col("byte_count") == F.col("control.byte_count"))
         & F.col("body_sha256").eqNullSafe(F.col("control.body_sha256"))
     )
+    return F.coalesce(same, F.lit(False))
+
+
+def mark_soft404(fetches: DataFrame, controls: DataFrame) -> DataFrame:
+    """`matches_control`, by the control digest of the same domain, attempt and group.
+
+    The control side is one narrow row per key, so a hot domain only repeats on the candidate side,
+    which the adaptive join may split freely.
+    """
     joined = fetches.join(controls, ["domain", "attempt", "control_group"], "left")
-    return joined.withColumn("matches_control", F.coalesce(same, F.lit(False))).drop("control")
+    return joined.withColumn("matches_control", equals_control()).drop("control")
 
 
 def is_login_gate() -> Column:
@@ -130,7 +136,11 @@ def with_fallback(rows: DataFrame, controls: DataFrame) -> DataFrame:
 
     Meant for rows without body: only digests take part, so no body is ever shuffled.
     """
-    matched = mark_soft404(rows, controls)
+    return fallen_back(mark_soft404(rows, controls))
+
+
+def fallen_back(matched: DataFrame) -> DataFrame:
+    """Undecided rows marked with `matches_control` become `fallback`."""
     hit = F.col("status").isNull() & F.col("matches_control")
     return matched.withColumns(
         {

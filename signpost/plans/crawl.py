@@ -63,21 +63,15 @@ def _shaped(part: DataFrame) -> DataFrame:
     return part.select(*CAPTURE_COLUMNS, *[(F.col(c) if c in part.columns else F.lit(None)).cast(t).alias(c) for c, t in extra.items()])
 
 
-def outcomes_from_fetches(fetches: DataFrame, validators: dict[str, Validator] | None = None, controls: DataFrame | None = None) -> DataFrame:
-    """All outcomes of a fetch log read by `read_fetches`; `controls` are control digests from elsewhere.
+def verdicts_from_fetches(fetches: DataFrame, validators: dict[str, Validator] | None = None) -> DataFrame:
+    """Every response with the status its ladder gives, else the verdict of its validator; before the control match.
 
-    The log is scanned twice: once for the narrow control digests, once for the status ladder. What the
-    ladder leaves open is stored by validator with its bodies, so every fact job reads its own part
-    only; the verdicts, without bodies, meet the control digests in a single join. Responses to probes
-    nobody judges stay, as `unknown`.
+    The log is scanned once. What the ladder leaves open is stored by validator with its bodies, so every
+    fact job reads its own part only. Responses to probes nobody judges stay, as `unknown`.
     """
     catalog = VALIDATORS if validators is None else validators
     prepare(fetches.sparkSession)
-    fetches = with_request_id(fetches)
-    digests = outcomes.control_signatures(fetches)
-    if controls is not None:
-        digests = digests.unionByName(controls).groupBy("domain", "attempt", "control_group").agg(F.min("control").alias("control"))
-    ladder = outcomes.laddered(fetches, catalog)
+    ladder = outcomes.laddered(with_request_id(fetches), catalog)
     open_ = F.col("status").isNull()
     staged = stored(ladder.withColumn("body", F.when(open_, F.col("body"))).withColumn("open", open_), "ladder", ["open", "validator"])
     undecided = staged.where("open").drop("open")
@@ -87,14 +81,30 @@ def outcomes_from_fetches(fetches: DataFrame, validators: dict[str, Validator] |
         _shaped(staged.where("NOT open").withColumn("facts", limited)),
         _shaped(undecided.where(~F.col("validator").isin(*catalog)).withColumns({"verdict": F.lit("unknown"), "detail": F.lit(NO_VALIDATOR)})),
     ]
-    rows = reduce(DataFrame.unionByName, [p for p in parts if p is not None])
-    matched = outcomes.with_fallback(rows, digests)
+    return reduce(DataFrame.unionByName, [p for p in parts if p is not None])
+
+
+def outcomes_from_fetches(fetches: DataFrame, validators: dict[str, Validator] | None = None, controls: DataFrame | None = None) -> DataFrame:
+    """All outcomes of a fetch log read by `read_fetches`; `controls` are control digests from elsewhere.
+
+    The log is scanned twice: once for the narrow control digests, once for the verdicts, which meet the
+    digests, without bodies, in a single join.
+    """
+    rows = verdicts_from_fetches(fetches, validators)
+    digests = outcomes.control_signatures(fetches)
+    if controls is not None:
+        digests = digests.unionByName(controls).groupBy("domain", "attempt", "control_group").agg(F.min("control").alias("control"))
+    return outcomes_of_verdicts(outcomes.with_fallback(rows, digests), validators)
+
+
+def outcomes_of_verdicts(matched: DataFrame, validators: dict[str, Validator] | None = None) -> DataFrame:
+    """Outcome rows of verdicts that met their control digests."""
     undecided_still = F.col("status").isNull()
     final = matched.withColumns({
         "facts": F.when(F.col("status").eqNullSafe("fallback"), None).otherwise(F.col("facts")),
         "status": F.when(undecided_still, F.col("verdict")).otherwise(F.col("status")),
     })
-    return final.withColumn("path", _path(catalog)).select(*OUTCOME_COLUMNS)
+    return final.withColumn("path", _path(VALIDATORS if validators is None else validators)).select(*OUTCOME_COLUMNS)
 
 
 def _path(catalog: dict[str, Validator]) -> Column:

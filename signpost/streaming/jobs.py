@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from signpost.operators import outcomes
 from signpost.operators.select import positives
-from signpost.plans.crawl import outcomes_from_fetches
+from signpost.plans.crawl import outcomes_from_fetches, outcomes_of_verdicts, verdicts_from_fetches
 from signpost.sources.receipts import seen_domains
 
 AVAILABLE = {"availableNow": True}
@@ -29,6 +32,64 @@ def record_outcomes(
     return fetches.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or AVAILABLE)).start()
 
 
+def record_verdicts(fetches: DataFrame, path: str, checkpoint: str, validators: dict | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """The first half of the streamed crawl: verdicts and control digests of every batch, as two logs under `path`.
+
+    A batch of a log appears at once and only once: it is written aside and renamed, and a repeated batch
+    whose folder is there already is left alone, so what follows the logs sees no row twice.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _appear(f"{path}/verdicts", batch_id, lambda: verdicts_from_fetches(batch, validators))
+        _appear(f"{path}/controls", batch_id, lambda: outcomes.control_signatures(batch, timed=True))
+
+    return fetches.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or AVAILABLE)).start()
+
+
+def _appear(log: str, batch_id: int, rows: Callable[[], DataFrame]) -> None:
+    spark = SparkSession.active()
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    parent, aside, target = hadoop(log), hadoop(f"{log}/.aside-{batch_id}"), hadoop(f"{log}/{batch_id:012d}")
+    system = parent.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(target):
+        return
+    rows().write.mode("overwrite").parquet(aside.toString())
+    system.rename(aside, target)
+
+
+VERDICT_LOG = (
+    "domain string, attempt int, probe_key string, validator string, control_group string, requested_url string, http_status int, content_type string, "
+    "final_url string, byte_count long, body_sha256 string, fetched_at timestamp, request_id string, status string, verdict string, detail string, facts variant"
+)
+CONTROL_LOG = (
+    "domain string, attempt int, control_group string, control struct<http_status:int,media:string,byte_count:long,body_sha256:string>, captured_at timestamp"
+)
+
+
+def matched_outcomes(spark: SparkSession, path: str, late: str = "1 day", validators: dict | None = None, files: int | None = None) -> DataFrame:
+    """The second half: the two logs of `record_verdicts` as streams, joined to whole outcomes.
+
+    A page and its control may come in any order and in any batches, as long as they were captured within
+    `late` of each other. A page waits in the join's state until its control comes or the watermarks of both
+    logs have passed it; then it goes on without one. Only undecided pages of a control group wait, and without
+    bodies. The watermarks move with pages that wait and with controls. Of repeated controls the first to come counts.
+    `files` limits what a batch takes of each log.
+    """
+    reader = lambda schema: spark.readStream.schema(schema).options(**({"maxFilesPerTrigger": files} if files else {}))
+    verdicts = reader(VERDICT_LOG).parquet(f"{path}/verdicts/*")
+    digests = reader(CONTROL_LOG).parquet(f"{path}/controls/*")
+    keys = ["domain", "attempt", "control_group"]
+    first = digests.withWatermark("captured_at", late).dropDuplicatesWithinWatermark(keys)
+    named = first.select(*[F.col(k).alias(f"_{k}") for k in keys], "control", "captured_at")
+    waits = F.col("status").isNull() & F.col("control_group").isNotNull()
+    near = F.expr(f"captured_at BETWEEN fetched_at - INTERVAL {late} AND fetched_at + INTERVAL {late}")
+    same = [F.col(k) == F.col(f"_{k}") for k in keys]
+    joined = verdicts.withWatermark("fetched_at", late).where(waits).join(named, [*same, near], "leftOuter")
+    marked = joined.withColumn("matches_control", outcomes.equals_control()).select(*verdicts.columns, "matches_control")
+    rest = verdicts.where(~waits).withColumn("matches_control", F.lit(False))
+    return outcomes_of_verdicts(outcomes.fallen_back(marked.union(rest)), validators)
+
+
 def label_counts(receipts: DataFrame) -> DataFrame:
     """Running count per label; ten groups at most."""
     return receipts.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
