@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signpost.llm.rows import whole_row
-from signpost.session import cut, ship_package, stored
+from signpost.session import cut, ship_package
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -230,10 +230,9 @@ def judge(docs: DataFrame, min_rows: int = MIN_ROWS, tail: float = TAIL) -> Data
 def keep_good(docs: DataFrame, min_rows: int = MIN_ROWS, tail: float = TAIL) -> DataFrame:
     """The rows of `docs`, with its columns, that `judge` keeps.
 
-    Rows and counts are written once: the estimates read the coordinates only, the verdicts the rows too, and no
-    text is counted twice or shuffled. Repeated rows are judged alike; no rows give none; columns may have any names.
+    The estimates go to the rows, so texts are counted twice but neither shuffled nor written. Repeated rows are
+    judged alike; no rows give none; columns may have any names.
     """
+    judges = _judges(cut(_counted(docs)), min_rows)
     held = docs.select(whole_row(docs), "text", "lang", "source")
-    rows = stored(_counted(held, "_doc"), "counted")
-    judges = _judges(rows.select("grps", "base_failed", *NAMES), min_rows)
-    return _verdict(rows, judges, tail, "_doc").filter("kept").select("_doc.*")
+    return _verdict(_counted(held, "_doc"), judges, tail, "_doc").filter("kept").select("_doc.*")
