@@ -164,6 +164,38 @@ def own_validator(spark, sf):
     return rows.select("domain", F.unix_micros("fetched_at").alias("fetched"), "status", length.alias("length"))
 
 
+REJECTED = [
+    ("well_known_agent_json", "application/json", """'{"zeta":1,"beta":2}'""", '{"top_level_keys":["beta","zeta"]}'),
+    ("x402_json", "application/json", """'{"name":"x"}'""", '{"top_level_keys":["name"]}'),
+    ("well_known_commerce", "application/json", """concat('{"k', n, '":1}')""", None),
+    ("well_known_commerce", "text/plain", "'hello there'", '{"char_count":11}'),
+    ("products_json", "application/json", """'{"products":[]}'""", '{"product_count":0}'),
+    ("cart_json", "application/json", """concat('{"currency":"USD","pad":"', repeat('x', 17000), '"}')""", '{"truncated":true}'),
+    ("well_known_agents_json", "application/json", "'[1'", None),
+]
+
+
+@query(
+    "rejected_facts",
+    "SELECT concat('shop', c_custkey, '.example') AS domain, 'invalid' AS status, CASE c_custkey % 7 "
+    + " ".join(f"WHEN {i} THEN '{facts}'" for i, (*_, facts) in enumerate(REJECTED) if facts)
+    + """ WHEN 2 THEN concat('{"top_level_keys":["k', c_custkey, '"]}') END AS facts FROM customer""",
+)
+def rejected_facts(spark, sf):
+    """What is noted of documents that are no valid ones."""
+    log = " UNION ALL ".join(
+        f"SELECT n, concat('shop', n, '.example') AS domain, '{key}' AS probe_key, '{media}' AS content_type, {body} AS body FROM (SELECT c_custkey AS n FROM customer) c WHERE n % 7 = {i}"
+        for i, (key, media, body, _) in enumerate(REJECTED))
+    url = F.concat(F.lit("https://"), F.col("domain"), F.lit("/x"))
+    raw = run_sql(spark, sf, log).select(
+        "domain", F.lit(1).alias("attempt"), "probe_key", F.lit(None).cast("string").alias("control_group"), url.alias("requested_url"), F.lit("GET").alias("request_method"),
+        url.alias("final_url"), F.lit(200).alias("http_status"), "content_type", F.encode("body", "UTF-8").alias("body"), F.lit(False).alias("truncated"), F.lit(None).cast("string").alias("error"),
+        F.create_map().cast("map<string,string>").alias("headers"), F.lit("2024-01-01").cast("timestamp").alias("fetched_at"))
+    path = scratch_path(spark, "rejected")
+    raw.write.parquet(path)
+    return outcomes_from_fetches(read_fetches(spark, path)).select("domain", "status", F.to_json("facts").alias("facts"))
+
+
 # ---------------------------------------------------------------- sinks
 
 

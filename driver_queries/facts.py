@@ -29,7 +29,7 @@ PAGE_HTML = """
 SELECT page_id, url, concat(html,
   '<LINK rel="shortcut ICON" href="/fav', CAST(page_id AS STRING), '.ico">',
   CASE WHEN page_id % 3 = 0 THEN concat('<link href=''../api/', CAST(page_id AS STRING), '.json'' rel=service-desc>') ELSE '' END,
-  CASE WHEN page_id % 2 = 0 THEN concat('<meta name="twitter:image" content="https://img.example/t.png"><meta content="img/', CAST(page_id AS STRING), '.png?a=1&amp;b=2" property="og:image">') ELSE '' END,
+  CASE WHEN page_id % 2 = 0 THEN concat('<meta name="twitter:image" content="https://img.example/t.png"><meta content="img/', CAST(page_id AS STRING), '.png?a=1&amp;b=2&eacute;&#8211;&#x2F;&frac14x&CounterClockwiseContourIntegral;" property="og:image">') ELSE '' END,
   CASE WHEN page_id % 5 = 0 THEN 'cdn.Shopify.com' ELSE '' END) AS html
 FROM pages
 """
@@ -43,7 +43,7 @@ PARENT_SQL = f"regexp_replace({DIR_SQL}, '^(https?://[^/]+/)(.*/)?[^/]+/$', '\\1
     f"""SELECT page_id, true AS is_valid, nullif(trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\\s+', ' ', 'g')), '') AS title,
         contains(lower(html), 'shopify') OR page_id % 5 = 0 AS shopify_hint,
         concat({ORIGIN_SQL}, '/fav', page_id, '.ico') AS favicon_url,
-        CASE WHEN page_id % 2 = 0 THEN concat({DIR_SQL}, 'img/', page_id, '.png?a=1&b=2') END AS og_image_url,
+        CASE WHEN page_id % 2 = 0 THEN concat({DIR_SQL}, 'img/', page_id, '.png?a=1&b=2', chr(233), chr(8211), '/', chr(188), 'x', chr(8755)) END AS og_image_url,
         CASE WHEN page_id % 3 = 0 THEN concat({PARENT_SQL}, 'api/', page_id, '.json') END AS service_desc
         FROM pages""",
 )

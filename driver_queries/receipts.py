@@ -55,6 +55,28 @@ def domain_list(spark, sf):
     return DL.read_domain_list(spark, path)
 
 
+RECORDS = """
+SELECT c_custkey, CASE c_custkey % 4
+         WHEN 0 THEN concat(CAST(c_custkey AS STRING), ',"shop', CAST(c_custkey AS STRING), '.example","a note', chr(10), 'over ""two"" lines, or', chr(10), chr(10), 'more"')
+         WHEN 1 THEN concat('"', CAST(c_custkey AS STRING), '","', chr(10), 'host', CAST(c_custkey AS STRING), '.example', chr(10), '"')
+         WHEN 2 THEN concat('bare', CAST(c_custkey AS STRING), '.example,5" wide')
+         ELSE '' END AS line
+FROM customer
+"""
+
+
+@query(
+    "domain_records",
+    """SELECT row_index, CASE WHEN n % 4 < 2 THEN n END::INT AS rank, CASE n % 4 WHEN 0 THEN concat('shop', n, '.example') WHEN 1 THEN concat('host', n, '.example') ELSE concat('bare', n, '.example') END AS domain
+       FROM (SELECT c_custkey AS n, row_number() OVER (ORDER BY c_custkey) - 1 AS row_index FROM customer) c WHERE n % 4 <> 3""",
+)
+def domain_records(spark, sf):
+    """A list with line breaks in quoted cells, in several files."""
+    path = scratch_path(spark, "records")
+    run_sql(spark, sf, RECORDS).repartitionByRange(3, "c_custkey").sortWithinPartitions("c_custkey").select("line").write.text(path)
+    return DL.read_domain_list(spark, path)
+
+
 @query(
     "global_position",
     "SELECT CAST(row_number() OVER (ORDER BY event_id) - 1 AS BIGINT) AS row_index, concat('e', CAST(event_id AS STRING)) AS line FROM events",

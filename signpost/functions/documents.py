@@ -60,6 +60,11 @@ def members(v: Column, names: list[str]) -> Column:
     return F.try_variant_get(v, "$", "struct<" + ",".join(f"`{n}`:variant" for n in names) + ">")
 
 
+def present(members: Column) -> Column:
+    """The members of a struct that are not null, by name, as variants."""
+    return F.map_filter(as_object(F.to_variant_object(members)), lambda _, v: kind(v) != "VOID")
+
+
 def objects(items: Column, names: list[str]) -> Column:
     """The named members of every object of a list; other items drop out."""
     return F.filter(F.transform(items, lambda v: members(v, names)), lambda m: m.isNotNull())

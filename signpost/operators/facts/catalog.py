@@ -11,7 +11,7 @@ from signpost.functions.lists import empty_strings, first_by_key, let, merge_ord
 from signpost.functions.stage import compute, spread
 from signpost.functions.text import strip
 from signpost.operators.candidates import amount_text
-from signpost.operators.facts.common import documents, finished, judged, truncated
+from signpost.operators.facts.common import because, documents, finished, judged, truncated, was_truncated
 
 
 PRODUCT = [
@@ -211,7 +211,8 @@ def product_facts(fetches: DataFrame) -> DataFrame:
         ],
         "Usable products catalog detected",
     )
-    return finished(verdict, F.col("_facts"))
+    noted = {"truncated": was_truncated(), "product_count": because(F.lit(0), "products list was empty")}
+    return finished(verdict, F.col("_facts"), rejected=noted)
 
 
 def tool_products(text: Column) -> Column:
@@ -271,4 +272,4 @@ def cart_facts(fetches: DataFrame) -> DataFrame:
         F.col("_requires_shipping").alias("requires_shipping"),
         F.when(D.as_string(F.col("_token")) != "", True).alias("has_token"),
     )
-    return finished(verdict, facts)
+    return finished(verdict, facts, rejected={"truncated": was_truncated()})

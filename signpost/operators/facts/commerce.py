@@ -11,7 +11,7 @@ from signpost.functions import text as T
 from signpost.functions import urls as U
 from signpost.functions.lists import empty_strings, first_by_key, let, merge_all, merge_ordered, non_empty, sorted_distinct
 from signpost.functions.stage import compute
-from signpost.operators.facts.common import finished, judged, starts_json, truncated
+from signpost.operators.facts.common import because, finished, judged, starts_json, truncated, was_truncated
 from signpost.operators.facts.contracts import doc_hints, has_key, m, parsed, top_keys
 from signpost.operators.facts.hints import hint_members, payment_hints, surface_of
 from signpost.operators.facts.observed import observed_members, with_observed
@@ -164,7 +164,12 @@ def commerce_facts(fetches: DataFrame) -> DataFrame:
         F.when(~F.col("_json"), F.char_length("text")).alias("char_count"),
         *observed_members(),
     )
-    return finished(hinted, facts)
+    noted = {
+        "top_level_keys": because(top_keys(), "commerce JSON lacked price or purchase-like keys"),
+        "item_count": because(F.size("_items"), "commerce list lacked price or purchase-like objects"),
+        "char_count": because(F.char_length("text"), "commerce text lacked pricing or purchase language"),
+    }
+    return finished(hinted, facts, rejected=noted)
 
 
 SERVICE = ["transport", "endpoint"]
@@ -213,13 +218,13 @@ def ucp_facts(fetches: DataFrame) -> DataFrame:
     current = F.when(F.col("_version").isNotNull(), T.blank_to_null(D.as_string(F.try_element_at(versions, F.col("_version")))))
     mcp = F.transform(F.filter("_shopping", lambda s: D.as_string(s["transport"]) == "mcp"), lambda s: D.as_string(s["endpoint"]))
     ids = F.filter(F.transform("_handlers", lambda h: D.text_at(h, "id")), lambda i: i != "")
+    facts_of = {
+        "ucp_version": F.col("_version"), "capability_count": F.size("_capabilities"), "service_count": F.col("_services"),
+        "payment_handler_count": F.size("_names"), "payment_handler_names": sorted_distinct(F.col("_names"), 12),
+    }
     facts = F.struct(
-        F.col("_version").alias("ucp_version"),
-        F.size("_capabilities").alias("capability_count"),
+        *[c.alias(n) for n, c in facts_of.items()],
         F.slice("_capabilities", 1, 12).alias("capability_names"),
-        F.col("_services").alias("service_count"),
-        F.size("_names").alias("payment_handler_count"),
-        sorted_distinct(F.col("_names"), 12).alias("payment_handler_names"),
         sorted_distinct(ids, 12).alias("payment_handler_ids"),
         sorted_distinct(endpoints, 6).alias("payment_endpoint_samples"),
         merge_ordered(empty_strings(), mcp, 8).alias("shopping_mcp_endpoints"),
@@ -227,4 +232,6 @@ def ucp_facts(fetches: DataFrame) -> DataFrame:
         *observed_members(),
         *hint_members(F.col("_hints")),
     )
-    return finished(hinted, facts)
+    shown = "UCP payload looked like a template or sandbox example"
+    noted = {"truncated": was_truncated()} | {n: because(facts_of[n], shown) for n in ("ucp_version", "capability_count", "service_count", "payment_handler_count", "payment_handler_names")}
+    return finished(hinted, facts, rejected=noted)

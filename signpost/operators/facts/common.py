@@ -28,11 +28,25 @@ def judged(df: DataFrame, rejections: list[tuple[Column, str | Column]], accepte
     ).drop("_reason")
 
 
-def finished(df: DataFrame, facts: Column, keep_invalid: bool = False) -> DataFrame:
-    """Attach the facts (of valid documents unless told otherwise) and drop the working columns."""
-    found = facts if keep_invalid else F.when(F.col("is_valid"), facts)
+def finished(df: DataFrame, facts: Column, keep_invalid: bool = False, rejected: dict[str, Column] | None = None) -> DataFrame:
+    """Attach the facts (of valid documents unless told otherwise) and drop the working columns.
+
+    `rejected` is what is noted of invalid documents; it becomes the struct `rejection`, null for valid ones.
+    """
+    found = [(facts if keep_invalid else F.when(F.col("is_valid"), facts)).alias("facts")]
+    if rejected:
+        found.append(F.when(~F.col("is_valid"), F.struct(*[c.alias(n) for n, c in rejected.items()])).alias("rejection"))
     kept = [c for c in df.columns if c not in ("text", "base", "headers") and not c.startswith("_")]
-    return df.select(*kept, found.alias("facts"))
+    return df.select(*kept, *found)
+
+
+def because(value: Column, *details: str) -> Column:
+    """A value noted of documents that are rejected for one of these reasons."""
+    return F.when(F.col("detail").isin(*details), value)
+
+
+def was_truncated() -> Column:
+    return F.when(F.col("truncated"), True)
 
 
 def truncated(noun: str) -> tuple[Column, Column]:

@@ -12,7 +12,7 @@ from signpost.functions import urls as U
 from signpost.functions.lists import empty_strings, let, merge_all, merge_ordered, non_empty, sorted_distinct
 from signpost.functions.stage import compute
 from signpost.operators.facts import actions as A
-from signpost.operators.facts.common import documents, finished, judged, starts_json, truncated
+from signpost.operators.facts.common import because, documents, finished, judged, starts_json, truncated, was_truncated
 from signpost.operators.facts.hints import HINT_NAMES, NO_HINTS, hint_members, payment_hints
 from signpost.operators.facts.observed import observed_members, with_observed
 from signpost.operators.facts.texts import title_of
@@ -181,7 +181,8 @@ def agent_facts(fetches: DataFrame) -> DataFrame:
         *observed_members(),
         *hint_members(F.col("_hints")),
     )
-    return finished(counted, facts)
+    noted = {"truncated": was_truncated(), "top_level_keys": because(top_keys(), "agent JSON lacked expected agent-like keys")}
+    return finished(counted, facts, rejected=noted)
 
 
 def _extension_basics(base: Column) -> Column:
@@ -227,7 +228,8 @@ def agents_facts(fetches: DataFrame) -> DataFrame:
         F.when(F.col("_keys").isNull(), "Agents/workflows list detected").otherwise("Agents/workflows JSON detected"),
     )
     seen = with_observed(verdict, "text", F.col("is_valid"))
-    return finished(seen, F.struct(count.alias("entry_count"), *observed_members()))
+    noted = {"truncated": was_truncated(), "top_level_keys": because(top_keys(), "agents JSON lacked agents/workflows style keys")}
+    return finished(seen, F.struct(count.alias("entry_count"), *observed_members()), rejected=noted)
 
 
 # ------------------------------------------------------------------ API descriptions
@@ -358,7 +360,7 @@ def openapi_facts(fetches: DataFrame) -> DataFrame:
         A.candidates_of(F.transform("_made", lambda x: x["candidate"])).alias("payment_probe_candidates"),
         *observed_members(),
     )
-    return finished(built, facts)
+    return finished(built, facts, rejected={"truncated": was_truncated()})
 
 
 # ------------------------------------------------------------------ x402 documents and payment probes
@@ -458,7 +460,14 @@ def _bazaar_basics(base: Column) -> Column:
 
 
 def x402_facts(fetches: DataFrame) -> DataFrame:
-    return finished(*_x402_stage(fetches))
+    probe_only = "x402 document looked like a probe/example, not a live payment surface"
+    with_keys = ["x402 JSON looked like a generic error response", "x402 JSON lacked structured payment evidence", probe_only, "x402 JSON lacked actionable payment surface"]
+    noted = {
+        "truncated": was_truncated(), "top_level_keys": because(top_keys(), *with_keys), "probe_only": because(F.lit(True), probe_only),
+        "item_count": because(F.size("_items"), "x402 list lacked structured payment objects"),
+        "char_count": because(F.char_length("text"), "x402 text lacked structured machine-readable evidence"),
+    }
+    return finished(*_x402_stage(fetches), rejected=noted)
 
 
 def _x402_stage(fetches: DataFrame) -> tuple[DataFrame, Column]:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from signpost import values as V
 from signpost.functions import text as T
 from signpost.functions import urls as U
+from signpost.functions.entities import unescape
 from signpost.functions.lists import merge_ordered, non_empty
 from signpost.functions.stage import compute
 from signpost.operators.facts.common import documents, finished, judged
@@ -23,34 +24,24 @@ IMAGE_META = [
     ("name", "twitter:image"), ("name", "twitter:image:src"), ("itemprop", "image"),
 ]
 NAMES = [name for _, name in IMAGE_META]
-# the entities that occur in attribute values and addresses
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&#x27;", "'"),
-            ("&#47;", "/"), ("&#x2F;", "/"), ("&nbsp;", " "), ("&#38;", "&"), ("&#x26;", "&"), ("&amp;", "&")]
 
 
 def title_of(text: Column) -> Column:
     return T.blank_to_null(T.collapse(F.regexp_extract(text, TITLE, 1)))
 
 
-def unescape(c: Column) -> Column:
-    out = c
-    for entity, char in ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return F.when(c.contains("&"), out).otherwise(c)
-
-
 def attributes(tag: Column) -> Column:
-    """(names, values) of a tag, in order."""
+    """(names, values) of a tag, in order; character references in values are resolved."""
     names = F.transform(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(1)), F.lower)
     raw = F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(2))
-    values = F.transform(raw, lambda v: F.regexp_replace(v, r"""^(["'])(.*)\1$""", "$2"))
+    values = F.transform(raw, lambda v: unescape(T.strip(F.regexp_replace(v, r"""(?s)^(["'])(.*)\1$""", "$2"))))
     return F.struct(names.alias("names"), values.alias("values"))
 
 
 def attribute(parsed: Column, name: str) -> Column:
     """Value of the first attribute of that name; empty when it is missing."""
     at = F.array_position(parsed["names"], name)
-    return F.coalesce(unescape(T.strip(F.try_element_at(parsed["values"], F.when(at > 0, at).cast("int")))), F.lit(""))
+    return F.coalesce(F.try_element_at(parsed["values"], F.when(at > 0, at).cast("int")), F.lit(""))
 
 
 def homepage_facts(fetches: DataFrame) -> DataFrame:
@@ -90,7 +81,7 @@ def homepage_facts(fetches: DataFrame) -> DataFrame:
     opened = compute(
         known,
         _links=F.filter(F.transform("_links", lambda x: x.withField("url", U.resolve_http(base, x["href"]))), lambda x: x["url"].isNotNull()),
-        _metas=F.filter(F.transform("_metas", lambda x: x.withField("url", U.resolve_http(base, unescape(x["content"])))), lambda x: x["url"].isNotNull()),
+        _metas=F.filter(F.transform("_metas", lambda x: x.withField("url", U.resolve_http(base, unescape(T.strip(x["content"]))))), lambda x: x["url"].isNotNull()),
     )
 
     def by_relation(name: str) -> Column:

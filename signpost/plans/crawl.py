@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signpost import values as V
+from signpost.functions import documents as D
 from signpost.operators import classify, outcomes, select
 from signpost.operators.facts.registry import VALIDATORS, Validator
 from signpost.session import prepare, scratch_path, stored
@@ -29,8 +30,13 @@ JOBS_AT_ONCE = 3
 
 
 def _judged(rows: DataFrame, validator: Validator) -> DataFrame:
-    """Undecided responses with the validator's verdict; bodies go."""
-    found = validator.job(rows.drop("status", "detail")).withColumn("facts", F.to_variant_object(F.col("facts")))
+    """Undecided responses with the validator's verdict and the facts, or what is noted of rejected ones; bodies go."""
+    found = validator.job(rows.drop("status", "detail"))
+    facts = F.to_variant_object(F.col("facts"))
+    if "rejection" in found.columns:
+        noted = D.present(F.col("rejection"))
+        facts = F.when(F.col("is_valid"), facts).when(F.size(noted) > 0, F.to_variant_object(noted))
+    found = found.withColumn("facts", facts)
     verdict = F.when(F.col("is_valid"), "valid").otherwise("invalid")
     return found.withColumn("verdict", verdict)
 

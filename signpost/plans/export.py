@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from signpost import values as V
 from signpost.operators import publish, rerun
-from signpost.session import cut, stored
+from signpost.session import child_names, cut, file_system, stored
 from signpost.sources import evidence as EV
 from signpost.sources.domain_list import read_domain_list
 from signpost.sources.receipts import read_receipts
@@ -51,6 +51,40 @@ def export_public(spark: SparkSession, receipts_path: str, positives: DataFrame,
     publish.site_index(rows).write.mode("overwrite").parquet(f"{output}/index")
 
 
+KEPT_KINDS = ["sitemaps"]  # fixed value: what an export that is not clean leaves in place
+
+
+def current_version(spark: SparkSession, output: str) -> str | None:
+    """The folder of the version readers should take, the one switched to last."""
+    names = child_names(spark, f"{output}/pointers")
+    return f"{output}/versions/{names[-1]}" if names else None
+
+
+def publish_version(
+    spark: SparkSession, receipts_path: str, positives: DataFrame, evidence: DataFrame, output: str, page_size: int = V.PAGE_SIZE, clean: bool = False, keep: int = 2,
+) -> str:
+    """Export into a folder of its own and switch to it last, so readers never see half an export.
+
+    The switch is one small file whose name is the version. An export that breaks leaves none and its folder is
+    written again by the next. Unless `clean`, documents of KEPT_KINDS that the new version does not
+    replace stay. The last `keep` versions are left for readers that still use them.
+    """
+    before = current_version(spark, output)
+    name = f"{int(before.rsplit('/', 1)[1]) + 1 if before else 1:06d}"
+    folder = f"{output}/versions/{name}"
+    export_public(spark, receipts_path, positives, evidence, folder, page_size)
+    if before and not clean:
+        documents = lambda version: spark.read.schema("key string, payload string, kind string").json(f"{version}/documents").where(F.col("kind").isin(*KEPT_KINDS))
+        stay = documents(before).join(documents(folder).select("key"), "key", "left_anti")
+        stored(stay, "stay").write.mode("append").partitionBy("kind").json(f"{folder}/documents")
+    system, pointer = file_system(spark, f"{output}/pointers/{name}")
+    system.create(pointer).close()
+    for old in child_names(spark, f"{output}/versions"):
+        if int(old) <= int(name) - keep:
+            system.delete(file_system(spark, f"{output}/versions/{old}")[1], True)
+    return folder
+
+
 def build_rerun_slice(spark: SparkSession, receipts_path: str, list_path: str, output: str, limit: int | None = None, **rules) -> DataFrame:
     """Write the rerun list and return the counts per selection rule."""
     hints = rerun.log_hints(read_receipts(spark, receipts_path, strict=False))

@@ -83,6 +83,18 @@ def ship_package(spark: SparkSession) -> None:
     sc._signpost_shipped = True
 
 
+def file_system(spark: SparkSession, path: str) -> tuple[object, object]:
+    """(file system, path) of Hadoop for a folder in any store Spark reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none if there is no such folder."""
+    system, place = file_system(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(place)) if system.exists(place) else []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/signpost-{uuid.uuid4().hex}/{name}"
 

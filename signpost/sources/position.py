@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from signpost.session import cut
 
 
-def _offsets(counts: DataFrame, order: list[str]) -> DataFrame:
+def offsets(counts: DataFrame, order: list[str]) -> DataFrame:
     """Rows before each split. `counts` has one row per split, never one per data row."""
     before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return counts.withColumn("rows_before", F.coalesce(F.sum("split_rows").over(before), F.lit(0)))
@@ -46,7 +46,7 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     splits = rows.groupBy("file", "block").agg(
         F.count(F.lit(1)).alias("split_rows"), F.min("seq").alias("first_seq")
     )
-    numbered = rows.join(_offsets(splits, ["file", "block"]), ["file", "block"])
+    numbered = rows.join(offsets(splits, ["file", "block"]), ["file", "block"])
     return numbered.select((F.col("rows_before") + F.col("seq") - F.col("first_seq")).alias("row_index"), "line")
 
 
@@ -61,6 +61,6 @@ def number_sorted(df: DataFrame, order: list[Column], name: str, partitions: int
     fixed = cut(ranged.sortWithinPartitions(*order))
     tagged = fixed.withColumn("_part", F.spark_partition_id()).withColumn("_seq", F.monotonically_increasing_id())
     parts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("split_rows"), F.min("_seq").alias("_first"))
-    joined = tagged.join(_offsets(parts, ["_part"]), "_part")
+    joined = tagged.join(offsets(parts, ["_part"]), "_part")
     position = F.col("rows_before") + F.col("_seq") - F.col("_first") + 1
     return joined.withColumn(name, position).drop("_part", "_seq", "_first", "rows_before", "split_rows")

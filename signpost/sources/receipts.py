@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from signpost import values as V
 from signpost.functions import documents as D
 from signpost.functions.stage import compute, spread
 from signpost.functions.text import strip
-from signpost.session import prepare
+from signpost.session import child_names, prepare, ship_package
 from signpost.sources.position import append_order, read_lines
 
 SHARD_RECORDS = 100_000
+SHARD_BYTES = 128 << 20
 
 
 def parse_receipt_lines(lines: DataFrame, strict: bool) -> DataFrame:
@@ -61,15 +67,56 @@ def probe_status(key: str) -> Column:
     return F.col(f"probes.{key}.status")
 
 
-def write_receipts(receipts: DataFrame, path: str, max_records: int = SHARD_RECORDS) -> None:
-    """Append compact JSON lines with sorted members. File sinks rotate by records, not by bytes.
-
-    Null members are left out of the text.
-    """
+def receipt_lines(receipts: DataFrame) -> DataFrame:
+    """(line): compact JSON with sorted members. Null members are written, probes a receipt does not have are not."""
     columns = sorted(c for c in receipts.columns if c in (
         "aggregates", "crawled_at", "domain", "label", "probes", "rank", "row_index", "tags", "title"))
-    line = F.to_json(F.struct(*columns)).alias("value")
-    receipts.select(line).write.mode("append").option("maxRecordsPerFile", max_records).text(path)
+    value = {c: F.col(c) for c in columns}
+    if "probes" in value and isinstance(receipts.schema["probes"].dataType, StructType):
+        cells = [x for k in sorted(receipts.schema["probes"].dataType.names) for x in (F.lit(k), F.col(f"probes.{k}"))]
+        value["probes"] = F.map_filter(F.create_map(*cells), lambda _, o: o.isNotNull())
+    return receipts.select(F.to_json(F.struct(*[c.alias(n) for n, c in value.items()]), {"ignoreNullFields": "false"}).alias("line"))
+
+
+def sharded(lines: DataFrame, run: int, max_records: int, max_bytes: int) -> DataFrame:
+    """(shard, seq, line): shards in the order of the rows; a new one starts where a line would go over a limit (0: none).
+
+    Every task fills shards of its own, so only a task's running count and size are held. A line longer
+    than `max_bytes` is a shard by itself.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute as pc
+        from pyspark import TaskContext
+
+        task, shard, records, size, seq = TaskContext.get().partitionId(), 0, 0, 0, 0
+        for batch in batches:
+            names = []
+            for length in pc.binary_length(batch.column(0)).to_pylist():
+                length += 1  # the line break
+                if records and ((max_records and records >= max_records) or (max_bytes and size + length > max_bytes)):
+                    shard, records, size = shard + 1, 0, 0
+                records, size = records + 1, size + length
+                names.append(f"{run:06d}-{task:06d}-{shard:06d}")
+            order = pa.array(range(seq, seq + len(names)), pa.int64())
+            seq += len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), order, batch.column(0)], names=["shard", "seq", "line"])
+
+    ship_package(lines.sparkSession)
+    return lines.mapInArrow(read, "shard string, seq long, line string")
+
+
+def write_receipts(receipts: DataFrame, path: str, max_records: int = SHARD_RECORDS, max_bytes: int = SHARD_BYTES) -> None:
+    """Append receipts as NDJSON shards, one file each, rotated by records and by bytes; their names keep the append order."""
+    run = next_run(receipts.sparkSession, path)
+    rows = sharded(receipt_lines(receipts), run, max_records, max_bytes).sortWithinPartitions("shard", "seq")
+    rows.select("shard", F.col("line").alias("value")).write.mode("append").partitionBy("shard").text(path)
+
+
+def next_run(spark: SparkSession, path: str) -> int:
+    """One more than the last run that wrote shards under `path`."""
+    names = child_names(spark, path)
+    return 1 + max((int(n[6:12]) for n in names if re.fullmatch(r"shard=\d{6}-\d{6}-\d{6}", n)), default=-1)
 
 
 def seen_domains(receipts: DataFrame) -> DataFrame:

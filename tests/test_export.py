@@ -1,10 +1,11 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from driver_queries.receipts import evidence, positives_of, receipt_lines
-from signpost.plans.export import build_rerun_slice, export_public
-from signpost.session import scratch_path
+from signpost.plans.export import build_rerun_slice, current_version, export_public, publish_version
+from signpost.session import child_names, scratch_path
 
 
 def test_export_and_rerun(spark, sf):
@@ -40,3 +41,26 @@ def test_export_and_rerun(spark, sf):
     lines = [r.value for r in spark.read.text(rerun).collect()]
     assert set(counts) == {"label", "hints"} and 0 < len(lines) <= 40
     assert all(line.startswith(",") == (names.index(line.split(",")[1]) % 2 == 0) for line in lines)
+
+
+def test_versions_are_switched_last(spark, sf):
+    log, out = scratch_path(spark, "receipts"), scratch_path(spark, "public")
+    receipt_lines(spark, sf).repartitionByRange(3, "pos").sortWithinPartitions("pos").select("line").write.text(log)
+    positives, found = positives_of(spark, sf), evidence(spark, sf)
+    assert current_version(spark, out) is None
+    keys = lambda version, kind: {r.key for r in spark.read.json(f"{version}/documents").where(F.col("kind") == kind).collect()}
+    first = publish_version(spark, log, positives, found, out, page_size=10)
+    assert current_version(spark, out) == first
+    maps, details = keys(first, "sitemaps"), keys(first, "receipts")
+    none = positives.limit(0)
+    second = publish_version(spark, log, none, found, out, page_size=10)
+    # without positives nothing is public: pages and details go, the sitemaps of before stay
+    assert current_version(spark, out) == second != first
+    assert maps and maps <= keys(second, "sitemaps") and details and not keys(second, "receipts")
+    third = publish_version(spark, log, none, found, out, page_size=10, clean=True)
+    assert not maps & keys(third, "sitemaps")
+    assert child_names(spark, f"{out}/versions") == ["000002", "000003"]
+    # an export that breaks before the switch changes nothing for readers
+    with pytest.raises(Exception):
+        publish_version(spark, log + "-missing", none, found, out)
+    assert current_version(spark, out) == third

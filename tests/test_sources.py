@@ -1,3 +1,8 @@
+import csv
+import io
+import os
+import random
+
 from pyspark.sql import functions as F
 import pytest
 
@@ -79,3 +84,68 @@ def test_body_limits_and_headers(spark):
     df = spark.createDataFrame([({"X-A ": " 1 ", "x-a": "2", "": "z"},)], "h map<string,string>")
     assert df.select(clean_headers(F.col("h")).alias("h")).first().h == {"x-a": "2"}
     assert limit_bodies(spark.createDataFrame([("robots_txt", None)], "probe_key string, body binary")).first().byte_count == 0
+
+
+CELLS = ["a.example", "", "7", '"b.example"', '"two\nlines"', '"a ""quoted"" word"', '"comma, and\nbreak\n\nand more"', 'plain"quote', '"closed"tail', '""', '"""start\n"""', " spaced ", '"x\n"tail']
+
+
+def csv_rows(path):
+    with open(path, newline="", encoding="utf-8") as f:
+        return list(csv.reader(f))
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("split", [40, 100_000])
+def test_records_with_line_breaks_equal_a_csv_reader(spark, tmp_path, seed, split):
+    draw = random.Random(seed)
+    want = []
+    for k in range(3):
+        rows = [",".join(draw.choice(CELLS) for _ in range(draw.randint(1, 4))) for _ in range(30)]
+        text = "\n".join(rows) + "\n"
+        if k == 2 and seed == 3:
+            text += '9,"never closed\nrest of the file\n'
+        (tmp_path / f"{k}.csv").write_text(text, encoding="utf-8")
+        want += csv_rows(tmp_path / f"{k}.csv")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        got = sorted((r.row_index, r.line) for r in DL.records(P.read_lines(spark, str(tmp_path))).collect())
+        assert [i for i, _ in got] == list(range(len(want)))
+        for (_, line), cells in zip(got, want, strict=True):
+            assert next(csv.reader(io.StringIO(line, newline="")), [])[:2] == [c.rstrip("\n") if "never" in c else c for c in cells[:2]]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_record_without_an_end_is_cut(spark, tmp_path):
+    (tmp_path / "list.csv").write_text('1,a.example\n2,"open\n' + "line\n" * 60_000, encoding="utf-8")
+    rows = {r.row_index: r.line for r in DL.records(P.read_lines(spark, str(tmp_path))).collect()}
+    assert set(rows) == {0, 1} and len(rows[1]) <= DL.FIELD_LIMIT and rows[1].startswith('2,"open\nline\nline')
+
+
+def test_shards_rotate_by_bytes_and_records(spark):
+    rows = [(i, f"d{i}.example", "x" * (i * 37 % 300)) for i in range(400)]
+    kept = spark.createDataFrame(rows, "row_index long, domain string, title string").coalesce(1)
+    lines = [r.line for r in R.receipt_lines(kept).collect()]
+    path = scratch_path(spark, "shards")
+    R.write_receipts(kept, path, max_records=9, max_bytes=1500)
+    want, size = [[]], 0
+    for line in lines:
+        if want[-1] and (len(want[-1]) == 9 or size + len(line) + 1 > 1500):
+            want, size = [*want, []], 0
+        want[-1].append(line)
+        size += len(line) + 1
+    local = path.removeprefix("file:")
+    shards = sorted(os.listdir(local))
+    files = [[os.path.join(local, s, f) for f in sorted(os.listdir(os.path.join(local, s))) if f.startswith("part-")] for s in shards if s.startswith("shard=")]
+    assert all(len(f) == 1 for f in files)
+    assert [open(f[0], encoding="utf-8").read().splitlines() for f in files] == want
+    assert [r.row_index for r in R.read_receipts(spark, path).orderBy("pos").collect()] == list(range(400))
+    R.write_receipts(kept.where("row_index < 3"), path, max_bytes=1)  # a later run comes after; a long line is a shard of its own
+    again = R.read_receipts(spark, path).orderBy("pos").collect()
+    assert [r.row_index for r in again] == [*range(400), 0, 1, 2] and len(os.listdir(local)) == len(shards) + 3
+
+
+def test_null_members_are_written(spark):
+    rows = spark.createDataFrame([("a.example", None, ({"status": "valid", "http_status": None}, None))], "domain string, rank int, probes struct<robots_txt:struct<status:string,http_status:int>,llms_txt:struct<status:string,http_status:int>>")
+    assert [r.line for r in R.receipt_lines(rows).collect()] == ['{"domain":"a.example","probes":{"robots_txt":{"status":"valid","http_status":null}},"rank":null}']
