@@ -85,30 +85,32 @@ def status_ladder(spark, sf):
     return outcomes_from_fetches(crawl_fetches(spark, sf)).groupBy("probe_key", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
-# one pass over each domain, so the attempt is not at stake: the last capture of each probe counts
+# the last capture of each probe counts; of several attempts the one with the best label, then more valid, fewer limited probes, then the earlier
 LAST_PROBES = f"""
-SELECT domain, probe_key, arg_max(status, fetched) AS status, max(fetched) AS fetched FROM ({CRAWL_OUTCOMES}) o WHERE attempt = 1 GROUP BY ALL
+SELECT domain, attempt, probe_key, arg_max(status, fetched) AS status, max(fetched) AS fetched FROM ({CRAWL_OUTCOMES}) o GROUP BY ALL
 """
-CRAWL_RECEIPTS = f"""
-SELECT domain, CAST(max(fetched) AS BIGINT) AS crawled, count(*) FILTER (WHERE status = 'valid') AS valid_count, count(*) FILTER (WHERE status = 'rate_limited') AS rate_limited_count,
+_HAS = "bool_or(probe_key = '{0}' AND status = 'valid')"
+ATTEMPTS = f"""
+SELECT domain, attempt, CAST(max(fetched) AS BIGINT) AS crawled, count(*) FILTER (WHERE status = 'valid') AS valid_count, count(*) FILTER (WHERE status = 'rate_limited') AS rate_limited_count,
        17 - count(*) AS skipped_count,
-       coalesce(bool_or(status = 'valid') FILTER (WHERE probe_key IN ('llms_txt', 'well_known_commerce', 'openapi_json', 'x402_json', 'products_json')), false) AS is_interesting
-FROM ({LAST_PROBES}) p GROUP BY domain
+       coalesce(bool_or(status = 'valid') FILTER (WHERE probe_key IN ('llms_txt', 'well_known_commerce', 'openapi_json', 'x402_json', 'products_json')), false) AS is_interesting,
+       CASE WHEN {_HAS.format('x402_json')} THEN 8 WHEN {_HAS.format('well_known_commerce')} THEN 7 WHEN {_HAS.format('openapi_json')} THEN 6 WHEN {_HAS.format('products_json')} THEN 5
+            WHEN {_HAS.format('llms_txt')} THEN 4 WHEN bool_or(status = 'rate_limited') THEN 3 WHEN bool_or(probe_key = 'homepage' AND status = 'error') THEN 0
+            WHEN {_HAS.format('robots_txt')} AND {_HAS.format('sitemap_xml')} THEN 2 ELSE 1 END AS priority
+FROM ({LAST_PROBES}) p GROUP BY domain, attempt
 """
-
-
-def first_pass(spark, sf) -> DataFrame:
-    return crawl_fetches(spark, sf).where("attempt = 1")
+BEST_ATTEMPTS = f"SELECT * FROM ({ATTEMPTS}) a QUALIFY row_number() OVER (PARTITION BY domain ORDER BY priority DESC, valid_count DESC, rate_limited_count, attempt) = 1"
+CRAWL_RECEIPTS = f"SELECT domain, CAST(attempt AS INT) AS attempt, crawled, valid_count, rate_limited_count, skipped_count, is_interesting FROM ({BEST_ATTEMPTS}) b"
 
 
 @query("crawl_receipts", CRAWL_RECEIPTS)
 def crawl_receipts(spark, sf):
-    receipts = receipts_from_fetches(first_pass(spark, sf))
+    receipts = receipts_from_fetches(crawl_fetches(spark, sf))
     skipped = F.size(F.filter(F.array("probes.*"), lambda p: p["status"] == "skipped"))
     from signpost.plans.crawl import with_signal
 
     return with_signal(receipts).select(
-        "domain", F.unix_micros(F.to_timestamp("crawled_at")).alias("crawled"), F.col("valid_count").cast("bigint").alias("valid_count"),
+        "domain", F.col("attempt").cast("int").alias("attempt"), F.unix_micros(F.to_timestamp("crawled_at")).alias("crawled"), F.col("valid_count").cast("bigint").alias("valid_count"),
         F.col("rate_limited_count").cast("bigint").alias("rate_limited_count"), skipped.cast("bigint").alias("skipped_count"), "is_interesting")
 
 
@@ -125,12 +127,12 @@ def crawl_retries(spark, sf):
 
 @query(
     "crawl_to_export",
-    f"""SELECT domain, is_interesting AS has_detail, CASE WHEN is_interesting AND EXISTS (SELECT 1 FROM ({LAST_PROBES}) p WHERE p.domain = r.domain AND probe_key = 'llms_txt' AND status = 'valid')
+    f"""SELECT domain, is_interesting AS has_detail, CASE WHEN is_interesting AND EXISTS (SELECT 1 FROM ({LAST_PROBES}) p WHERE p.domain = r.domain AND p.attempt = r.attempt AND probe_key = 'llms_txt' AND status = 'valid')
              THEN 6 END::BIGINT AS llms_bytes FROM ({CRAWL_RECEIPTS}) r""",
 )
 def crawl_to_export(spark, sf):
     """Fetch log to receipt log, positives, evidence and the published index, through files all the way."""
-    fetches = first_pass(spark, sf)
+    fetches = crawl_fetches(spark, sf)
     log, out = scratch_path(spark, "receipts"), scratch_path(spark, "public")
     receipts = stored(receipts_from_fetches(fetches), "receipts-of-crawl")
     R.write_receipts(receipts, log)
@@ -206,7 +208,7 @@ def rejected_facts(spark, sf):
 def receipt_sink(spark, sf):
     """Receipts written as a log and read again."""
     path = scratch_path(spark, "receipts")
-    R.write_receipts(receipts_from_fetches(first_pass(spark, sf)), path, max_records=20)
+    R.write_receipts(receipts_from_fetches(crawl_fetches(spark, sf)), path, max_records=20)
     valid = F.size(F.filter(F.array("probes.*"), lambda p: p["status"] == "valid"))
     return R.read_receipts(spark, path).select("domain", valid.cast("bigint").alias("valid_count"))
 
