@@ -60,7 +60,7 @@ class Encoder(dict):
     spells a special token gets that token's id there, as the library does by default; without, it is ordinary text.
     """
 
-    BYTES = 64 << 20
+    BYTES = 96 << 20
     LIMIT = 700_000  # chunks of a half
 
     def __init__(self, tokenizer_file: str, special: bool = False) -> None:
