@@ -286,10 +286,11 @@ def templates(read: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MI
 
     Pages of a host with the same main text count once, so copies of an article make no template.
     """
-    seen = read.groupBy("host", F.xxhash64("lines").alias("text")).agg(F.min("subtrees").alias("subtrees"))
-    seen = cut(seen)
-    totals = seen.groupBy("host").agg(F.count(F.lit(1)).alias("_all"))
-    found = seen.select("host", F.explode(F.array_distinct("subtrees")).alias("subtree"))
+    text = F.xxhash64("lines").alias("text")
+    # one row for each main text and markup of it: pages of equal text may have other subtrees
+    seen = cut(read.groupBy("host", text, F.xxhash64("subtrees").alias("markup")).agg(F.first("subtrees").alias("subtrees")))
+    totals = seen.select("host", "text").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("_all"))
+    found = seen.select("host", "text", F.explode(F.array_distinct("subtrees")).alias("subtree")).distinct()
     counts = found.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("_pages")).filter(F.col("_pages") >= min_pages)
     return counts.join(totals, "host").filter(F.col("_pages") >= min_share * F.col("_all")).select("subtree")
 
@@ -324,8 +325,9 @@ def _marked(read: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _marked_by_join(read: DataFrame, found: DataFrame) -> DataFrame:
-    """The same without sending the templates: joined to the subtrees, and the hits to the pages by host and text."""
-    keyed = read.withColumn("_key", F.sha2(F.concat_ws("\n", "host", "lines"), 256))
+    """The same without sending the templates: joined to the subtrees, and the hits to the pages by host, text and markup."""
+    markup = F.to_json(F.struct("firsts", "lasts", "subtrees"))
+    keyed = read.withColumn("_key", F.sha2(F.concat_ws("\n", "host", "lines", markup), 256))
     spots = keyed.select("_key", F.inline(F.arrays_zip("firsts", "lasts", "subtrees"))).distinct()
     gone = spots.join(found, F.col("subtrees") == F.col("subtree")).groupBy("_key").agg(
         F.flatten(F.collect_list(F.sequence("firsts", "lasts"))).alias("_gone"))

@@ -80,3 +80,18 @@ def test_templates_of_a_host_go(spark, sent):
         elif host == "copy":
             assert r.text == "same story on every page of it and its end"
     assert main_text(pages.limit(0), sent=sent).collect() == []
+
+
+def test_equal_texts_under_two_markups_are_judged_by_their_own_subtrees(spark):
+    """60 pages of a host, 20 texts in two markups; only one of them has the box that stands on all other pages."""
+    box = "<section><b>Read</b> our offer of the week</section>"
+    plain = "<p>Read our offer of the week</p>"
+    rows = []
+    for i in range(60):
+        text = f"<p>Story number {i if i < 40 else i - 20} has words of its own, and more of them than the box</p>"
+        rows.append((i, f"https://h.example/{i}", f"<html><body><article>{text}{box if i < 40 else plain}</article></body></html>"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    sent = {r.page_id: r.text for r in main_text(pages).collect()}
+    joined = {r.page_id: r.text for r in main_text(pages, sent=0).collect()}
+    assert sent == joined
+    assert all(("offer" in sent[i]) == ("offer" in sent[40]) for i in range(40, 60)) and not any("offer" in sent[i] for i in range(40))
