@@ -10,7 +10,7 @@ from driver_queries.crawl import CRAWL_OUTCOMES, crawl_columns, crawl_fetches
 from driver_queries.receipts import LAST_STATE
 from signpost.operators import outcomes
 from signpost.session import scratch_path
-from signpost.streaming import jobs
+from signpost.streaming import jobs, state
 
 
 def streamed(spark, sf, sql, files: int = 1) -> DataFrame:
@@ -83,6 +83,19 @@ def stream_positives(spark, sf):
     return jobs.read_positives(spark, state).select("domain", "pos", "label")
 
 
+@query("stream_positive_state", f"SELECT l.domain, l.last_pos AS pos, r.label FROM ({LAST_STATE}) l JOIN ({RECEIPT_LOG}) r ON r.pos = l.last_pos WHERE l.keep")
+def stream_positive_state(spark, sf):
+    """The stream is stopped after half of the log, the later half first, and started again on its checkpoint."""
+    path, progress = scratch_path(spark, "input"), scratch_path(spark, "progress")
+    rows = run_sql(spark, sf, RECEIPT_LOG).select("domain", F.col("pos").cast("long").alias("pos"), "label", "is_interesting")
+    half = rows.agg(F.max("pos")).first()[0] // 2
+    for part in (rows.where(F.col("pos") > half), rows.where(F.col("pos") <= half)):
+        part.coalesce(2).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        state.keep_positive_state(stream, progress).awaitTermination()
+    return state.read_positive_state(spark, progress).select("domain", "pos", "label")
+
+
 @query(
     "stream_unseen",
     """SELECT DISTINCT concat('site', user_id, '.example') AS domain FROM events WHERE concat('site', user_id, '.example') NOT IN
