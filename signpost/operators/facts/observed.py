@@ -7,6 +7,7 @@ their paths; which of them mean what is decided by path rules in Spark.
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from signpost import values as V
+from signpost.functions.lists import let
 from signpost.functions.stage import compute
 
 STEP = "\x1f"
@@ -83,6 +85,13 @@ RULES = [
     ("observed_payment_handler_names", rf"^(?:.*{CONTEXT}handlers|.*{STEP}payment_handlers)(?:{ENTRY}|{STEP}\{{\}}$)", False),
     ("observed_capability_names", rf"{ANYWHERE}capabilities{STEP}(?:\{{(?:named)?\}}|\[[12]?\d\](?:{STEP}(?:name|id))?)$", False),
 ]
+# what one of stands in every path that the fact's pattern fits
+NEEDED = {
+    "observed_payment_protocols": [f"{STEP}protocol"], "observed_payment_methods": ["_methods"], "observed_payment_assets": [f"{STEP}assets", "_assets", f"{STEP}currencies"],
+    "observed_payment_networks": [f"{STEP}networks", "_networks"], "observed_payment_requirement_keys": [f"{STEP}requirements{STEP}"],
+    "observed_payment_flow_types": [f"{STEP}flow{STEP}type"], "observed_payment_providers": [f"{STEP}providers{STEP}", "_providers" + STEP],
+    "observed_payment_handler_names": [f"{STEP}handlers{STEP}", "_handlers" + STEP], "observed_capability_names": [f"{STEP}capabilities{STEP}"],
+}
 ROLES = {
     "observed_catalog_endpoints": ["catalog"],
     "observed_quote_endpoints": ["quote"],
@@ -102,17 +111,21 @@ def _best_named(nodes: Column, names: list[str]) -> Column:
     def rank(n: Column) -> Column:
         return F.array_position(F.array(*[F.lit(x) for x in names]), n["name"])
 
-    return F.filter(
-        nodes, lambda n: (rank(n) == 0) | ~F.exists(nodes, lambda m: (_parent(m) == _parent(n)) & (rank(m) > 0) & (rank(m) < rank(n)))
-    )
+    def best(hits: Column) -> Column:
+        return F.filter(hits, lambda n: (rank(n) == 0) | ~F.exists(hits, lambda m: (rank(m) > 0) & (rank(m) < rank(n)) & (_parent(m) == _parent(n))))
+
+    return let(nodes, best)
 
 
 def observed_values(nodes: Column) -> Column:
-    """(fact_key, values) per fact, in document order, not yet merged."""
-    filled = nodes
+    """(fact_key, values) per fact, in document order, not yet merged. A pattern is tried only on paths that hold what it needs."""
+
+    def matching(pattern: str, needed: list[str]) -> Column:
+        near = lambda n: reduce(lambda a, b: a | b, [n["path"].contains(x) for x in needed])
+        return F.filter(nodes, lambda n: near(n) & n["path"].rlike(pattern))
 
     def by_rule(fact: str, pattern: str, upper: bool) -> Column:
-        hits = F.filter(filled, lambda n: n["path"].rlike(pattern))
+        hits = matching(pattern, NEEDED[fact])
         if fact == "observed_capability_names":
             hits = _best_named(hits, ["name", "id"])
         found = F.transform(hits, lambda n: F.upper(n["value"]) if upper else n["value"])
@@ -121,7 +134,7 @@ def observed_values(nodes: Column) -> Column:
     def by_role(fact: str, roles: list[str]) -> Column:
         role = "|".join(roles)
         pattern = rf"{ANYWHERE}endpoints{STEP}(?:{role})(?:{STEP}(?:{'|'.join(ADDRESS_NAMES)}))?$"
-        hits = _best_named(F.filter(filled, lambda n: n["path"].rlike(pattern)), ADDRESS_NAMES)
+        hits = _best_named(matching(pattern, [f"{STEP}endpoints{STEP}"]), ADDRESS_NAMES)
         return F.struct(F.lit(fact).alias("fact_key"), F.transform(hits, lambda n: n["value"]).alias("values"))
 
     return F.array(*[by_rule(*r) for r in RULES], *[by_role(f, r) for f, r in ROLES.items()])

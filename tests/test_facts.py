@@ -193,3 +193,13 @@ def test_observed_walk(spark):
         (2, "observed_payment_assets"): ["USDC"], (2, "observed_payment_networks"): ["n1", "n2"],
         (2, "observed_payment_handler_names"): ["h"], (2, "observed_payment_protocols"): ["X"],
     }
+
+
+def test_observed_patterns_are_tried_once(spark):
+    rules = len(observed.RULES) + len(observed.ROLES)
+    assert str(observed.observed_values(F.col("n"))).lower().count("rlike") == rules
+    text = '{"capabilities":[{"id":"i","name":"n"},{"id":"k"}],"payment":{"x":{"supported_assets":["usd"]}},"endpoints":{"quote":{"path":"/p","href":"/h"}},"data":{"payment_handlers":{"h":{"name":"W"},"k":1}}}'
+    rows = observed.observed_rows(spark.createDataFrame([(1, text)], "id int, text string"), ["id"])
+    assert {(r.fact_key, r.value) for r in rows.collect()} == {
+        ("observed_capability_names", "n"), ("observed_capability_names", "k"), ("observed_payment_assets", "USD"), ("observed_quote_endpoints", "/h"),
+        ("observed_payment_handler_names", "W"), ("observed_payment_handler_names", "k")}
