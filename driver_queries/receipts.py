@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driver_queries.base import FETCH_LOG, RECEIPT_LOG, STATUS_OF_FETCH, query, run_sql, table
+from driver_queries.base import FETCH_LOG, RECEIPT_LOG, STATUS_OF_FETCH, query, run_sql, spread_out, table
 from signpost import values as V
 from signpost.operators import counters, publish, rerun, scoring, select
 from signpost.session import scratch_path
@@ -162,7 +162,7 @@ def receipt_lines(spark: SparkSession, sf: str) -> DataFrame:
             aggregates.alias("aggregates"), probes.alias("probes"),
         )
     )
-    return receipt_rows(spark, sf).select("pos", line.alias("line"))
+    return spread_out(receipt_rows(spark, sf)).select("pos", line.alias("line"))
 
 
 def receipt_log(spark: SparkSession, sf: str) -> DataFrame:

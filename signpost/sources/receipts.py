@@ -12,13 +12,18 @@ from pyspark.sql.types import StructType
 
 from signpost import values as V
 from signpost.functions import documents as D
-from signpost.functions.stage import compute, spread
+from signpost.functions.stage import compute
 from signpost.functions.text import strip
 from signpost.session import child_names, prepare, ship_package
 from signpost.sources.position import append_order, read_lines
 
 SHARD_RECORDS = 100_000
 SHARD_BYTES = 128 << 20
+_OUTCOME = ",".join(f"`{n}`:variant" for n in V.OUTCOME_MEMBERS)
+# a line's members down to those of its probes, taken in one look; objects of another type are null
+LINE_MEMBERS = "struct<" + ",".join([
+    *[f"{n}:variant" for n in ("domain", "rank", "row_index", "crawled_at", "label", "tags", "title", "aggregates")],
+    "probes:struct<" + ",".join(f"`{k}`:struct<{_OUTCOME}>" for k in V.PROBE_ORDER) + ">"]) + ">"
 
 
 def parse_receipt_lines(lines: DataFrame, strict: bool) -> DataFrame:
@@ -29,32 +34,33 @@ def parse_receipt_lines(lines: DataFrame, strict: bool) -> DataFrame:
     type is null (or read as what it says, like a status in quotes) and takes no other with it.
     """
     kept = compute(lines, ["pos"], line=strip(F.col("line"))).where("line <> ''")
-    read = compute(kept, ["pos", "line"], receipt=D.value_of(F.col("line")))
-    is_object = F.coalesce(D.kind(F.col("receipt")).startswith("OBJECT"), F.lit(False))
+    read = compute(kept, ["pos", "line"], value=D.value_of(F.col("line")))
+    read = compute(read, ["pos", "line"], receipt=F.try_variant_get("value", "$", LINE_MEMBERS))
+    is_object = F.col("receipt").isNotNull()
     if strict:
         broken = F.concat(F.lit("a line of the receipt log is no JSON object: "), F.substring("line", 1, 200))
         read = read.where(F.when(is_object, F.lit(True)).otherwise(F.raise_error(broken).cast("boolean")))
     else:
         read = read.where(is_object)
-    return spread(read, ["pos"], _receipt(F.col("receipt")))
+    return read.select("pos", *_receipt(F.col("receipt")))
 
 
-def _receipt(line: Column) -> Column:
-    """The columns of RECEIPT_LINE from a line's object."""
+def _receipt(line: Column) -> list[Column]:
+    """The columns of RECEIPT_LINE from a line's members; those a query does not use are not built."""
     whole = lambda v: F.coalesce(D.as_whole(v), F.try_variant_get(v, "$", "bigint"))
 
     def outcome(key: str) -> Column:
-        o = D.members(D.get(D.get(line, "probes"), key), V.OUTCOME_MEMBERS)
+        o = line["probes"][key]
         typed = {n: whole(o[n]) if n in ("http_status", "byte_count") else D.as_string(o[n]) for n in V.OUTCOME_MEMBERS if n != "facts"}
         typed["http_status"] = typed["http_status"].try_cast("int")
         return F.when(o.isNotNull(), F.struct(*[c.alias(n) for n, c in typed.items()], o["facts"].alias("facts")))
 
-    return F.struct(
-        D.as_string(D.get(line, "domain")).alias("domain"), D.get(line, "rank").alias("rank"), whole(D.get(line, "row_index")).alias("row_index"),
-        D.get(line, "crawled_at").alias("crawled_at"), D.as_string(D.get(line, "label")).alias("label"),
-        *[D.get(line, n).alias(n) for n in ("tags", "title", "aggregates")],
+    return [
+        D.as_string(line["domain"]).alias("domain"), line["rank"].alias("rank"), whole(line["row_index"]).alias("row_index"),
+        line["crawled_at"].alias("crawled_at"), D.as_string(line["label"]).alias("label"),
+        *[line[n].alias(n) for n in ("tags", "title", "aggregates")],
         F.struct(*[outcome(k).alias(k) for k in V.PROBE_ORDER]).alias("probes"),
-    )
+    ]
 
 
 def read_receipts(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:

@@ -149,3 +149,15 @@ def test_shards_rotate_by_bytes_and_records(spark):
 def test_null_members_are_written(spark):
     rows = spark.createDataFrame([("a.example", None, ({"status": "valid", "http_status": None}, None))], "domain string, rank int, probes struct<robots_txt:struct<status:string,http_status:int>,llms_txt:struct<status:string,http_status:int>>")
     assert [r.line for r in R.receipt_lines(rows).collect()] == ['{"domain":"a.example","probes":{"robots_txt":{"status":"valid","http_status":null}},"rank":null}']
+
+
+def test_only_used_members_of_receipts_are_built(spark):
+    line = '{"domain":"a.b","rank":1,"rank":2,"probes":{"llms_txt":{"status":"valid","http_status":"200"},"robots_txt":[1],"homepage":{}}}'
+    lines = spark.createDataFrame([(0, line), (1, '{"domain":5,"probes":7}'), (2, "[]"), (3, "{} {}")], "pos long, line string")
+    rows = R.parse_receipt_lines(lines, strict=False)
+    found = rows.select(
+        "pos", "domain", F.try_variant_get("rank", "$", "int"), "probes.llms_txt.status", "probes.llms_txt.http_status", F.col("probes.robots_txt").isNull(),
+        F.col("probes.homepage").isNull(), F.col("probes").isNull())
+    assert [tuple(r) for r in found.orderBy("pos").collect()] == [(0, "a.b", 2, "valid", 200, True, False, False), (1, None, None, None, None, True, True, False)]
+    plan = rows.select("pos", "domain")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.splitlines()[0].count("schema_of_variant") == 1, plan  # typed columns come in the last projection, so unused ones go
