@@ -159,5 +159,5 @@ def test_only_used_members_of_receipts_are_built(spark):
         "pos", "domain", F.try_variant_get("rank", "$", "int"), "probes.llms_txt.status", "probes.llms_txt.http_status", F.col("probes.robots_txt").isNull(),
         F.col("probes.homepage").isNull(), F.col("probes").isNull())
     assert [tuple(r) for r in found.orderBy("pos").collect()] == [(0, "a.b", 2, "valid", 200, True, False, False), (1, None, None, None, None, True, True, False)]
-    plan = rows.select("pos", "domain")._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.splitlines()[0].count("schema_of_variant") == 1, plan  # typed columns come in the last projection, so unused ones go
+    # what a query does not use goes: no outcome is typed for a list of domains
+    assert "body_sha256 AS" not in (plan := rows.select("pos", "domain")._jdf.queryExecution().optimizedPlan().toString()) and "_packed" not in plan.split("Filter")[0], plan
