@@ -3,6 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from signpost import values as V
 from signpost.operators import outcomes as O
 from signpost.operators.facts.registry import VALIDATORS, register_fact_job
 from signpost.plans.crawl import outcomes_from_fetches, receipts_from_outcomes
@@ -51,6 +52,14 @@ def test_soft404(spark):
     assert got == {"same": "fallback", "large": None, "kind": None, "other": None}
 
 
+def test_cut_control_matches_no_page(spark):
+    limit, rows = V.CONTROL_MAX_BYTES, []
+    for domain, more in [("equal", b""), ("longer", b"!")]:
+        rows.append({"domain": domain, "probe_key": "robots_txt", "body": b"x" * limit})
+        rows.append({"domain": domain, "probe_key": "control:text", "body": b"x" * limit + more})
+    assert {r.domain: r.status for r in ladder(spark, *rows).collect()} == {"equal": "fallback", "longer": None}
+
+
 @pytest.mark.parametrize("value,seconds", [
     ("120", 120), (" 5 ", 5), ("Mon, 01 Jan 2024 00:01:40 GMT", 100), ("Sun, 31 Dec 2023 00:00:00 GMT", 0),
     ("Mon, 01 Jan 2024 01:00:30 +0100", 30), ("Mon, 01 Jan 2024 00:01:40", None), ("soon", None), ("", None), (None, None),
