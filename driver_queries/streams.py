@@ -89,9 +89,10 @@ def stream_positive_state(spark, sf):
     path, progress = scratch_path(spark, "input"), scratch_path(spark, "progress")
     rows = run_sql(spark, sf, RECEIPT_LOG).select("domain", F.col("pos").cast("long").alias("pos"), "label", "is_interesting")
     half = rows.agg(F.max("pos")).first()[0] // 2
+    files = spark.sparkContext.defaultParallelism
     for part in (rows.where(F.col("pos") > half), rows.where(F.col("pos") <= half)):
-        part.coalesce(2).write.mode("append").parquet(path)
-        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        part.repartition(2 * files).write.mode("append").parquet(path)  # two batches, read by all cores
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
         state.keep_positive_state(stream, progress).awaitTermination()
     return state.read_positive_state(spark, progress).select("domain", "pos", "label")
 

@@ -1,6 +1,9 @@
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from signpost.session import child_names, scratch_path
 from signpost.streaming import jobs, state
@@ -55,3 +58,17 @@ def test_positive_state_keeps_the_last_receipt(spark):
         got = state.read_positive_state(spark, progress).collect()
         assert {(r.domain, r.pos) for r in got} == expected
     assert {r.label for r in got} == {"y", "back"}
+
+
+def test_positive_state_takes_plain_rows():
+    """No frame is made per domain: that cost more than the state."""
+    kept = StructType.fromDDL("pos long, label string, is_interesting boolean")
+    last = state.LastReceipt(kept, "is_interesting")
+    stored = []
+    last.last = SimpleNamespace(get=lambda: stored[-1] if stored else None, update=stored.append)
+    rows = lambda *pairs: iter([Row(domain="a", pos=p, label=f"l{p}", is_interesting=i) for p, i in pairs])
+    assert list(last.handleInputRows(("a",), rows((1, True), (4, True), (3, False)), None)) == [Row(domain="a", pos=4, is_positive=True)]
+    assert list(last.handleInputRows(("a",), rows((2, False)), None)) == []
+    assert list(last.handleInputRows(("a",), rows((6, None)), None)) == [Row(domain="a", pos=6, is_positive=False)]
+    assert list(last.handleInputRows(("a",), rows((7, False)), None)) == []
+    assert stored == [(4, "l4", True), (6, "l6", None), (7, "l7", False)]
