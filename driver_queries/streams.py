@@ -41,17 +41,19 @@ def stream_of_outcomes(spark, sf) -> DataFrame:
 @query("stream_outcomes", CRAWL_OUTCOMES)
 def stream_outcomes(spark, sf):
     """Pages in two batches, all their controls in a third; a fourth with a later page that waits, and its control, moves the watermarks past them."""
-    path, out = scratch_path(spark, "input"), scratch_path(spark, "output")
+    path, out, progress = scratch_path(spark, "input"), scratch_path(spark, "output"), scratch_path(spark, "progress")
     log = crawl_fetches(spark, sf)
     control = outcomes.is_control()
     known = {"domain": F.lit("later.example"), "attempt": F.lit(1), "fetched_at": F.lit("2025-12-31").cast("timestamp"), "http_status": F.lit(200), "body": F.lit(b"User-agent: *"),
              "byte_count": F.lit(13).cast("long"), "probe_key": F.explode(F.array(F.lit("robots_txt"), F.lit("control:text")))}
     ends = spark.range(1).select(*[known.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in log.schema.fields])
+    files = spark.sparkContext.defaultParallelism
     for i, part in enumerate([log.where(~control & (F.col("attempt") == 1)), log.where(~control & (F.col("attempt") == 2)), log.where(control), ends]):
-        part.coalesce(1).write.parquet(f"{path}/{i}")
-    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).option("latestFirst", False).parquet(f"{path}/*")
-    jobs.record_verdicts(stream, out, scratch_path(spark, "progress")).awaitTermination()
-    rows = finished(spark, jobs.matched_outcomes(spark, out, "300 days", files=1))
+        part.repartition(files).write.parquet(f"{path}/{i}")
+        # what has come since the last run is one batch, read by all cores
+        stream = spark.readStream.schema(log.schema).parquet(f"{path}/*")
+        jobs.record_verdicts(stream, out, progress).awaitTermination()
+    rows = finished(spark, jobs.matched_outcomes(spark, out, "300 days", files=files))
     return crawl_columns(rows.where("domain <> 'later.example'"))
 
 

@@ -1,10 +1,12 @@
 from datetime import datetime, timedelta
 from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from driver_queries import streams
 from signpost.session import child_names, scratch_path
 from signpost.streaming import jobs, state
 
@@ -72,3 +74,16 @@ def test_positive_state_takes_plain_rows():
     assert list(last.handleInputRows(("a",), rows((6, None)), None)) == [Row(domain="a", pos=6, is_positive=False)]
     assert list(last.handleInputRows(("a",), rows((7, False)), None)) == []
     assert stored == [(4, "l4", True), (6, "l6", None), (7, "l7", False)]
+
+
+def test_a_batch_of_the_crawl_is_written_by_all_cores(spark, sf, monkeypatch):
+    paths = {}
+
+    def first_batch(stream, out, progress):
+        raise InterruptedError
+
+    monkeypatch.setattr(streams, "scratch_path", lambda s, name: paths.setdefault(name, scratch_path(s, name)))
+    monkeypatch.setattr(streams.jobs, "record_verdicts", first_batch)
+    with pytest.raises(InterruptedError):
+        streams.stream_outcomes(spark, sf)
+    assert len(spark.read.parquet(f"{paths['input']}/0").inputFiles()) > 1
