@@ -22,7 +22,8 @@ def is_control() -> Column:
 def control_signatures(fetches: DataFrame, timed: bool = False) -> DataFrame:
     """One digest row per (domain, attempt, control_group); of repeated captures the first counts. `timed` adds its time, `captured_at`."""
     signature = F.struct(
-        F.col("http_status"), media_type(F.col("content_type")).alias("media"), "byte_count", "body_sha256", "truncated"
+        F.col("http_status"), media_type(F.col("content_type")).alias("media"),
+        F.when(~F.coalesce("truncated", F.lit(False)), F.col("byte_count")).alias("byte_count"), "body_sha256",
     )
     first = F.min_by(signature, F.struct("fetched_at", "body_sha256"))
     at = [F.min("fetched_at").alias("captured_at")] if timed else []
@@ -38,7 +39,7 @@ def control_signatures(fetches: DataFrame, timed: bool = False) -> DataFrame:
 def equals_control() -> Column:
     """The same 200 answer as the domain's deliberately missing path, whose digest is `control`.
 
-    A cut control goes on where its digest ends, so it equals no page, not even one that is as long as the limit.
+    A cut control goes on where its digest ends: it has no byte count and equals no page, not even one as long as the limit.
     """
     media = media_type(F.col("content_type"))
     same = (
@@ -47,7 +48,6 @@ def equals_control() -> Column:
         & media.eqNullSafe(F.col("control.media"))
         & (F.col("byte_count") == F.col("control.byte_count"))
         & F.col("body_sha256").eqNullSafe(F.col("control.body_sha256"))
-        & ~F.coalesce("control.truncated", F.lit(False))
     )
     return F.coalesce(same, F.lit(False))
 
