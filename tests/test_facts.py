@@ -203,3 +203,19 @@ def test_observed_patterns_are_tried_once(spark):
     assert {(r.fact_key, r.value) for r in rows.collect()} == {
         ("observed_capability_names", "n"), ("observed_capability_names", "k"), ("observed_payment_assets", "USD"), ("observed_quote_endpoints", "/h"),
         ("observed_payment_handler_names", "W"), ("observed_payment_handler_names", "k")}
+
+
+def test_addresses_are_split_once(spark):
+    # every component of candidate and base at most once, and the origin of rooted ones
+    plan = str(U.resolve(F.col("b"), F.col("c"))).lower()
+    assert plan.count("regexp_extract") <= 12 and "isnull(x_" in plan
+    base = "https://H.example/a/b.json?q=1"
+    wanted = {
+        None: None, " ": None, "/x": "https://H.example/x", "x/../y?z#f": "https://H.example/a/y?z#f", "../../u": "https://H.example/u", "?n=2": "https://H.example/a/b.json?n=2",
+        "#f": "https://H.example/a/b.json?q=1#f", "//k.example/p": "https://k.example/p", "mailto:m@x": "mailto:m@x", "http://o.example": "http://o.example", "/./v/.w": "https://H.example/v/.w",
+    }
+    rows = spark.createDataFrame([(i, base, c) for i, c in enumerate(wanted)], "id int, b string, c string")
+    got = {r.c: (r.u, r.v) for r in rows.select("c", U.resolve(F.col("b"), F.col("c")).alias("u"), U.resolve_api_path(F.col("b"), F.col("c")).alias("v")).collect()}
+    assert {c: u for c, (u, _) in got.items()} == wanted
+    assert got["/x"][1] == "https://H.example/a/x" and got[None][1] is None and got["x/../y?z#f"][1] == wanted["x/../y?z#f"]
+    assert rows.where("c IS NULL OR c = '/x'").select(U.resolve(F.lit(None).cast("string"), F.col("c")).alias("u")).distinct().collect()[0].u is None
