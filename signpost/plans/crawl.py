@@ -44,7 +44,8 @@ def _judged(rows: DataFrame, validator: Validator) -> DataFrame:
 def _over_cores(rows: DataFrame) -> DataFrame:
     """The rows dealt over all cores where their files make fewer tasks: small compressed bodies of one kind lie in few files, and judging one takes much longer than moving it."""
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+    # dealt by a hash: dealing in turn sorts whole rows, bodies included, in every task
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, F.xxhash64("domain", "attempt", "probe_key", "request_id", "fetched_at"))
 
 
 def _verdicts(undecided: DataFrame, catalog: dict[str, Validator]) -> DataFrame | None:

@@ -1,13 +1,14 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from signpost import values as V
 from signpost.operators import outcomes as O
 from signpost.operators.facts.registry import VALIDATORS, register_fact_job
-from signpost.plans.crawl import outcomes_from_fetches, receipts_from_outcomes
-from signpost.session import cut
+from signpost.plans.crawl import _over_cores, outcomes_from_fetches, receipts_from_outcomes
+from signpost.session import OPEN_FILES, cut, stored
 from tests.helpers import fetches
 
 AT = datetime(2024, 1, 1)
@@ -133,3 +134,16 @@ def test_crawl_plan_scans_the_log_twice_and_joins_once(spark, tmp_path):
     # the other scan fed the stored ladder
     locations = outcomes_from_fetches(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
     assert locations.count("file:" + path) + locations.count(path + "]") <= 2
+
+
+def test_bodies_are_not_sorted_on_their_way(spark, monkeypatch):
+    seen, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: (seen.append(spark.conf.get(OPEN_FILES[0], None)), write(self, path))[1])
+    before = spark.conf.get(OPEN_FILES[0], None)
+    rows = spark.range(0, 400, 1, 3).selectExpr("id", "id % 40 AS folder")  # more folders than open files
+    back = stored(rows, "folders", ["folder"])
+    assert seen == [OPEN_FILES[1]] and spark.conf.get(OPEN_FILES[0], None) == before
+    assert sorted((r.id, r.folder) for r in back.collect()) == [(i, i % 40) for i in range(400)]
+    captures = spark.range(0, 9, 1, 1).selectExpr("string(id) AS domain", "1 AS attempt", "'p' AS probe_key", "'r' AS request_id", "current_timestamp() AS fetched_at")
+    dealt = _over_cores(captures)
+    assert "RoundRobin" not in dealt._jdf.queryExecution().toString() and dealt.count() == 9
