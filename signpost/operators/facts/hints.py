@@ -55,7 +55,7 @@ def payment_hints(
 
     def read(seen: Column) -> Column:
         text, hosts = seen["text"], seen["hosts"]
-        by_host = lambda m: F.exists(hosts, lambda h: h.contains(m))
+        by_host = lambda m: (F.size(hosts) > 0) & F.exists(hosts, lambda h: h.contains(m))
 
         def provider(markers: list[str]) -> Column:
             tests = [marker_in(text, m) for m in markers] + [by_host(m) for m in markers if "." in m]

@@ -114,7 +114,7 @@ def _best_named(nodes: Column, names: list[str]) -> Column:
     def best(hits: Column) -> Column:
         return F.filter(hits, lambda n: (rank(n) == 0) | ~F.exists(hits, lambda m: (rank(m) > 0) & (rank(m) < rank(n)) & (_parent(m) == _parent(n))))
 
-    return let(nodes, best)
+    return let(nodes, lambda hits: F.when(F.size(hits) > 1, best(hits)).otherwise(hits))
 
 
 def observed_values(nodes: Column) -> Column:
@@ -134,7 +134,7 @@ def observed_values(nodes: Column) -> Column:
     def by_role(fact: str, roles: list[str]) -> Column:
         role = "|".join(roles)
         pattern = rf"{ANYWHERE}endpoints{STEP}(?:{role})(?:{STEP}(?:{'|'.join(ADDRESS_NAMES)}))?$"
-        hits = _best_named(matching(pattern, [f"{STEP}endpoints{STEP}"]), ADDRESS_NAMES)
+        hits = _best_named(matching(pattern, [f"{STEP}endpoints{STEP}{r}" for r in roles]), ADDRESS_NAMES)
         return F.struct(F.lit(fact).alias("fact_key"), F.transform(hits, lambda n: n["value"]).alias("values"))
 
     return F.array(*[by_rule(*r) for r in RULES], *[by_role(f, r) for f, r in ROLES.items()])
