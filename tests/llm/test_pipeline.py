@@ -60,3 +60,15 @@ def test_pipeline_runs_every_stage(spark):
     for r in sorted(rows, key=lambda r: r.start):
         assert r.start == ends
         ends += r.n_tokens
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    name, rows = corpus_pipeline.BATCH
+    before = spark.conf.get(name)
+    try:
+        for given, kept in (("10000", str(rows)), ("0", str(rows)), ("7", "7")):
+            spark.conf.set(name, given)
+            corpus_pipeline.quality_rules(spark, spark.createDataFrame([], "doc_id long, text string, lang string, source string"), "")
+            assert spark.conf.get(name) == kept
+    finally:
+        spark.conf.set(name, before)
