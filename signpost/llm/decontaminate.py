@@ -24,7 +24,7 @@ WIDTH = 10
 BLOCK_ROWS = 100_000
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_NO_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
@@ -33,6 +33,11 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(lowered, _BETWEEN), "")
 
 
+def word_count(text: Column) -> Column:
+    """How many words the whole text has, without lower-casing them; 0 for null."""
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), _NO_WORD), "")).cast("long")
+
+
 def shingles(found: Column) -> Column:
     """One hash per word: of it and the word after it, or of the word alone where it is the last."""
     return F.transform(found, lambda w, i: F.xxhash64(w, F.get(found, i + 1)))
@@ -115,7 +120,7 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH, block_r
         F.count(F.lit(1)).alias("n_items"), F.array_join(F.array_sort(F.collect_list(F.col("item_id").cast("string"))), ",").alias("_items"))
     hits = hits.withColumnRenamed("doc_id", "_id").withColumnRenamed("_text", "_hash")
     listed = listed.withColumnRenamed("doc_id", "_id2").withColumnRenamed("_text", "_hash2")
-    rows = docs.select("doc_id", text_key.alias("_text"), F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long").alias("n_words"))
+    rows = docs.select("doc_id", text_key.alias("_text"), word_count(F.col("text")).alias("n_words"))
     joined = rows.join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left")
     joined = joined.join(listed, F.col("doc_id").eqNullSafe(F.col("_id2")) & (F.col("_text") == F.col("_hash2")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0))

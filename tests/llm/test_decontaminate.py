@@ -78,3 +78,15 @@ def test_no_python_in_the_plan(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = contamination(docs, spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_words_are_counted_by_one_split(spark):
+    from signpost.llm.decontaminate import word_count
+
+    texts = [None, "", " ", "--", "One", " one TWO ", "a-b_c9", "\u00e9t\u00e9 \u4f60\u597d,x", "\n\ta\x00b\x7fc", "A" * 50, "@`[{ z"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.n for r in docs.select("doc_id", word_count(F.col("text")).alias("n")).collect()}
+    assert got == {i: len(re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", t or "")) for i, t in enumerate(texts)}
+    items = spark.createDataFrame([(1, "no such words")], "item_id long, text string")
+    # counting all matches of a pattern builds each of them, at twice the time of a split
+    assert "regexp_count" not in contamination(docs, items)._jdf.queryExecution().toString()
