@@ -112,6 +112,23 @@ def test_payment_hints(spark):
     assert hint(spark, "https://visa.example/card") == ([], [], None, False)
 
 
+def test_agent_endpoints_at_any_depth(spark):
+    def nested(levels, inner):
+        for i in reversed(range(levels)):
+            inner = {f"k{i}": inner}
+        return inner
+
+    key, base = {"probe_key": "well_known_agent_json"}, "https://a.example"
+    deep = {**nested(40, {"products": "/deep", "register": {"url": "/r", "auth": True}, "n": 5, "list": ["/no"], "empty": {}}), "orders": "/orders"}
+    between = {"a": {"docs": "/first", "x": nested(9, {"docs": {"path": "/second"}}), "z": {"docs": {"href": " /third "}}}, "docs": {"path": "/fourth", "products": "/hidden"}}
+    rows = [{**key, "body": {"name": "n", "endpoints": e}} for e in (deep, between, {}, {"products": "/flat"}, "none")]
+    far, order, none, flat, text = [facts for _, _, facts in run_all(spark, contracts.agent_facts, *rows)]
+    assert far["product_urls"] == [base + "/deep"] and far["register_urls"] == [base + "/r"]
+    assert far["public_endpoint_urls"] == [base + "/deep", base + "/orders"]
+    assert order["docs_urls"] == [base + p for p in ("/first", "/second", "/third", "/fourth")] and order["product_urls"] == []
+    assert none["public_endpoint_urls"] == [] == text["public_endpoint_urls"] and flat["product_urls"] == [base + "/flat"]
+
+
 def test_cart_and_agents(spark):
     key = {"probe_key": "cart_json"}
     good, typed, cut = run_all(spark, catalog.cart_facts, {**key, "body": {"currency": "EUR", "token": "t"}}, {**key, "body": {"currency": 5}}, {**key, "body": b"{" + b" " * 20_000})
